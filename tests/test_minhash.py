@@ -1,0 +1,80 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import plain
+from twinsieve.functions import minhash
+from twinsieve.operators.banding import signatures
+
+PRIME = 2**61 - 1
+
+
+def unpack(packed):
+    return np.frombuffer(packed, dtype=">u4").tolist()
+
+
+def test_permutations_are_a_function_of_the_seed():
+    drawn = minhash.permutations(256).tolist()
+    assert drawn[:2] == [
+        [2297359619001564596, 1396682528897996046],
+        [1973689801170867272, 1819927849474927636],
+    ]
+    assert minhash.permutations(256).tolist() == drawn
+    assert minhash.permutations(10).tolist() == drawn[:10]
+    assert minhash.permutations(10, seed=7).tolist() != drawn[:10]
+    assert all(1 <= a < PRIME and 0 <= b < PRIME for a, b in drawn)
+
+
+@pytest.mark.parametrize("n, least", [(5, 5), (1, 0), (3, 8)])
+def test_signatures_match_the_definition(spark, n, least):
+    texts = plain.EDGE_TEXTS + plain.random_texts(60, 2)
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, body string")
+    got = signatures(rows, "key", "body", n, least, num_perm=32)
+    got = {r.id: unpack(r.signature) for r in got.collect()}
+    pairs = minhash.permutations(32).tolist()
+    expected = {i: plain.signature(t, pairs, n, least) for i, t in enumerate(texts)}
+    assert got == {i: s for i, s in expected.items() if s is not None}
+
+
+def test_only_used_permutations_are_computed(spark):
+    rows = spark.createDataFrame([("k", "a b c d e f g h")], "key string, body string")
+    whole = signatures(rows, "key", "body", num_perm=16).first()
+    part = signatures(rows, "key", "body", num_perm=16, used=10).first()
+    assert whole.id == "k" and len(whole.signature) == 64
+    assert part.signature == whole.signature[:40]
+
+
+def test_signature_values(spark):
+    values = [0, 1, 255, 2**31, 2**32 - 1]
+    packed = np.array(values, dtype=">u4").tobytes()
+    rows = spark.createDataFrame([(bytearray(packed),)], "s binary")
+    got = rows.select(*[minhash.signature_value(F.col("s"), k) for k in range(5)]).first()
+    assert list(got) == values
+
+
+def test_values_at_the_edge_of_the_prime():
+    """Sums that reach the prime are rare, so they are made here with a = 0."""
+    edge = [k * 2**61 + d for k in range(8) for d in (0, 1, 7, 8, 2**32 - 1, 2**32)]
+    edge += [k * 2**61 + PRIME - d for k in range(8) for d in range(12)]
+    one, zero = np.array([1], np.uint64), np.array([0], np.uint64)
+    for x in edge:
+        got = minhash._minima(one, zero, np.array([x], np.uint64))
+        assert got[0] == x % PRIME % 2**32, x
+
+
+def test_long_texts_are_done_in_parts():
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 2**32, 5000, dtype=np.uint64)
+    a, b = minhash.permutations(64).T.copy()
+    expected = [
+        min(((int(h) * int(x) + int(y)) % 2**64) % PRIME % 2**32 for h in hashes)
+        for x, y in zip(a[:5], b[:5])
+    ]
+    assert minhash._minima(hashes, a, b)[:5].tolist() == expected
+
+
+def test_bad_sizes():
+    with pytest.raises(ValueError):
+        minhash.signature_rows(0, 5, 16)
+    with pytest.raises(ValueError):
+        minhash.signature_rows(5, 5, 0)
