@@ -1,0 +1,213 @@
+import pytest
+from pyspark.sql import functions as F
+
+import plain
+from twinsieve.operators.audits import foreign_key_audit, primary_key_audit
+from twinsieve.operators.checks import (
+    REPOSITORY_CHECK,
+    REPOSITORY_RULES,
+    failed_checks,
+    is_between,
+    is_complete,
+    is_non_negative,
+    is_unique,
+    run_checks,
+)
+from twinsieve.operators.gates import GateFailed, enforce, row_count_gate, schema_gate
+from twinsieve.operators.profile import (
+    REPOSITORY_PROFILE,
+    ProfileSpec,
+    key_uniqueness,
+    metric,
+    profile,
+)
+
+ROWS = [(1, "a", 10, 1.5), (2, None, -5, 2.5), (2, "b", None, None), (3, "c", 1, 0.5)]
+
+
+@pytest.fixture()
+def rows(spark):
+    return spark.createDataFrame(ROWS, "k long, s string, n long, d double")
+
+
+def values(frame):
+    return {(r.entity, r.instance, r.name): r.value for r in frame.collect()}
+
+
+def statuses(results):
+    return {r.constraint: r.constraint_status for r in results.collect()}
+
+
+def test_profile(rows):
+    spec = ProfileSpec(("k", "s", "absent"), ("n", "d", "absent"), ("k",))
+    got = values(profile(rows, spec))
+    assert got.pop(("Dataset", "*", "schema")) == rows.schema.json()
+    assert got == {
+        ("Dataset", "*", "Size"): "4.0",
+        ("Column", "k", "Completeness"): "1.0",
+        ("Column", "s", "Completeness"): "0.75",
+        ("Column", "n", "Mean"): "2.0",
+        ("Column", "n", "Maximum"): "10.0",
+        ("Column", "n", "Minimum"): "-5.0",
+        ("Column", "d", "Mean"): "1.5",
+        ("Column", "d", "Maximum"): "2.5",
+        ("Column", "d", "Minimum"): "0.5",
+        ("Multicolumn", "k", "Uniqueness"): "0.5",
+    }
+
+
+def test_metrics_without_a_value_are_left_out(rows):
+    got = values(profile(rows.where("k < 0"), ProfileSpec(("s",), ("n",), ("k",))))
+    assert set(got) == {("Dataset", "*", "Size"), ("Dataset", "*", "schema")}
+    assert got[("Dataset", "*", "Size")] == "0.0"
+
+
+def test_uniqueness_of_an_absent_key_is_left_out(rows):
+    got = values(profile(rows, REPOSITORY_PROFILE))
+    assert ("Multicolumn", "repo_id,path,commit_sha", "Uniqueness") not in got
+
+
+def test_hidden_columns_are_not_in_the_schema(rows):
+    got = metric(profile(rows, ProfileSpec(), hidden=("k",)), "schema").first().value
+    assert '"name":"k"' not in got and '"name":"s"' in got
+
+
+def test_single_columns_take_one_pass(rows, workspace):
+    stored = workspace.stage(rows, "rows")
+    spec = ProfileSpec(("k", "s"), ("n", "d"))
+    text = profile(stored, spec)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
+
+
+def test_null_keys(spark):
+    rows = spark.createDataFrame([(None, None), (None, 1), (1, 1)], "a long, b long")
+    assert key_uniqueness(rows, ["a", "b"]).first().value == pytest.approx(2 / 3)
+
+
+def test_checks(rows):
+    rules = [
+        is_complete("k"),
+        is_complete("s", 0.7),
+        is_complete("s"),
+        is_unique("k"),
+        is_unique("k", "s"),
+        is_non_negative("k"),
+        is_non_negative("n"),
+        is_non_negative("d"),
+        is_between("k", 1, 3),
+        is_between("d", 0.0, 3.0),
+        is_complete("absent"),
+        is_complete("maybe", only_if_present=True),
+    ]
+    results = run_checks(rows, rules, "t")
+    assert statuses(results) == {
+        "Completeness(k) >= 1.0": "Success",
+        "Completeness(s) >= 0.7": "Success",
+        "Completeness(s) >= 1.0": "Failure",
+        "Uniqueness(k) = 1.0": "Failure",
+        "Uniqueness(k,s) = 1.0": "Success",
+        "k is non-negative": "Success",
+        "n is non-negative": "Failure",
+        "d is non-negative": "Success",
+        "k is between 1 and 3": "Success",
+        "d is between 0.0 and 3.0": "Failure",
+        "Completeness(absent) >= 1.0": "Failure",
+    }
+    rows = results.collect()
+    assert [r.constraint for r in rows] == [r.label for r in rules[:-1]]
+    assert {(r.check, r.check_level, r.check_status) for r in rows} == {("t", "Error", "Error")}
+    messages = {r.constraint: r.constraint_message for r in rows}
+    assert messages["Completeness(k) >= 1.0"] == ""
+    assert messages["Completeness(s) >= 1.0"] == "Value: 0.75 does not meet the constraint"
+    assert messages["Completeness(absent) >= 1.0"] == "Missing column: absent"
+    assert failed_checks(results).count() == len(rows)
+
+
+def test_all_rules_hold(rows):
+    results = run_checks(rows, [is_complete("k"), is_unique("k", "s")], "t")
+    assert {r.check_status for r in results.collect()} == {"Success"}
+    assert failed_checks(results).isEmpty()
+
+
+def test_an_empty_table_passes_nothing(rows):
+    rules = [is_complete("k"), is_unique("k"), is_non_negative("n")]
+    results = run_checks(rows.where("k < 0"), rules, "t")
+    assert set(statuses(results).values()) == {"Failure"}
+
+
+def test_no_rules(rows):
+    with pytest.raises(ValueError):
+        run_checks(rows, [is_complete("x", only_if_present=True)], "t")
+
+
+def test_repository_rules(spark):
+    good = spark.createDataFrame(
+        [(1, "p", "c", "o", "n", "s1", 1, 2, 3, None), (1, "p", "c", "o", "n", "s2", 0, 0, 0, 0.5)],
+        "repo_id long, path string, content string, owner string, name string, "
+        "commit_sha string, size long, stars long, forks long, issues double",
+    )
+    results = run_checks(good, REPOSITORY_RULES, REPOSITORY_CHECK)
+    assert len(results.collect()) == 11 and failed_checks(results).isEmpty()
+    scored = good.withColumn("similarity_score", F.lit(1.5)).withColumn(
+        "minhash_signature", F.lit("x")
+    )
+    got = statuses(run_checks(scored, REPOSITORY_RULES, REPOSITORY_CHECK))
+    assert got["similarity_score is between 0.0 and 1.0"] == "Failure"
+    assert got["Completeness(minhash_signature) >= 0.99"] == "Success"
+
+
+def sizes(spark, n):
+    return profile(spark.range(n), ProfileSpec())
+
+
+@pytest.mark.parametrize(
+    "after, passed", [(1000, False), (999, True), (701, True), (700, False), (500, False)]
+)
+def test_row_count_gate(spark, after, passed):
+    gate = row_count_gate(sizes(spark, 1000), sizes(spark, after))
+    row = gate.first()
+    assert (row.rows_before, row.rows_after, row.passed) == (1000, after, passed)
+    if passed:
+        enforce(gate, "row count")
+    else:
+        with pytest.raises(GateFailed):
+            enforce(gate, "row count")
+
+
+def test_row_count_gate_without_metrics(spark):
+    none = sizes(spark, 10).where("false")
+    for before, after in ((none, sizes(spark, 9)), (sizes(spark, 10), none), (none, none)):
+        with pytest.raises(GateFailed):
+            enforce(row_count_gate(before, after), "row count")
+    with pytest.raises(GateFailed):
+        enforce(row_count_gate(sizes(spark, 0), sizes(spark, 0)), "row count")
+
+
+def test_schema_gate(spark):
+    before = spark.createDataFrame([], "a long, b string, c array<int>, d struct<x: int>")
+    same = schema_gate(profile(before, ProfileSpec()), profile(before, ProfileSpec()))
+    enforce(same, "schema")
+    after = spark.createDataFrame([], "a double, c array<long>, d struct<x: int>, e string")
+    gate = schema_gate(profile(before, ProfileSpec()), profile(after, ProfileSpec()))
+    assert plain.pairs(gate, "column", "change", "passed") == {
+        ("a", "retyped", False),
+        ("b", "dropped", False),
+        ("c", "retyped", False),
+        ("d", "same", True),
+        ("e", "added", False),
+    }
+    with pytest.raises(GateFailed, match="4 of 5"):
+        enforce(gate, "schema")
+    nothing = profile(before, ProfileSpec()).where("false")
+    with pytest.raises(GateFailed):
+        enforce(schema_gate(nothing, nothing), "schema")
+
+
+def test_audits(spark):
+    rows = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (4, 9)], "a long, b long")
+    assert plain.pairs(primary_key_audit(rows, ["a", "b"]), "a", "b", "n") == {
+        (1, 1, 2),
+        (None, 3, 1),
+    }
+    parents = spark.createDataFrame([(1,), (2,)], "id long")
+    assert plain.pairs(foreign_key_audit(rows, "a", parents, "id"), "a", "n") == {(4, 1)}
