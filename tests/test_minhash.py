@@ -62,7 +62,19 @@ def test_values_at_the_edge_of_the_prime():
         assert got[0] == x % PRIME % 2**32, x
 
 
-def test_long_texts_are_done_in_parts():
+def test_texts_longer_than_a_part(spark, monkeypatch):
+    text = " ".join(f"w{i * 37 % 101}" for i in range(400))
+    rows = spark.createDataFrame([(1, text)], "key long, body string")
+    whole = signatures(rows, "key", "body", num_perm=16).first().signature
+    classes = minhash._byte_classes()
+    monkeypatch.setattr(minhash, "_PART", 50)
+    parts = list(minhash.text_hashes(text.encode(), 5, 5, classes))
+    assert [len(p) for p in parts] == [50] * 7 + [46]
+    assert signatures(rows, "key", "body", num_perm=16).first().signature == whole
+    assert unpack(whole) == plain.signature(text, minhash.permutations(16).tolist())
+
+
+def test_many_hashes_are_done_in_parts():
     rng = np.random.default_rng(3)
     hashes = rng.integers(0, 2**32, 5000, dtype=np.uint64)
     a, b = minhash.permutations(64).T.copy()

@@ -26,6 +26,8 @@ _WORD_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_0123456789"
 _SPACE = 32
 # Cells of the (shingles x permutations) work array; two of these stay inside a core's cache.
 _CELLS = 1 << 15
+# N-grams of one text that are hashed at a time.
+_PART = 1 << 16
 
 
 def permutations(num_perm: int, seed: int = SEED) -> np.ndarray:
@@ -44,10 +46,12 @@ def _byte_classes() -> np.ndarray:
     return table
 
 
-def text_hashes(text: bytes, n: int, min_tokens: int, classes: np.ndarray) -> np.ndarray:
+def text_hashes(
+    text: bytes, n: int, min_tokens: int, classes: np.ndarray
+) -> Iterator[np.ndarray]:
     """32-bit hashes of all word n-grams of a UTF-8 text; repeated n-grams are not removed.
 
-    Once each separator character is one space, an n-gram joined by spaces is a plain slice
+    They come in parts, so a very long text needs little more memory than itself. Once each separator character is one space, an n-gram joined by spaces is a plain slice
     of the text, so no token list is built. UTF-8 continuation bytes are dropped first to
     leave one byte for a character.
     """
@@ -56,13 +60,15 @@ def text_hashes(text: bytes, n: int, min_tokens: int, classes: np.ndarray) -> np
     gaps = np.flatnonzero(flat == _SPACE)
     n_tokens = len(gaps) + 1
     if n_tokens < max(n, min_tokens):
-        return np.empty(0, dtype=np.uint64)
+        return
     data = flat.tobytes()
-    starts = np.concatenate(([0], gaps + 1))[: n_tokens - n + 1].tolist()
-    ends = np.concatenate((gaps, [len(data)]))[n - 1 :].tolist()
+    starts = np.concatenate(([0], gaps + 1))[: n_tokens - n + 1]
+    ends = np.concatenate((gaps, [len(data)]))[n - 1 :]
     sha1 = hashlib.sha1
-    digests = b"".join([sha1(data[s:e]).digest()[:4] for s, e in zip(starts, ends)])
-    return np.frombuffer(digests, dtype="<u4").astype(np.uint64)
+    for at in range(0, len(starts), _PART):
+        slices = zip(starts[at : at + _PART].tolist(), ends[at : at + _PART].tolist())
+        digests = b"".join([sha1(data[s:e]).digest()[:4] for s, e in slices])
+        yield np.frombuffer(digests, dtype="<u4").astype(np.uint64)
 
 
 def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, exact: bool = False) -> np.ndarray:
@@ -117,8 +123,9 @@ def signature_rows(
     def pack(text: pa.StringScalar) -> bytes | None:
         if not text.is_valid:
             return None
-        hashes = text_hashes(text.as_buffer(), n, min_tokens, classes)
-        return _minima(hashes, a, b).astype(">u4").tobytes() if len(hashes) else None
+        parts = text_hashes(text.as_buffer(), n, min_tokens, classes)
+        minima = [_minima(hashes, a, b) for hashes in parts]
+        return np.minimum.reduce(minima).astype(">u4").tobytes() if minima else None
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
