@@ -28,6 +28,8 @@ _SPACE = 32
 _CELLS = 1 << 15
 # N-grams of one text that are hashed at a time.
 _PART = 1 << 16
+# Signatures a task remembers, by a digest of the text, so copies of a text cost one hash.
+_KNOWN = 4096
 
 
 def permutations(num_perm: int, seed: int = SEED) -> np.ndarray:
@@ -67,19 +69,24 @@ def text_hashes(
     sha1 = hashlib.sha1
     for at in range(0, len(starts), _PART):
         slices = zip(starts[at : at + _PART].tolist(), ends[at : at + _PART].tolist())
-        digests = b"".join([sha1(data[s:e]).digest()[:4] for s, e in slices])
-        yield np.frombuffer(digests, dtype="<u4").astype(np.uint64)
+        digests = b"".join([sha1(data[s:e]).digest() for s, e in slices])
+        yield np.frombuffer(digests, dtype="<u4")[::5].astype(np.uint64)
 
 
-def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, exact: bool = False) -> np.ndarray:
+def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest permuted value of each permutation, ((h*a + b) mod 2^64) mod p, low 32 bits.
 
     With x = h*a + b wrapped at 2^64 and p = 2^61 - 1, x mod p is (x mod 2^61) + (x >> 61),
-    less p where that sum reaches p. The sum's low 32 bits need no masking, so the quick form
-    works on w = low32(x + (x >> 61)) + 1. A sum that reaches p gives w in 0..7, so a minimum
-    of w above 7 proves that no such sum took part; any other text is done again with the
-    subtraction.
+    less p where that sum reaches p. The low 32 bits of the sum need no mask, so with y = x + 1
+    the quick form is w = low32(y + (y >> 61)), one more than the wanted value. Where the sum
+    reaches p, which is rare, w lies in 0..7. A minimum of w above 7 proves that no such value
+    took part; any other set of hashes is done again with the subtraction.
     """
+    best = _least(hashes, a, b + np.uint64(1), exact=False)
+    return _least(hashes, a, b, exact=True) if (best <= 7).any() else best - np.uint32(1)
+
+
+def _least(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, exact: bool) -> np.ndarray:
     prime, top = np.uint64(MERSENNE_PRIME), np.uint64(61)
     rows = max(1, _CELLS // len(a))
     best = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
@@ -90,20 +97,13 @@ def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, exact: bool = Fals
         xs, cs = x[: len(part)], carry[: len(part)]
         np.multiply(part[:, None], a, out=xs)
         xs += b
-        np.right_shift(xs, top, out=cs)
         if exact:
-            xs &= prime
-        xs += cs
-        if exact:
-            np.greater_equal(xs, prime, out=cs, casting="unsafe")
-            xs += cs  # x - p and x + 1 agree in the low 32 bits
-        values = xs.astype(np.uint32)
-        if not exact:
-            values += np.uint32(1)
-        np.minimum(best, values.min(axis=0), out=best)
-    if exact:
-        return best
-    return _minima(hashes, a, b, exact=True) if (best <= 7).any() else best - np.uint32(1)
+            xs %= prime
+        else:
+            np.right_shift(xs, top, out=cs)
+            xs += cs
+        np.minimum(best, xs.astype(np.uint32).min(axis=0), out=best)
+    return best
 
 
 def signature_rows(
@@ -120,12 +120,19 @@ def signature_rows(
     a, b = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
     classes = _byte_classes()
 
+    known: dict[bytes, bytes | None] = {}
+
     def pack(text: pa.StringScalar) -> bytes | None:
         if not text.is_valid:
             return None
-        parts = text_hashes(text.as_buffer(), n, min_tokens, classes)
-        minima = [_minima(hashes, a, b) for hashes in parts]
-        return np.minimum.reduce(minima).astype(">u4").tobytes() if minima else None
+        data = text.as_buffer()
+        digest = hashlib.sha256(data).digest()
+        if digest not in known:
+            if len(known) == _KNOWN:
+                known.clear()
+            minima = [_minima(part, a, b) for part in text_hashes(data, n, min_tokens, classes)]
+            known[digest] = np.minimum.reduce(minima).astype(">u4").tobytes() if minima else None
+        return known[digest]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
