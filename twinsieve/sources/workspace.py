@@ -12,6 +12,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_PLAIN_FILES = ("parquet", "orc", "avro")
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the session names for checkpoints; a temporary one in local mode only."""
@@ -41,7 +43,9 @@ class Workspace:
         """Write ``df`` under ``name``, overwriting, and return the written table."""
         path = self.path(name)
         df.write.mode("overwrite").format(self.fmt).save(path)
-        return self.spark.read.schema(df.schema).format(self.fmt).load(path)
+        reader = self.spark.read.format(self.fmt)
+        # Table formats know their schema; plain files would be opened once more to infer it.
+        return (reader.schema(df.schema) if self.fmt in _PLAIN_FILES else reader).load(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
