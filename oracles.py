@@ -208,13 +208,16 @@ def statements() -> dict[str, str]:
                    count(l_orderkey) / count(*), NULL FROM lines
             UNION ALL SELECT 'Column', 'l_returnflag', 'Completeness',
                    round(count(l_returnflag) / count(*), 6), NULL FROM lines
-            UNION ALL SELECT 'Column', 'l_quantity', 'Mean', round(avg(l_quantity), 6), NULL FROM lines
+            UNION ALL SELECT 'Column', 'l_quantity', 'Mean',
+                   round(avg(l_quantity), 6), NULL FROM lines
             UNION ALL SELECT 'Column', 'l_quantity', 'Maximum', max(l_quantity), NULL FROM lines
             UNION ALL SELECT 'Column', 'l_quantity', 'Minimum', min(l_quantity), NULL FROM lines
             UNION ALL SELECT 'Column', 'l_extendedprice', 'Mean',
                    round(avg(l_extendedprice), 6), NULL FROM lines
-            UNION ALL SELECT 'Column', 'l_extendedprice', 'Maximum', max(l_extendedprice), NULL FROM lines
-            UNION ALL SELECT 'Column', 'l_extendedprice', 'Minimum', min(l_extendedprice), NULL FROM lines
+            UNION ALL SELECT 'Column', 'l_extendedprice', 'Maximum',
+                   max(l_extendedprice), NULL FROM lines
+            UNION ALL SELECT 'Column', 'l_extendedprice', 'Minimum',
+                   min(l_extendedprice), NULL FROM lines
             UNION ALL SELECT 'Multicolumn', 'l_orderkey,l_linenumber', 'Uniqueness',
                    round(({LINE_UNIQUENESS}), 6), NULL
             UNION ALL SELECT 'Dataset', '*', 'schema', NULL, '{LINES_SCHEMA}'""",
@@ -249,8 +252,10 @@ def statements() -> dict[str, str]:
                    '{"' || lang || '":' || n_chars || '}' AS languages_distribution
             FROM documents""",
         "snowflake_view": """
-            SELECT o.o_orderpriority AS path, c.c_mktsegment AS owner, CAST(c.c_custkey AS DOUBLE) AS repo_id,
-                   CAST(c.c_acctbal < 5000 AS VARCHAR) AS is_fork, o.o_orderstatus AS languages_distribution,
+            SELECT o.o_orderpriority AS path, c.c_mktsegment AS owner,
+                   CAST(c.c_custkey AS DOUBLE) AS repo_id,
+                   CAST(c.c_acctbal < 5000 AS VARCHAR) AS is_fork,
+                   o.o_orderstatus AS languages_distribution,
                    CAST(o.o_orderkey AS VARCHAR) AS content, c.c_acctbal AS issues,
                    n.n_name AS main_language, CAST(c.c_nationkey AS DOUBLE) AS forks,
                    CAST(c.c_custkey % 7 AS DOUBLE) AS stars,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import plain
 from twinsieve import DedupParams, find_duplicates, near_dedup, run_job
 from twinsieve.functions.minhash import permutations
+from twinsieve.operators.banding import signatures
 from twinsieve.operators.checks import is_complete, is_unique
 from twinsieve.operators.gates import GateFailed
 from twinsieve.operators.profile import ProfileSpec
@@ -105,8 +106,8 @@ def test_job(spark, sparse, workspace):
     assert (row.rows_before, row.rows_after, row.passed) == (110, 100, True)
     assert {r.change for r in result.schema.collect()} == {"same"}
     assert {r.check_status for r in result.checks_after.collect()} == {"Success"}
-    stored = {r.name for r in spark.read.parquet(workspace.path("reports/profile_before")).collect()}
-    assert stored == {"Size", "schema", "Completeness", "Uniqueness"}
+    stored = spark.read.parquet(workspace.path("reports/profile_before"))
+    assert {r.name for r in stored.collect()} == {"Size", "schema", "Completeness", "Uniqueness"}
 
 
 def test_job_without_a_key(sparse, workspace):
@@ -144,8 +145,6 @@ def test_failed_checks_raise_only_if_strict(sparse, workspace):
 
 def test_signature_step_reads_two_columns_once(spark, workspace, docs):
     stored = workspace.stage(docs.withColumn("other", F.lit("x" * 10)), "docs")
-    from twinsieve.operators.banding import signatures
-
     plan = signatures(stored, "key", "content")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and plan.count("FileScan") == 1
     assert "ReadSchema: struct<key:bigint,content:string>" in plan

@@ -116,3 +116,52 @@ def test_unmatched_repositories_and_languages(spark, flat, workspace):
     assert wide.count() == 300
     assert wide.where(F.col("repo_id").isNull()).count() > 0
     assert wide.where("repo_id IS NOT NULL AND main_language IS NULL").count() > 0
+
+
+def test_a_hot_repository_is_split(spark, workspace):
+    """With dimensions too large to broadcast, AQE cuts the partition of a frequent key."""
+    conf = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    old = {name: spark.conf.get(name, None) for name in conf}
+    files = workspace.stage(
+        spark.range(60_000, numPartitions=16).selectExpr(
+            "if(id % 3 = 0, 0, id % 5000) AS repo_id",
+            "concat('p', id) AS path",
+            "concat(sha1(cast(id as string)), sha1(cast(-id as string))) AS content",
+            "id AS size",
+            "'s' AS commit_sha",
+            "'{}' AS languages_distribution",
+        ),
+        "many_files",
+    )
+    repositories = workspace.stage(
+        spark.range(5000).selectExpr(
+            "id AS repo_id",
+            "id % 3 AS language_id",
+            "'o' AS owner",
+            "'n' AS name",
+            "false AS is_fork",
+            "id AS forks",
+            "id AS stars",
+            "0.0D AS issues",
+            "'MIT' AS license",
+        ),
+        "many_repositories",
+    )
+    languages = spark.createDataFrame(
+        [(0, "a"), (1, "b"), (2, "c")], "language_id long, language_name string"
+    )
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        wide = wide_view(files, repositories, languages)
+        assert len(wide.collect()) == 60_000
+        assert "skew=true" in wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

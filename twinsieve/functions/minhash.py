@@ -53,9 +53,10 @@ def text_hashes(
 ) -> Iterator[np.ndarray]:
     """32-bit hashes of all word n-grams of a UTF-8 text; repeated n-grams are not removed.
 
-    They come in parts, so a very long text needs little more memory than itself. Once each separator character is one space, an n-gram joined by spaces is a plain slice
-    of the text, so no token list is built. UTF-8 continuation bytes are dropped first to
-    leave one byte for a character.
+    They come in parts, so a very long text needs little more memory than itself. Once each
+    separator character is one space, an n-gram joined by spaces is a plain slice of the text,
+    so no token list is built. UTF-8 continuation bytes are dropped first to leave one byte for
+    a character.
     """
     raw = np.frombuffer(text, dtype=np.uint8)
     flat = classes[raw[(raw & 0xC0) != 0x80]]

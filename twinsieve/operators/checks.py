@@ -112,9 +112,10 @@ def run_checks(
     for part in parts[1:]:
         verdicts = verdicts.unionByName(part)
     # One row for each rule: the array is as long as the rule list, whatever the table holds.
+    verdict = F.struct("place", "constraint", "passed", "message")
     whole = verdicts.agg(
         F.every("passed").alias("all_passed"),
-        F.sort_array(F.collect_list(F.struct("place", "constraint", "passed", "message"))).alias("v"),
+        F.sort_array(F.collect_list(verdict)).alias("v"),
     )
     return whole.select("all_passed", F.explode("v").alias("v")).select(
         F.lit(check).alias("check"),

@@ -18,9 +18,9 @@ def dense_key(
     """Number the rows 1..n in the order of ``order_by``, which must be unique to be stable.
 
     The rows are range-partitioned, sorted inside each partition and staged with their place
-    in it; with no ``order_by`` they are staged as scanned, without a shuffle. Then only one count for each partition is needed to shift the places: the window
-    that adds those counts up, and the broadcast of its result, see one row for each partition
-    and never the data.
+    in it; with no ``order_by`` they are staged as scanned, without a shuffle. Then only one
+    count for each partition is needed to shift the places: the window that adds those counts
+    up, and the broadcast of its result, see one row for each partition and never the data.
     """
     if column in df.columns:
         raise ValueError(f"column {column} exists already")
