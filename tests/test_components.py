@@ -3,12 +3,13 @@ import pytest
 
 import plain
 from twinsieve import connected_components
+from twinsieve.operators import components
 from twinsieve.operators.components import (
     NotConverged,
-    is_star_forest,
     large_star,
     small_star,
     symmetric_difference,
+    unsettled,
 )
 
 
@@ -48,8 +49,9 @@ def test_shapes(spark, workspace, edges, hot_rows):
     )
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_random_graphs(spark, workspace, seed):
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("hot_rows", [10**9, 3])
+def test_random_graphs(spark, workspace, seed, hot_rows):
     """Many small random graphs side by side, relabelled so that no order helps."""
     rng = np.random.default_rng(seed)
     edges, base = [], 0
@@ -60,7 +62,7 @@ def test_random_graphs(spark, workspace, seed):
         base += nodes
     names = rng.permutation(base).tolist()
     edges = [(names[a], names[b]) for a, b in edges if a != b]
-    assert solve(spark, workspace, edges) == plain.components(edges)
+    assert solve(spark, workspace, edges, hot_rows=hot_rows) == plain.components(edges)
 
 
 def test_no_edges(spark, workspace):
@@ -86,11 +88,31 @@ def test_star_steps(spark, workspace):
     assert plain.pairs(small_star(both, workspace), "src", "dst") == {(9, 1), (2, 1)}
 
 
-def test_star_forest(spark):
-    assert is_star_forest(graph(spark, [(2, 1), (3, 1), (9, 8)]))
-    assert is_star_forest(graph(spark, []))
-    assert not is_star_forest(graph(spark, [(2, 1), (3, 2)]))
-    assert not is_star_forest(graph(spark, [(3, 1), (3, 2)]))
+def test_unsettled_nodes(spark):
+    def nodes(edges):
+        return sorted(r.node for r in unsettled(graph(spark, edges)).collect())
+
+    assert nodes([(2, 1), (3, 1), (9, 8)]) == []
+    assert nodes([]) == []
+    assert nodes([(2, 1), (3, 2), (9, 8)]) == [2]
+    assert nodes([(3, 1), (3, 2)]) == [3]
+
+
+def test_finished_components_leave_the_loop(spark, workspace):
+    """A star is done at once; a path and whatever touches an unsettled node are not."""
+    edges = [(i, 0) for i in range(1, 50)] + [(104, 103), (103, 102), (102, 101), (109, 102)]
+    state = graph(spark, edges)
+    done, rest = components._split_done(state, unsettled(state), workspace, "t")
+    assert plain.pairs(done, "src", "dst") == set(edges[:49])
+    assert plain.pairs(rest, "src", "dst") == set(edges[49:])
+
+
+def test_too_many_open_nodes_stay_in_the_loop(spark, workspace, monkeypatch):
+    monkeypatch.setattr(components, "MAX_OPEN", 2)
+    edges = PATH + [(i, 500) for i in range(501, 520)]
+    state = graph(spark, edges)
+    assert components._split_done(state, unsettled(state), workspace, "t") is None
+    assert solve(spark, workspace, edges, hot_rows=3) == plain.components(edges)
 
 
 def test_symmetric_difference(spark):

@@ -12,6 +12,10 @@ from twinsieve.operators.skew import HOT_ROWS, with_group_min
 from twinsieve.sources.workspace import Workspace
 
 
+# Open nodes that may be broadcast to tell finished components from others.
+MAX_OPEN = 1_000_000
+
+
 class NotConverged(RuntimeError):
     """The round limit was reached before the components were found."""
 
@@ -55,21 +59,21 @@ def small_star(
     )
 
 
-def is_star_forest(edges: DataFrame) -> bool:
-    """True if every src has one dst and no dst is itself a src.
+def unsettled(edges: DataFrame) -> DataFrame:
+    """(node): each src with several dst, and each src that is itself a dst.
 
-    Both steps keep the components and point from larger to smaller, so this is exactly the
-    state in which each dst is the smallest node of its component.
+    Both steps keep the components and point from larger to smaller, so if there is no such
+    node, each dst is the smallest node of its component, and the search is over.
     """
     sources = edges.select(F.col("src").alias("node"), F.lit(0).alias("is_dst"))
     targets = edges.select(F.col("dst").alias("node"), F.lit(1).alias("is_dst"))
-    wrong = (
+    return (
         sources.unionByName(targets)
         .groupBy("node")
         .agg(F.sum(1 - F.col("is_dst")).alias("out"), F.max("is_dst").alias("is_dst"))
         .where((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("is_dst") == 1)))
+        .select("node")
     )
-    return wrong.isEmpty()
 
 
 def connected_components(
@@ -81,26 +85,64 @@ def connected_components(
 ) -> DataFrame:
     """(id, component) of every node but the smallest of each component.
 
-    ``component`` is the smallest node. Each round is staged; the driver only learns whether
-    the rounds may stop. No step adds edges, so the first count bounds every later one.
+    ``component`` is the smallest node. Each round is staged; the driver only learns counts.
+    No step adds edges, so the first count bounds every later one. In a graph of more than
+    ``hot_rows`` edges, components that are done leave the loop, so late rounds are small.
     """
     state = workspace.stage(_downward(edges), f"{name}-0")
     at_most = state.count()
-    for turn in range(1, max_rounds + 1):
-        if is_star_forest(state):
-            return state.select(F.col("src").alias("id"), F.col("dst").alias("component"))
+    done: list[DataFrame] = []
+    for turn in range(max_rounds + 1):
+        open_nodes = workspace.stage(unsettled(state), f"{name}-unsettled-{turn}")
+        if open_nodes.isEmpty():
+            return _labels([*done, state])
+        if turn == max_rounds:
+            break
+        if at_most > hot_rows:
+            split = _split_done(state, open_nodes, workspace, f"{name}-{turn}")
+            if split:
+                done.append(split[0])
+                state = split[1]
+                at_most = state.count()
         large = large_star(state, workspace, hot_rows, at_most, f"{name}-heavy-large-{turn}")
         if 2 * at_most > hot_rows:
             large = workspace.stage(large, f"{name}-large-{turn}")
         small = small_star(large, workspace, hot_rows, at_most, f"{name}-heavy-small-{turn}")
-        state = workspace.stage(small, f"{name}-{turn}")
-        workspace.drop(f"{name}-{turn - 1}")
-        workspace.drop(f"{name}-large-{turn}")
-    if is_star_forest(state):
-        return state.select(F.col("src").alias("id"), F.col("dst").alias("component"))
+        state = workspace.stage(small, f"{name}-{turn + 1}")
+        for old in (f"{turn}", f"{turn}-open", f"{turn}-centres", f"large-{turn}"):
+            workspace.drop(f"{name}-{old}")
     raise NotConverged(f"components still changed after {max_rounds} rounds")
 
 
+def _split_done(
+    edges: DataFrame, nodes: DataFrame, workspace: Workspace, name: str
+) -> tuple[DataFrame, DataFrame] | None:
+    """Edges of the components that are done and those that are not, both staged.
+
+    A component is done if it is one star: neither its centre nor a node that points to the
+    centre is unsettled. The centres to be kept open are counted before they are broadcast;
+    None means that they are too many to tell the edges apart without a shuffle.
+    """
+    if nodes.limit(MAX_OPEN + 1).count() > MAX_OPEN:
+        return None
+    above = edges.join(F.broadcast(nodes), F.col("src") == F.col("node"), "left_semi")
+    centres = nodes.union(above.select("dst")).distinct()
+    centres = workspace.stage(centres, f"{name}-centres")
+    if centres.limit(MAX_OPEN + 1).count() > MAX_OPEN:
+        return None
+    is_open = F.col("dst") == F.col("node")
+    done = edges.join(F.broadcast(centres), is_open, "left_anti")
+    rest = edges.join(F.broadcast(centres), is_open, "left_semi")
+    return workspace.stage(done, f"{name}-done"), workspace.stage(rest, f"{name}-open")
+
+
+def _labels(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(F.col("src").alias("id"), F.col("dst").alias("component"))
+
+
 def _downward(edges: DataFrame) -> DataFrame:
     """Distinct edges from the larger to the smaller node, without loops."""
     return (
