@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
+from twinsieve.operators.assessment import assess
 from twinsieve.operators.audits import foreign_key_audit, primary_key_audit
 from twinsieve.operators.checks import (
     REPOSITORY_CHECK,
@@ -123,6 +124,21 @@ def test_checks(rows):
     assert failed_checks(results).count() == len(rows)
 
 
+def test_an_assessment_is_profile_and_checks_from_one_pass(rows, workspace):
+    spec = ProfileSpec(("k", "s"), ("n",), ("k", "s"))
+    rules = [is_complete("s", 0.7), is_unique("k", "s"), is_unique("k"), is_complete("absent")]
+    staged = []
+
+    def stage(frame, name):
+        staged.append(name)
+        return workspace.stage(frame, name)
+
+    both = assess(rows, spec, rules, "t", stage, "x")
+    assert values(both.profile) == values(profile(rows, spec))
+    assert both.checks.collect() == run_checks(rows, rules, "t").collect()
+    assert staged == ["totals_x", "uniqueness_x_0", "uniqueness_x_1"]
+
+
 def test_all_rules_hold(rows):
     results = run_checks(rows, [is_complete("k"), is_unique("k", "s")], "t")
     assert {r.check_status for r in results.collect()} == {"Success"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,29 +89,50 @@ def run_checks(
 
     A rule on a missing column fails, unless it applies only to a present one.
     """
-    present = set(df.columns)
-    rules = [r for r in rules if not r.only_if_present or set(r.columns) <= present]
-    if not rules:
+    rules = applicable(df, rules)
+    totals = df.agg(F.count(F.lit(1)), *rule_aggregates(df, rules))
+    return check_rows(df, rules, check, level, totals, partial(key_uniqueness, df))
+
+
+def applicable(df: DataFrame, rules: Sequence[Constraint]) -> list[Constraint]:
+    """The rules without those for absent optional columns."""
+    kept = [r for r in rules if not (r.only_if_present and _missing(df, r))]
+    if not kept:
         raise ValueError("no rule applies")
-    known = [set(r.columns) <= present for r in rules]
-    single = [i for i, r in enumerate(rules) if known[i] and r.measure is not None]
-    totals = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[rules[i].measure().alias(f"m{i}") for i in single]
-    )
-    structs = []
-    for i, rule in enumerate(rules):
-        if rule.measure is not None or not known[i]:
-            value = F.col(f"m{i}") if known[i] else F.lit(None).cast("double")
-            missing = [c for c in rule.columns if c not in present]
-            structs.append(_verdict(i, rule, value, missing))
-    parts = [totals.select(F.inline(F.array(*structs)))] if structs else []
+    return kept
+
+
+def rule_aggregates(df: DataFrame, rules: Sequence[Constraint]) -> list[Column]:
+    """The measures of the rules on present columns, named c0, c1, ... by the place of the rule."""
+    return [
+        rule.measure().alias(f"c{i}")
+        for i, rule in enumerate(rules)
+        if rule.measure is not None and not _missing(df, rule)
+    ]
+
+
+def check_rows(
+    df: DataFrame,
+    rules: Sequence[Constraint],
+    check: str,
+    level: str,
+    totals: DataFrame,
+    uniqueness: Callable[[Sequence[str]], DataFrame],
+) -> DataFrame:
+    """The check results, from totals that hold ``rule_aggregates``."""
+    structs, parts = [], []
     for i, rule in enumerate(rules):
-        if rule.measure is None and known[i]:
-            verdict = F.inline(F.array(_verdict(i, rule, F.col("value"), [])))
-            parts.append(key_uniqueness(df, rule.columns).select(verdict))
-    verdicts = parts[0]
-    for part in parts[1:]:
-        verdicts = verdicts.unionByName(part)
+        missing = _missing(df, rule)
+        if missing:
+            structs.append(_verdict(i, rule, F.lit(None).cast("double"), missing))
+        elif rule.measure is not None:
+            structs.append(_verdict(i, rule, F.col(f"c{i}")))
+        else:
+            verdict = F.inline(F.array(_verdict(i, rule, F.col("value"))))
+            parts.append(uniqueness(rule.columns).select(verdict))
+    if structs:
+        parts.append(totals.select(F.inline(F.array(*structs))))
+    verdicts = reduce(DataFrame.unionByName, parts)
     # One row for each rule: the array is as long as the rule list, whatever the table holds.
     verdict = F.struct("place", "constraint", "passed", "message")
     whole = verdicts.agg(
@@ -136,7 +158,13 @@ def _share(holds: Column) -> Column:
     return F.try_divide(F.count_if(holds), F.count(F.lit(1)))
 
 
-def _verdict(place: int, rule: Constraint, value: Column, missing: list[str]) -> Column:
+def _missing(df: DataFrame, rule: Constraint) -> list[str]:
+    return [c for c in rule.columns if c not in df.columns]
+
+
+def _verdict(
+    place: int, rule: Constraint, value: Column, missing: Sequence[str] = ()
+) -> Column:
     passed = F.coalesce(rule.accepts(value), F.lit(False))
     if missing:
         message = F.lit(f"Missing column: {', '.join(missing)}")

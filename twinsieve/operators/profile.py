@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -54,6 +55,19 @@ def key_uniqueness(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def profile_aggregates(df: DataFrame, spec: ProfileSpec) -> list[tuple[str, str, str, Column]]:
+    """(entity, instance, name, aggregate) of each single-column metric that ``df`` allows."""
+    metrics = [("Dataset", "*", "Size", F.count(F.lit(1)))]
+    for column in spec.complete:
+        if column in df.columns:
+            metrics.append(("Column", column, "Completeness", completeness(column)))
+    for column in spec.numeric:
+        if column in df.columns:
+            for name, function in (("Mean", F.avg), ("Maximum", F.max), ("Minimum", F.min)):
+                metrics.append(("Column", column, name, function(column)))
+    return [(*labels, value.cast("double")) for *labels, value in metrics]
+
+
 def profile(df: DataFrame, spec: ProfileSpec, hidden: Sequence[str] = ()) -> DataFrame:
     """Size, completeness, mean, maximum, minimum, key uniqueness and schema of a table.
 
@@ -61,28 +75,30 @@ def profile(df: DataFrame, spec: ProfileSpec, hidden: Sequence[str] = ()) -> Dat
     is a second one. ``hidden`` columns are left out of the schema row. A metric without a
     value, such as the mean of a column of nulls, gives no row.
     """
-    seen = df.drop(*hidden)
-    metrics = [("Dataset", "*", "Size", F.count(F.lit(1)).cast("double"))]
-    for column in spec.complete:
-        if column in df.columns:
-            metrics.append(("Column", column, "Completeness", completeness(column)))
-    for column in spec.numeric:
-        if column in df.columns:
-            for name, function in (("Mean", F.avg), ("Maximum", F.max), ("Minimum", F.min)):
-                metrics.append(("Column", column, name, function(column).cast("double")))
-    measured = df.agg(*[m[3].alias(f"m{i}") for i, m in enumerate(metrics)])
+    aggregates = profile_aggregates(df, spec)
+    totals = df.agg(*[a[3].alias(f"p{i}") for i, a in enumerate(aggregates)])
+    return profile_rows(df.drop(*hidden), spec, aggregates, totals, partial(key_uniqueness, df))
+
+
+def profile_rows(
+    df: DataFrame,
+    spec: ProfileSpec,
+    aggregates: list[tuple[str, str, str, Column]],
+    totals: DataFrame,
+    uniqueness: Callable[[Sequence[str]], DataFrame],
+) -> DataFrame:
+    """The profile in long form, from totals named p0, p1, ... in the order of ``aggregates``."""
     rows = [
-        _row(entity, instance, name, F.col(f"m{i}").cast("string"))
-        for i, (entity, instance, name, _) in enumerate(metrics)
+        _row(entity, instance, name, F.col(f"p{i}").cast("string"))
+        for i, (entity, instance, name, _) in enumerate(aggregates)
     ]
-    rows.append(_row("Dataset", "*", "schema", F.lit(seen.schema.json())))
-    result = measured.select(F.inline(F.array(*rows)))
+    rows.append(_row("Dataset", "*", "schema", F.lit(df.schema.json())))
+    result = totals.select(F.inline(F.array(*rows)))
     if spec.unique_key and set(spec.unique_key) <= set(df.columns):
-        unique = key_uniqueness(df, spec.unique_key).select(
-            F.lit("Multicolumn").alias("entity"),
-            F.lit(",".join(spec.unique_key)).alias("instance"),
-            F.lit("Uniqueness").alias("name"),
-            F.col("value").cast("string").alias("value"),
+        key = ",".join(spec.unique_key)
+        value = F.col("value").cast("string")
+        unique = uniqueness(spec.unique_key).select(
+            F.inline(F.array(_row("Multicolumn", key, "Uniqueness", value)))
         )
         result = result.unionByName(unique)
     return result.where("value IS NOT NULL")

@@ -9,16 +9,12 @@ from pyspark.sql import DataFrame
 
 from twinsieve.functions.lsh import Banding, choose_banding
 from twinsieve.functions.minhash import SEED
+from twinsieve.operators.assessment import assess
 from twinsieve.operators.banding import bands, signatures, star_edges
-from twinsieve.operators.checks import (
-    REPOSITORY_CHECK,
-    REPOSITORY_RULES,
-    Constraint,
-    run_checks,
-)
+from twinsieve.operators.checks import REPOSITORY_CHECK, REPOSITORY_RULES, Constraint
 from twinsieve.operators.components import connected_components
 from twinsieve.operators.gates import enforce, row_count_gate, schema_gate
-from twinsieve.operators.profile import REPOSITORY_PROFILE, ProfileSpec, profile
+from twinsieve.operators.profile import REPOSITORY_PROFILE, ProfileSpec
 from twinsieve.operators.removal import keep_one
 from twinsieve.operators.skew import HOT_ROWS
 from twinsieve.sources.tables import attach_row_id, write_table
@@ -148,15 +144,17 @@ def run_job(
     found = find_duplicates(df, key, text, workspace, params)
     report = _Reports(workspace, reports or workspace.path("reports"))
     source = df.select(*columns)
-    profile_before = report.write(profile(source, profile_spec), "profile_before")
-    checks_before = report.write(run_checks(source, rules, check), "checks_before")
+    before = assess(source, profile_spec, rules, check, workspace.stage, "before")
+    profile_before = report.write(before.profile, "profile_before")
+    checks_before = report.write(before.checks, "checks_before")
     components = report.write(found.components, "components")
 
     write_table(keep_one(df, components, key).select(*columns), output)
     kept = workspace.spark.read.schema(source.schema).parquet(output)
 
-    profile_after = report.write(profile(kept, profile_spec), "profile_after")
-    checks_after = report.write(run_checks(kept, rules, check), "checks_after")
+    after = assess(kept, profile_spec, rules, check, workspace.stage, "after")
+    profile_after = report.write(after.profile, "profile_after")
+    checks_after = report.write(after.checks, "checks_after")
     row_count = report.write(row_count_gate(profile_before, profile_after), "row_count_gate")
     schema = report.write(schema_gate(profile_before, profile_after), "schema_gate")
     if strict:
