@@ -52,7 +52,12 @@ from twinsieve.plans.snowflake import (  # noqa: E402
     wide_view,
 )
 from twinsieve.sources.layout import clustered, range_bucket, write_layout  # noqa: E402
-from twinsieve.sources.tables import attach_row_id, fill_cluster, read_table  # noqa: E402
+from twinsieve.sources.tables import (  # noqa: E402
+    attach_row_id,
+    fill_cluster,
+    read_table,
+    read_with_row_id,
+)
 from twinsieve.sources.workspace import Workspace  # noqa: E402
 
 PARAMS = DedupParams()
@@ -93,6 +98,11 @@ def row_id_attach(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def row_id_scan(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{sf}/documents.parquet"
+    return read_with_row_id(spark, path, Workspace(spark), columns=["doc_id", "n_chars"])
+
+
 def staged_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return Workspace(spark).stage(_documents(spark, sf), "documents")
 
@@ -407,6 +417,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "table_scan": table_scan,
         "row_id_attach": row_id_attach,
+        "row_id_scan": row_id_scan,
         "staged_roundtrip": staged_roundtrip,
         "range_bucket": range_bucket_layout,
         "clustered_layout": clustered_layout,

@@ -153,6 +153,11 @@ def statements() -> dict[str, str]:
         "table_scan": "SELECT doc_id, lang, source, n_chars FROM documents",
         "row_id_attach": """
             SELECT count(*) AS n_rows, count(*) AS n_ids, 0::BIGINT AS n_null FROM lineitem""",
+        # The tables are one file each, in the order of the key.
+        "row_id_scan": """
+            SELECT doc_id, n_chars,
+                   (1::BIGINT << 33) + row_number() OVER (ORDER BY doc_id) - 1 AS row_id
+            FROM documents""",
         "staged_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "range_bucket": """
             SELECT CASE WHEN n_chars < 0 THEN 0 WHEN n_chars >= 10000 THEN 11

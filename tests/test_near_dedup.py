@@ -9,6 +9,7 @@ from twinsieve.operators.banding import signatures
 from twinsieve.operators.checks import is_complete, is_unique
 from twinsieve.operators.gates import GateFailed
 from twinsieve.operators.profile import ProfileSpec
+from twinsieve.sources.tables import read_with_row_id
 
 PARAMS = DedupParams(num_perm=64)
 RULES = (is_complete("key"), is_unique("key"))
@@ -118,6 +119,18 @@ def test_job_without_a_key(sparse, workspace):
     assert '"__row_id"' not in str(result.profile_before.collect())
 
 
+def test_job_on_files_without_a_key(spark, sparse, workspace):
+    """Ids of the scan serve the job and are left out of the output, without a copy."""
+    path = workspace.path("input")
+    sparse.select("content").repartition(4).write.parquet(path)
+    docs = read_with_row_id(spark, path, workspace)
+    spec = ProfileSpec(("content",))
+    rules = (is_complete("content"),)
+    result = job(docs, workspace, key="row_id", keep_key=False, profile_spec=spec, rules=rules)
+    assert result.kept.columns == ["content"] and result.kept.count() == 100
+    assert '"row_id"' not in str(result.profile_before.collect())
+
+
 def test_gate_fails_when_nothing_is_removed(sparse, workspace):
     with pytest.raises(GateFailed, match="row count"):
         job(sparse.where("key < 100"), workspace)

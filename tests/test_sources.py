@@ -6,7 +6,8 @@ from twinsieve import Workspace, read_table, write_table
 from twinsieve.operators.keys import dense_key
 from twinsieve.sources import workspace as workspace_module
 from twinsieve.sources.layout import clustered, range_bucket, write_layout
-from twinsieve.sources.tables import attach_row_id, fill_cluster
+from twinsieve.sources import tables
+from twinsieve.sources.tables import attach_row_id, fill_cluster, read_with_row_id
 
 
 def plan(frame):
@@ -84,6 +85,30 @@ def test_row_ids_are_unique_and_frozen(spark, workspace):
         attach_row_id(rows, workspace)
 
 
+@pytest.mark.parametrize("limit", [10**6, 1])
+def test_file_row_ids_do_not_depend_on_the_scan(spark, workspace, monkeypatch, limit):
+    """Same ids when the files are split otherwise, other columns are read or rows filtered."""
+    monkeypatch.setattr(tables, "BROADCAST_FILES", limit)
+    path = workspace.path("files")
+    rows = spark.range(5000).selectExpr("id", "sha2(cast(id as string), 512) AS text")
+    rows.repartition(3).write.option("parquet.block.size", "20000").parquet(path)
+    whole = read_with_row_id(spark, path, workspace)
+    first = plain.pairs(whole, "id", "row_id")
+    assert len({r for _, r in first}) == 5000
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        again = read_with_row_id(spark, path, workspace, columns=["id"], name="again")
+        assert again.columns == ["id", "row_id"]
+        assert plain.pairs(again, "id", "row_id") == first
+        some = plain.pairs(again.where("id >= 4000"), "id", "row_id")
+        assert some == {pair for pair in first if pair[0] >= 4000}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(ValueError):
+        read_with_row_id(spark, path, workspace, column="id")
+
+
 def test_small_scans_fill_the_cluster_and_large_ones_stay(spark, workspace):
     small = workspace.stage(spark.range(100).coalesce(1), "small")
     assert "Exchange" in plan(fill_cluster(small, "id"))

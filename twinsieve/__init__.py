@@ -10,7 +10,7 @@ from twinsieve.plans.near_dedup import (
     near_dedup,
     run_job,
 )
-from twinsieve.sources.tables import read_table, write_table
+from twinsieve.sources.tables import read_table, read_with_row_id, write_table
 from twinsieve.sources.workspace import Workspace
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "find_duplicates",
     "near_dedup",
     "read_table",
+    "read_with_row_id",
     "run_job",
     "write_table",
 ]

@@ -129,15 +129,16 @@ def run_job(
     check: str = REPOSITORY_CHECK,
     strict: bool = False,
     reports: str | None = None,
+    keep_key: bool = True,
 ) -> JobResult:
     """Profile and check a table, write it without near-duplicates, profile and check again.
 
-    Without a ``key`` each row gets a generated id, which is not part of the output. Reports go
-    to ``reports`` (default: the workspace, so they last as long as it does). The gates run
-    after the output and all reports are written and raise ``GateFailed``; failed checks raise
-    only if ``strict``.
+    Without a ``key`` each row gets a generated id, which is not part of the output; a key that
+    only serves the job is left out with ``keep_key`` false. Reports go to ``reports`` (default:
+    the workspace, so they last as long as it does). The gates run after the output and all
+    reports are written and raise ``GateFailed``; failed checks raise only if ``strict``.
     """
-    columns = df.columns
+    columns = [c for c in df.columns if keep_key or c != key]
     if key is None:
         key = _ROW_ID
         df = attach_row_id(df, workspace, key)

@@ -6,10 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from twinsieve.operators.keys import dense_key
 from twinsieve.sources.workspace import Workspace
 
 # Fixed value: rows in one output file at most.
 MAX_RECORDS_PER_FILE = 300_000
+# Up to this many file numbers are broadcast.
+BROADCAST_FILES = 200_000
 
 
 def read_table(
@@ -47,13 +50,45 @@ def attach_row_id(
     """Give every row a unique LONG and freeze it by staging the table.
 
     The ids depend on how the source is split, so they are good for one run only. A table
-    with a key of its own needs neither the ids nor the copy.
+    with a key of its own needs neither the ids nor the copy, and Parquet files can be read
+    with ids that need no copy, see ``read_with_row_id``.
     """
     if column in df.columns:
         raise ValueError(f"column {column} exists already")
     return workspace.stage(df.withColumn(column, F.monotonically_increasing_id()), name)
 
 
+def read_with_row_id(
+    spark: SparkSession,
+    source: str,
+    workspace: Workspace,
+    column: str = "row_id",
+    columns: Sequence[str] | None = None,
+    name: str = "source_files",
+) -> DataFrame:
+    """Parquet files with a unique LONG for each row that stays the same in every scan.
+
+    The id is made of a number for the file, by order of its path, and the row's place in the
+    file. Neither depends on how the scan is split, so nothing is copied: only the file numbers
+    are staged. They are counted before they are broadcast.
+    """
+    scan = spark.read.parquet(source)
+    columns = list(columns or scan.columns)
+    if column in columns:
+        raise ValueError(f"column {column} exists already")
+    paths = scan.select(F.col("_metadata.file_path").alias("__path")).distinct()
+    files = dense_key(paths, ["__path"], "__file", workspace, name)
+    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    place = F.shiftleft("__file", 33).bitwiseOR(F.col("__place"))
+    located = scan.select(
+        *columns,
+        F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.row_index").alias("__place"),
+    )
+    return located.join(files, "__path").select(*columns, place.alias(column))
+
+
 def fill_cluster(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over all cores if it is too small to give each core one full split.
 
