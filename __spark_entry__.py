@@ -62,6 +62,7 @@ from twinsieve.sources.workspace import Workspace  # noqa: E402
 
 PARAMS = DedupParams()
 SIZES = ProfileSpec()
+DOCUMENTS_PROFILE = ProfileSpec(("doc_id", "text"), ("n_chars",), ("doc_id",))
 LINES_PROFILE = ProfileSpec(
     complete=("l_orderkey", "l_returnflag", "no_such_column"),
     numeric=("l_quantity", "l_extendedprice"),
@@ -238,7 +239,7 @@ def near_dedup_job(spark: SparkSession, sf: str) -> DataFrame:
         workspace,
         text="text",
         key="doc_id",
-        profile_spec=ProfileSpec(("doc_id", "text", "lang"), ("n_chars",), ("doc_id",)),
+        profile_spec=DOCUMENTS_PROFILE,
         rules=(is_complete("doc_id"), is_unique("doc_id"), is_non_negative("n_chars")),
         check="documents",
     )
@@ -311,7 +312,7 @@ def metric_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schema_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = profile(_lines(spark, sf), SIZES)
+    metrics = profile(_lines(spark, sf), LINES_PROFILE)
     shape = "struct<fields: array<struct<name: string, type: string>>>"
     whole = metrics.agg(
         F.max(F.when(F.col("name") == "schema", F.col("value"))).alias("schema"),
@@ -331,7 +332,7 @@ def schema_changes(spark: SparkSession, sf: str) -> DataFrame:
     changed = rows.drop("lang").withColumns(
         {"n_chars": F.col("n_chars").cast("double"), "is_long": F.col("n_chars") > 1000}
     )
-    return schema_gate(profile(rows, SIZES), profile(changed, SIZES))
+    return schema_gate(profile(rows, DOCUMENTS_PROFILE), profile(changed, DOCUMENTS_PROFILE))
 
 
 def pk_audit(spark: SparkSession, sf: str) -> DataFrame:

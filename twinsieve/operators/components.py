@@ -82,35 +82,41 @@ def connected_components(
     max_rounds: int = 100,
     hot_rows: int = HOT_ROWS,
     name: str = "components",
+    prepared: bool = False,
 ) -> DataFrame:
     """(id, component) of every node but the smallest of each component.
 
     ``component`` is the smallest node. Each round is staged; the driver only learns counts.
     No step adds edges, so the first count bounds every later one. In a graph of more than
     ``hot_rows`` edges, components that are done leave the loop, so late rounds are small.
+    ``prepared`` says that the edges are staged already, distinct and each from the larger to
+    the smaller node.
     """
-    state = workspace.stage(_downward(edges), f"{name}-0")
+    state = edges if prepared else workspace.stage(_downward(edges), f"{name}-0")
     at_most = state.count()
     done: list[DataFrame] = []
     for turn in range(max_rounds + 1):
-        open_nodes = workspace.stage(unsettled(state), f"{name}-unsettled-{turn}")
+        open_nodes = unsettled(state)
+        large_graph = at_most > hot_rows
+        if large_graph:
+            open_nodes = workspace.stage(open_nodes, f"{name}-{turn}-unsettled")
         if open_nodes.isEmpty():
             return _labels([*done, state])
         if turn == max_rounds:
             break
-        if at_most > hot_rows:
+        if large_graph:
             split = _split_done(state, open_nodes, workspace, f"{name}-{turn}")
             if split:
                 done.append(split[0])
                 state = split[1]
                 at_most = state.count()
-        large = large_star(state, workspace, hot_rows, at_most, f"{name}-heavy-large-{turn}")
+        large = large_star(state, workspace, hot_rows, at_most, f"{name}-{turn}-heavy-large")
         if 2 * at_most > hot_rows:
-            large = workspace.stage(large, f"{name}-large-{turn}")
-        small = small_star(large, workspace, hot_rows, at_most, f"{name}-heavy-small-{turn}")
+            large = workspace.stage(large, f"{name}-{turn}-large")
+        small = small_star(large, workspace, hot_rows, at_most, f"{name}-{turn}-heavy-small")
         state = workspace.stage(small, f"{name}-{turn + 1}")
-        for old in (f"{turn}", f"{turn}-open", f"{turn}-centres", f"large-{turn}"):
-            workspace.drop(f"{name}-{old}")
+        for old in ("", "-unsettled", "-centres", "-open", "-large"):
+            workspace.drop(f"{name}-{turn}{old}")
     raise NotConverged(f"components still changed after {max_rounds} rounds")
 
 

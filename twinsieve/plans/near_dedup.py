@@ -101,7 +101,7 @@ def find_duplicates(
     edges = workspace.stage(
         star_edges(bands(signed, banding), workspace, hot_rows, at_most), "edges"
     )
-    components = connected_components(edges, workspace, max_rounds, hot_rows)
+    components = connected_components(edges, workspace, max_rounds, hot_rows, prepared=True)
     return Duplicates(banding, signed, edges, components)
 
 
