@@ -127,8 +127,8 @@ def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _documents(spark, sf)
-    return rows.select("doc_id", token_count("text").cast("bigint").alias("n_tokens"))
+    count = token_count("text").cast("bigint").alias("n_tokens")
+    return _texts(spark, sf).select("doc_id", count)
 
 
 def ngrams(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +175,9 @@ def lsh_buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 def lsh_edges(spark: SparkSession, sf: str) -> DataFrame:
     workspace = Workspace(spark)
-    return star_edges(_banded(spark, sf, workspace), workspace)
+    signed, banding = _signed(spark, sf, workspace), PARAMS.banding()
+    at_most = signed.count() * banding.bands
+    return star_edges(bands(signed, banding), workspace, at_most=at_most)
 
 
 # Graph
@@ -184,24 +186,30 @@ def lsh_edges(spark: SparkSession, sf: str) -> DataFrame:
 def _part_edges(spark: SparkSession, sf: str, workspace: Workspace) -> DataFrame:
     """Parts linked to the smallest part of the same order."""
     lines = _table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("src"))
-    linked = with_group_min(lines, ["l_orderkey"], "src", "dst", workspace)
+    linked = with_group_min(
+        lines, ["l_orderkey"], "src", "dst", workspace, at_most=lines.count()
+    )
     return workspace.stage(linked.where("src > dst").select("src", "dst").distinct(), "edges")
 
 
 def large_star_step(spark: SparkSession, sf: str) -> DataFrame:
     workspace = Workspace(spark)
-    return large_star(_part_edges(spark, sf, workspace), workspace)
+    edges = _part_edges(spark, sf, workspace)
+    return large_star(edges, workspace, at_most=edges.count())
 
 
 def small_star_step(spark: SparkSession, sf: str) -> DataFrame:
     workspace = Workspace(spark)
-    return small_star(_part_edges(spark, sf, workspace), workspace)
+    edges = _part_edges(spark, sf, workspace)
+    return small_star(edges, workspace, at_most=edges.count())
 
 
 def edge_symmetric_diff(spark: SparkSession, sf: str) -> DataFrame:
     workspace = Workspace(spark)
-    large = workspace.stage(large_star(_part_edges(spark, sf, workspace), workspace), "large")
-    return symmetric_difference(large, small_star(large, workspace))
+    edges = _part_edges(spark, sf, workspace)
+    at_most = edges.count()
+    large = workspace.stage(large_star(edges, workspace, at_most=at_most), "large")
+    return symmetric_difference(large, small_star(large, workspace, at_most=at_most))
 
 
 def _duplicates(spark: SparkSession, sf: str) -> Duplicates:

@@ -159,5 +159,7 @@ def _downward(edges: DataFrame) -> DataFrame:
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows found in exactly one of the two frames."""
-    return left.subtract(right).union(right.subtract(left))
+    """Distinct rows found in exactly one of the two frames, from one shuffle."""
+    sides = left.withColumn("__side", F.lit(1)).union(right.withColumn("__side", F.lit(2)))
+    seen = sides.groupBy(*left.columns).agg(F.bit_or("__side").alias("__side"))
+    return seen.where(F.col("__side") < 3).drop("__side")
