@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import plain
@@ -85,6 +86,14 @@ def test_many_hashes_are_done_in_parts():
     assert minhash._minima(hashes, a, b)[:5].tolist() == expected
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=80), st.integers(1, 6), st.integers(0, 8))
+def test_hashes_of_any_text(text, n, least):
+    parts = minhash.text_hashes(text.encode(), n, least, minhash._byte_classes())
+    got = {int(h) for part in parts for h in part}
+    assert got == {plain.hash32(s) for s in plain.shingles(text, n, least)}
+
+
 def test_bad_sizes():
     with pytest.raises(ValueError):
         minhash.signature_rows(0, 5, 16)

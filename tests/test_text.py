@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import plain
+from twinsieve.functions import minhash
 from twinsieve.functions.text import hash32, shingle_hashes, shingles, token_count, tokens
 
 
@@ -46,6 +49,26 @@ def test_shingle_hashes(frame, texts):
         assert set(got[i] or []) == {plain.hash32(s) for s in plain.shingles(text)}
 
 
+def test_any_unicode_text_splits_alike(spark):
+    """Control characters, combining marks, case-folding oddities and astral planes."""
+    rng = random.Random(17)
+    pools = [(0, 0x7F), (0x80, 0x24F), (0x300, 0x36F), (0x2000, 0x2FFF), (0x1F300, 0x1FAFF)]
+    texts = []
+    for _ in range(400):
+        chars = [chr(rng.randint(*rng.choice(pools))) for _ in range(rng.randint(0, 40))]
+        texts.append("".join(chars))
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = rows.select("id", tokens("text").alias("t"), shingle_hashes("text", 2, 2).alias("h"))
+    classes = minhash._byte_classes()
+    for row in got.collect():
+        text = texts[row.id]
+        assert row.t == plain.tokens(text)
+        expected = {plain.hash32(s) for s in plain.shingles(text, 2, 2)}
+        assert set(row.h) == expected
+        parts = minhash.text_hashes(text.encode(), 2, 2, classes)
+        assert {int(h) for part in parts for h in part} == expected
+
+
 def test_bad_sizes():
     with pytest.raises(ValueError):
         shingles("text", 0)
