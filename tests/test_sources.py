@@ -112,12 +112,7 @@ def test_file_row_ids_do_not_depend_on_the_scan(spark, workspace, monkeypatch, l
 def test_small_scans_fill_the_cluster_and_large_ones_stay(spark, workspace):
     small = workspace.stage(spark.range(100).coalesce(1), "small")
     assert "Exchange" in plan(fill_cluster(small, "id"))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "10b")
-    try:
-        assert "Exchange" not in plan(fill_cluster(small, "id"))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert "Exchange" not in plan(fill_cluster(small, "id", split_bytes=10))
 
 
 def test_range_buckets(spark):

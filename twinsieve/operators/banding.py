@@ -50,9 +50,14 @@ def buckets(banded: DataFrame) -> DataFrame:
 def star_edges(
     banded: DataFrame, workspace: Workspace, hot_rows: int = HOT_ROWS, at_most: int | None = None
 ) -> DataFrame:
-    """Distinct (src, dst): each member of a bucket but the smallest, with the smallest."""
+    """Distinct (src, dst): each member of a bucket but the smallest, with the smallest.
+
+    The band key leads the grouping, since its first bytes tell nearly all rows apart and so
+    settle the sort; the band has few values.
+    """
+    keys = ["band_key", "band"]
     linked = with_group_min(
-        banded, ["band", "band_key"], "id", "min_id", workspace, "heavy_buckets", hot_rows, at_most
+        banded, keys, "id", "min_id", workspace, "heavy_buckets", hot_rows, at_most
     )
     return (
         linked.where(F.col("id") > F.col("min_id"))

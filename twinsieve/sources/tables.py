@@ -11,6 +11,8 @@ from twinsieve.sources.workspace import Workspace
 
 # Fixed value: rows in one output file at most.
 MAX_RECORDS_PER_FILE = 300_000
+# The default size of a full split of a scan.
+SPLIT_BYTES = 128 << 20
 # Up to this many file numbers are broadcast.
 BROADCAST_FILES = 200_000
 
@@ -89,17 +91,13 @@ def read_with_row_id(
     return located.join(files, "__path").select(*columns, place.alias(column))
 
 
-def fill_cluster(df: DataFrame, *keys: str) -> DataFrame:
+def fill_cluster(df: DataFrame, *keys: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Spread a scan over all cores if it is too small to give each core one full split.
 
     Meant for costly per-row work. A table with few row groups would otherwise run in one or
     two tasks. The planner's size estimate is checked: beyond one full split for each core the
     scan is returned as it is, so a large table is never shuffled for this.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
+    cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(4 * cores, *keys) if size < cores * split else df
+    return df.repartition(4 * cores, *keys) if size < cores * split_bytes else df
