@@ -1,11 +1,15 @@
 import pytest
 
+from twinsieve.operators import removal
 from twinsieve.operators.removal import keep_one, removed
 
 
-@pytest.mark.parametrize("limit", [10**6, 10], ids=["broadcast", "bits"])
+@pytest.mark.parametrize(
+    "limit, full", [(10**6, 10**9), (10, 10**9), (10, 20)], ids=["broadcast", "bits", "join"]
+)
 @pytest.mark.parametrize("kind", ["long", "string"])
-def test_rows_are_split_exactly(spark, limit, kind):
+def test_rows_are_split_exactly(spark, monkeypatch, limit, full, kind):
+    monkeypatch.setattr(removal, "FULL_BITS", full)
     docs = spark.range(2000).selectExpr(f"cast(id as {kind}) AS key", "id AS n", "'t' AS text")
     parts = spark.range(0, 2000, 3).selectExpr(f"cast(id as {kind}) AS id", "0 AS component")
     kept = keep_one(docs, parts, "key", limit)

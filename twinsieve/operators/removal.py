@@ -9,6 +9,8 @@ BROADCAST_KEYS = 1_000_000
 # The filter beyond that: 65 536 rows of 4096 bytes, 2^31 bits or 256 MB whatever the data size.
 _BIT_COUNT = 1 << 31
 _BITS_PER_ROW = 1 << 15
+# With more keys than this the filter would let too few rows pass.
+FULL_BITS = _BIT_COUNT // 2
 
 
 def keep_one(
@@ -17,45 +19,41 @@ def keep_one(
     """The rows that are in no component or are the smallest of theirs, with the same schema.
 
     ``components`` should be a staged table: it is counted here. Few removed keys are
-    broadcast, so ``df`` is not shuffled. Otherwise a bit array of fixed size marks the hashes
-    of the removed keys: rows whose bit is not set are kept without a shuffle, and the others,
-    about as many as are removed, meet the exact key list in a shuffled hash join. ``df`` is
-    then read twice, which costs less than to shuffle all of its text.
+    broadcast, so ``df`` is not shuffled. Beyond that a bit array of fixed size marks the hashes
+    of the removed keys: rows whose bit is not set are kept without a shuffle, and the others
+    meet the exact key list in a shuffled hash join. ``df`` is then read twice, which costs less
+    than to shuffle all of its text. With so many keys that most bits would be set, all rows
+    take the join.
     """
-    dropped = _removed_keys(components, key)
-    if _few(dropped, broadcast_keys):
-        return df.join(F.broadcast(dropped), key, "left_anti").select(*df.columns)
-    marked = (
-        df.withColumn("__row", _bit_row(key))
-        .join(F.broadcast(_bit_rows(dropped, key)), "__row", "left")
-        .withColumn("__maybe", _bit_set(key))
-    )
-    sure = marked.where(~F.col("__maybe")).select(*df.columns)
-    checked = marked.where("__maybe").join(dropped.hint("shuffle_hash"), key, "left_anti")
-    return sure.unionByName(checked.select(*df.columns))
+    return _rows(df, components, key, broadcast_keys, "left_anti")
 
 
 def removed(
     df: DataFrame, components: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
     """The rows that ``keep_one`` leaves out."""
-    dropped = _removed_keys(components, key)
-    if _few(dropped, broadcast_keys):
-        return df.join(F.broadcast(dropped), key, "left_semi").select(*df.columns)
-    maybe = (
-        df.withColumn("__row", _bit_row(key))
-        .join(F.broadcast(_bit_rows(dropped, key)), "__row", "left")
-        .where(_bit_set(key))
-    )
-    return maybe.join(dropped.hint("shuffle_hash"), key, "left_semi").select(*df.columns)
-
+    return _rows(df, components, key, broadcast_keys, "left_semi")
 
-def _removed_keys(components: DataFrame, key: str) -> DataFrame:
-    return components.select(F.col("id").alias(key))
 
-
-def _few(keys: DataFrame, limit: int) -> bool:
-    return keys.limit(limit + 1).count() <= limit
+def _rows(
+    df: DataFrame, components: DataFrame, key: str, broadcast_keys: int, join: str
+) -> DataFrame:
+    keys = components.select(F.col("id").alias(key))
+    count = keys.count()
+    if count <= broadcast_keys:
+        return df.join(F.broadcast(keys), key, join).select(*df.columns)
+    exact = keys.hint("shuffle_hash")
+    if count > FULL_BITS:
+        return df.join(exact, key, join).select(*df.columns)
+    marked = (
+        df.withColumn("__row", _bit_row(key))
+        .join(F.broadcast(_bit_rows(keys, key)), "__row", "left")
+        .withColumn("__maybe", _bit_set(key))
+    )
+    checked = marked.where("__maybe").join(exact, key, join).select(*df.columns)
+    if join == "left_semi":
+        return checked
+    return marked.where(~F.col("__maybe")).select(*df.columns).unionByName(checked)
 
 
 def _bit(key: str) -> Column:
