@@ -81,7 +81,7 @@ def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     less p where that sum reaches p. The low 32 bits of the sum need no mask, so with y = x + 1
     the quick form is w = low32(y + (y >> 61)), one more than the wanted value. Where the sum
     reaches p, which is rare, w lies in 0..7. A minimum of w above 7 proves that no such value
-    took part; any other set of hashes is done again with the subtraction.
+    took part; any other set of hashes is done again with the plain remainder.
     """
     best = _least(hashes, a, b + np.uint64(1), exact=False)
     return _least(hashes, a, b, exact=True) if (best <= 7).any() else best - np.uint32(1)
@@ -120,7 +120,6 @@ def signature_rows(
     pairs = permutations(num_perm, seed)[: used or num_perm]
     a, b = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
     classes = _byte_classes()
-
     known: dict[bytes, bytes | None] = {}
 
     def pack(text: pa.StringScalar) -> bytes | None:
