@@ -57,14 +57,18 @@ def test_buckets(signed, signatures):
     assert sorted((r.band, r.min_id, r.n) for r in got) == expected
 
 
-def test_heavy_groups_are_found(spark):
+def test_heavy_groups_are_found(spark, workspace):
     rows = spark.createDataFrame(
         [("hot", i) for i in range(300)] + [(f"k{i % 200}", i) for i in range(600)],
         "k string, v long",
     )
-    assert plain.pairs(heavy_groups(rows, ["k"], "v", "low", 100), "k", "low") == {("hot", 0)}
-    assert heavy_groups(rows, ["k"], "v", "low", 1000) is None
-    assert heavy_groups(rows.where("v < 0"), ["k"], "v", "low", 1) is None
+
+    def heavy(frame, hot_rows):
+        return heavy_groups(frame, ["k"], "v", "low", workspace, "heavy", hot_rows)
+
+    assert plain.pairs(heavy(rows, 100), "k", "low") == {("hot", 0)}
+    assert heavy(rows, 1000) is None
+    assert heavy(rows.where("v < 0"), 1) is None
 
 
 def test_a_known_bound_skips_the_search(spark, workspace):

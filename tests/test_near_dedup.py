@@ -76,6 +76,13 @@ def test_survivors_do_not_depend_on_partitioning(docs, workspace):
     assert len(answers) == 1
 
 
+def test_two_results_of_one_workspace_do_not_mix(docs, sparse, workspace):
+    one = near_dedup(docs, "key", "content", workspace, PARAMS)
+    two = near_dedup(sparse, "key", "content", workspace, PARAMS)
+    assert two.count() == 100
+    assert one.count() == docs.count() - len(expected_components(corpus(), PARAMS))
+
+
 def test_short_and_null_texts_are_kept(spark, workspace):
     rows = [(i, t) for i, t in enumerate([None, "", "a b c d", None, "", "a b c d"])]
     docs = spark.createDataFrame(rows, "key long, content string")

@@ -41,21 +41,22 @@ def test_scans_read_only_the_columns_asked_for(spark, workspace):
     assert "ReadSchema: struct<a:bigint>" in text and "GreaterThan(a,3)" in text
 
 
-def test_staging_cuts_lineage_and_overwrites(spark, workspace):
+def test_staging_cuts_lineage_and_never_overwrites(spark, workspace):
     first = workspace.stage(spark.range(5), "t")
-    assert first.count() == 5 and "Range" not in plan(first)
     assert workspace.stage(spark.range(7), "t").count() == 7
+    assert first.count() == 5 and "Range" not in plan(first)
 
 
 def test_workspace_is_removed(spark):
     space = Workspace(spark)
     path = spark._jvm.org.apache.hadoop.fs.Path(space.root)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    staged = spark._jvm.org.apache.hadoop.fs.Path(space.path("staged"))
     with space:
-        space.stage(spark.range(1), "t")
-        assert system.exists(path)
-        space.drop("t")
-        assert not system.exists(spark._jvm.org.apache.hadoop.fs.Path(space.path("t")))
+        table = space.stage(spark.range(1), "t")
+        kept = space.stage(spark.range(2), "t")
+        space.drop(table)
+        assert len(system.listStatus(staged)) == 1 and kept.count() == 2
     assert not system.exists(path)
 
 

@@ -92,31 +92,35 @@ def connected_components(
     ``prepared`` says that the edges are staged already, distinct and each from the larger to
     the smaller node.
     """
-    state = edges if prepared else workspace.stage(_downward(edges), f"{name}-0")
+    state = edges if prepared else workspace.stage(_downward(edges), f"{name}-start")
     at_most = state.count()
     done: list[DataFrame] = []
     for turn in range(max_rounds + 1):
+        stale = [] if prepared and turn == 0 else [state]
         open_nodes = unsettled(state)
         large_graph = at_most > hot_rows
         if large_graph:
-            open_nodes = workspace.stage(open_nodes, f"{name}-{turn}-unsettled")
+            open_nodes = workspace.stage(open_nodes, f"{name}-unsettled")
+            stale.append(open_nodes)
         if open_nodes.isEmpty():
             return _labels([*done, state])
         if turn == max_rounds:
             break
         if large_graph:
-            split = _split_done(state, open_nodes, workspace, f"{name}-{turn}")
+            split = _split_done(state, open_nodes, workspace, name)
             if split:
                 done.append(split[0])
                 state = split[1]
+                stale.append(state)
                 at_most = state.count()
-        large = large_star(state, workspace, hot_rows, at_most, f"{name}-{turn}-heavy-large")
+        large = large_star(state, workspace, hot_rows, at_most, f"{name}-heavy")
         if 2 * at_most > hot_rows:
-            large = workspace.stage(large, f"{name}-{turn}-large")
-        small = small_star(large, workspace, hot_rows, at_most, f"{name}-{turn}-heavy-small")
-        state = workspace.stage(small, f"{name}-{turn + 1}")
-        for old in ("", "-unsettled", "-centres", "-open", "-large"):
-            workspace.drop(f"{name}-{turn}{old}")
+            large = workspace.stage(large, f"{name}-large-star")
+            stale.append(large)
+        small = small_star(large, workspace, hot_rows, at_most, f"{name}-heavy")
+        state = workspace.stage(small, f"{name}-round")
+        for table in stale:
+            workspace.drop(table)
     raise NotConverged(f"components still changed after {max_rounds} rounds")
 
 
@@ -134,12 +138,14 @@ def _split_done(
     above = edges.join(F.broadcast(nodes), F.col("src") == F.col("node"), "left_semi")
     centres = nodes.union(above.select("dst")).distinct()
     centres = workspace.stage(centres, f"{name}-centres")
-    if centres.limit(MAX_OPEN + 1).count() > MAX_OPEN:
-        return None
-    is_open = F.col("dst") == F.col("node")
-    done = edges.join(F.broadcast(centres), is_open, "left_anti")
-    rest = edges.join(F.broadcast(centres), is_open, "left_semi")
-    return workspace.stage(done, f"{name}-done"), workspace.stage(rest, f"{name}-open")
+    parts = None
+    if centres.limit(MAX_OPEN + 1).count() <= MAX_OPEN:
+        is_open = F.col("dst") == F.col("node")
+        done = edges.join(F.broadcast(centres), is_open, "left_anti")
+        rest = edges.join(F.broadcast(centres), is_open, "left_semi")
+        parts = workspace.stage(done, f"{name}-done"), workspace.stage(rest, f"{name}-open")
+    workspace.drop(centres)
+    return parts
 
 
 def _labels(parts: list[DataFrame]) -> DataFrame:

@@ -16,9 +16,15 @@ MAX_HOT_GROUPS = 10_000
 
 
 def heavy_groups(
-    rows: DataFrame, keys: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    workspace: Workspace,
+    name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame | None:
-    """Keys and minimum of the groups above ``hot_rows`` rows, or None if there are none.
+    """Keys and minimum of the groups above ``hot_rows`` rows, staged, or None if there are none.
 
     First all rows are counted in a fixed number of hash bins, which needs next to no shuffle.
     A group is at most as large as its bin, so small bins rule out nearly all groups at once
@@ -27,6 +33,7 @@ def heavy_groups(
     """
     bin_of = F.pmod(F.xxhash64(*keys), F.lit(BINS))
     bins = rows.groupBy(bin_of.alias("__bin")).agg(F.count(F.lit(1)).alias("__n"))
+    bins = workspace.stage(bins, f"{name}-bins")
     total, largest = bins.agg(F.sum("__n"), F.max("__n")).first()
     if total is None:
         return None
@@ -34,7 +41,7 @@ def heavy_groups(
     if largest <= limit:
         return None
     large_bins = F.broadcast(bins.where(F.col("__n") > limit).select("__bin"))
-    return (
+    heavy = (
         rows.withColumn("__bin", bin_of)
         .join(large_bins, "__bin", "left_semi")
         .groupBy(*keys)
@@ -44,6 +51,8 @@ def heavy_groups(
         .limit(MAX_HOT_GROUPS)
         .drop("__n")
     )
+    heavy = workspace.stage(heavy, name)
+    return None if heavy.isEmpty() else heavy
 
 
 def with_group_min(
@@ -66,10 +75,9 @@ def with_group_min(
     minimum = F.min(value).over(Window.partitionBy(*keys))
     heavy = None
     if at_most is None or at_most > hot_rows:
-        heavy = heavy_groups(rows, keys, value, out, hot_rows)
+        heavy = heavy_groups(rows, keys, value, out, workspace, name, hot_rows)
     if heavy is None:
         return rows.withColumn(out, minimum)
-    heavy = workspace.stage(heavy, name)
     hot = rows.join(F.broadcast(heavy), list(keys))
     cold = rows.join(F.broadcast(heavy.select(*keys)), list(keys), "left_anti")
     return cold.withColumn(out, minimum).unionByName(hot)

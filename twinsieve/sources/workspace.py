@@ -32,29 +32,39 @@ def _local_root() -> str:
 
 
 class Workspace:
-    """A run's own folder for staged tables, removed by ``close`` or at the end of a ``with``."""
+    """A run's own folder for staged tables, removed by ``close`` or at the end of a ``with``.
+
+    Frames made from staged tables are lazy, so write or collect them before that.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet"):
         self.spark = spark
         self.fmt = fmt
         self.root = f"{root or checkpoint_root(spark)}/twinsieve-{uuid.uuid4().hex}"
+        self._staged: dict[DataFrame, str] = {}
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` and return the written table.
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` under ``name``, overwriting, and return the written table."""
-        path = self.path(name)
-        df.write.mode("overwrite").format(self.fmt).save(path)
+        The folder is new each time, whatever the label, so no earlier frame changes.
+        """
+        path = self.path(f"staged/{uuid.uuid4().hex[:12]}-{label}")
+        df.write.format(self.fmt).save(path)
         reader = self.spark.read.format(self.fmt)
         # Table formats know their schema; plain files would be opened once more to infer it.
-        return (reader.schema(df.schema) if self.fmt in _PLAIN_FILES else reader).load(path)
+        table = (reader.schema(df.schema) if self.fmt in _PLAIN_FILES else reader).load(path)
+        self._staged[table] = path
+        return table
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def drop(self, name: str) -> None:
-        """Delete one staged table that no frame in use reads any more."""
-        self._delete(self.path(name))
+    def drop(self, table: DataFrame) -> None:
+        """Delete a staged table that no frame in use reads any more."""
+        self._delete(self._staged.pop(table))
 
     def close(self) -> None:
+        self._staged.clear()
         self._delete(self.root)
 
     def _delete(self, path: str) -> None:
