@@ -135,8 +135,9 @@ def run_job(
 
     Without a ``key`` each row gets a generated id, which is not part of the output; a key that
     only serves the job is left out with ``keep_key`` false. Reports go to ``reports`` (default:
-    the workspace, so they last as long as it does). The gates run after the output and all
-    reports are written and raise ``GateFailed``; failed checks raise only if ``strict``.
+    folder "reports" of the workspace, which a second run replaces). The gates run after the
+    output and all reports are written and raise ``GateFailed``; failed checks raise only if
+    ``strict``.
     """
     columns = [c for c in df.columns if keep_key or c != key]
     if key is None:
