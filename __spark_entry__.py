@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
+from types import ModuleType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -422,7 +425,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return near_dedup(rows, "doc_id", "text", Workspace(spark), PARAMS)
 
 
+def _optional(name: str) -> ModuleType | None:
+    """A module that may be left out of a copy of the repository; its own import errors are raised."""
+    try:
+        found = importlib.util.find_spec(name)
+    except ModuleNotFoundError:
+        found = None
+    return importlib.import_module(name) if found else None
+
+
+_LLM = _optional("twinsieve.llm.queries")
+_PIPELINE = _optional("corpus_pipeline") if _LLM else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    extra = {"pipeline": _PIPELINE.run} if _PIPELINE else {}
+    return own_queries() | (_LLM.queries() if _LLM else {}) | extra
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "table_scan": table_scan,
         "row_id_attach": row_id_attach,
@@ -465,4 +486,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    sql = _PIPELINE.ORACLE_SQL if _PIPELINE else None
+    extra = {"pipeline": sql} if sql else {}
+    return oracles.statements() | (_LLM.oracle_sql() if _LLM else {}) | extra
