@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinsieve.llm import rules, shards
+from twinsieve.llm import circulant, packing, rules, shards
 from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
@@ -24,6 +25,16 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged.drop("text")
 
 
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    params = packing.PackParams(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.packed(_texts(spark, sf), params)
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return circulant.components(_texts(spark, sf), Workspace(spark))
+
+
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shards.sharded(_texts(spark, sf), Workspace(spark))
 
@@ -31,6 +42,8 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_quality_rules": op3_quality_rules,
+        "op4_packing": op4_packing,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_sharding": op10_sharding,
     }
 
