@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinsieve.llm import circulant, packing, rules, shards
+from twinsieve.llm import circulant, packing, rules, shards, toxicity
 from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
@@ -20,6 +20,13 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "documents").select("doc_id", "text")
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    texts = _texts(spark, sf)
+    model = toxicity.fit(texts, _table(spark, sf, "labels"), Workspace(spark))
+    found = toxicity.scored(texts, model)
+    return found.withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = rules.verdicts(_texts(spark, sf))
     return judged.drop("text")
@@ -41,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
         "op9_near_duplicates": op9_near_duplicates,
