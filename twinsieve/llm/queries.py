@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinsieve.llm import circulant, packing, rules, shards, toxicity
+from twinsieve.llm import circulant, packing, rules, shards, topk, toxicity, units
 from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
@@ -20,6 +20,11 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "documents").select("doc_id", "text")
 
 
+def op1_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("id") % 100 == 0, Workspace(spark))
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     texts = _texts(spark, sf)
     model = toxicity.fit(texts, _table(spark, sf, "labels"), Workspace(spark))
@@ -38,6 +43,10 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return units.deduplicated(_texts(spark, sf), Workspace(spark))
+
+
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return circulant.components(_texts(spark, sf), Workspace(spark))
 
@@ -48,9 +57,11 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_top_k": op1_top_k,
         "op2_toxicity": op2_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_sharding": op10_sharding,
     }

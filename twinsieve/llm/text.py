@@ -75,8 +75,30 @@ def word_hashes(
     fold: np.ndarray = LOWER,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the bounds of each text's words among them."""
+    hashes, starts, _ = word_spans(data, bounds, is_word, fold)
+    return hashes, np.searchsorted(starts, bounds)
+
+
+def blocks(bounds: np.ndarray, size: int = 2 * STRETCH) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``size`` bytes in all, or one text with more."""
+    start, count = 0, len(bounds) - 1
+    while start < count:
+        stop = int(np.searchsorted(bounds, bounds[start] + size, side="right")) - 1
+        stop = min(max(stop, start + 1), count)
+        yield start, stop
+        start = stop
+
+
+def word_spans(
+    data: np.ndarray,
+    bounds: np.ndarray,
+    is_word: np.ndarray = NOT_WHITE,
+    fold: np.ndarray = LOWER,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the bytes where each one starts and stops."""
     letters = _LETTERS[fold]
-    hashes, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    hashes = [np.empty(0, np.uint64)]
+    places, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for start, stop in _stretches(data, is_word):
         part = data[start:stop]
         inside = is_word[part]
@@ -100,8 +122,9 @@ def word_hashes(
         sums = np.add.reduceat(terms, heads)
         hashes.append(mixed(sums + lengths.astype(np.uint64)))
         places.append(begins + start)
-    found = np.concatenate(places)
-    return np.concatenate(hashes), np.searchsorted(found, bounds)
+        sizes.append(lengths)
+    starts = np.concatenate(places)
+    return np.concatenate(hashes), starts, starts + np.concatenate(sizes)
 
 
 def _power(places: np.ndarray) -> np.ndarray:
