@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinsieve.llm import circulant, packing, rules, shards, topk, toxicity, units
+from twinsieve.llm import circulant, masked_lm, packing, rules, shards, topk, toxicity, units, urls
 from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
@@ -43,6 +43,25 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return masked_lm.lm_scores(_texts(spark, sf), Workspace(spark))
+
+
+URL_RULES = (
+    (urls.ALLOW, "org/"),
+    (urls.BLOCK, "example.org/es/"),
+    (urls.BLOCK, "example.org/en/1"),
+    (urls.ALLOW, "com/fr/"),
+    (urls.BLOCK, "com/de/"),
+)
+
+
+def op6_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    labelled = spark.createDataFrame(urls.labelled_urls(), "url string, label int")
+    model = urls.fit(labelled, "url", "label")
+    return urls.judged(_table(spark, sf, "pages"), model, URL_RULES)
+
+
 def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return units.deduplicated(_texts(spark, sf), Workspace(spark))
 
@@ -61,6 +80,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
+        "op5_lm_scoring": op5_lm_scoring,
+        "op6_url_filters": op6_url_filters,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_sharding": op10_sharding,
