@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinsieve.llm import circulant, masked_lm, packing, rules, shards, topk, toxicity, units, urls
+from twinsieve.llm import circulant, masked_lm, packing, pieces, rules, shards, topk, toxicity, units, urls
 from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
@@ -62,6 +62,17 @@ def op6_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judged(_table(spark, sf, "pages"), model, URL_RULES)
 
 
+def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decoded(pieces.encoded(_texts(spark, sf), model), model)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        "ids",
+        F.crc32(F.encode("text", "UTF-8")).alias("decoded_crc32"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return units.deduplicated(_texts(spark, sf), Workspace(spark))
 
@@ -82,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_lm_scoring": op5_lm_scoring,
         "op6_url_filters": op6_url_filters,
+        "op7_sentencepiece": op7_sentencepiece,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_sharding": op10_sharding,
