@@ -2,79 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-# Up to this many removed keys are broadcast as they are.
-BROADCAST_KEYS = 1_000_000
-# The filter beyond that: 65 536 rows of 4096 bytes, 2^31 bits or 256 MB whatever the data size.
-_BIT_COUNT = 1 << 31
-_BITS_PER_ROW = 1 << 15
-# With more keys than this the filter would let too few rows pass.
-FULL_BITS = _BIT_COUNT // 2
+from twinsieve.operators.key_filter import with_maybe
 
 
-def keep_one(
-    df: DataFrame, components: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
+def keep_one(df: DataFrame, components: DataFrame, key: str) -> DataFrame:
     """The rows that are in no component or are the smallest of theirs, with the same schema.
 
-    ``components`` should be a staged table: it is counted here. Few removed keys are
-    broadcast, so ``df`` is not shuffled. Beyond that a bit array of fixed size marks the hashes
-    of the removed keys: rows whose bit is not set are kept without a shuffle, and the others
-    meet the exact key list in a shuffled hash join. ``df`` is then read twice, which costs less
-    than to shuffle all of its text. With so many keys that most bits would be set, all rows
-    take the join.
+    ``components`` should be a staged table: it is counted here. A bit array of bounded size marks
+    the hashes of the removed keys. Rows whose bit is not set are kept without a shuffle; the
+    others, which are the removed ones and few more, meet the exact key list in a join. ``df``
+    is read twice, which costs less than to shuffle all of its text.
     """
-    return _rows(df, components, key, broadcast_keys, "left_anti")
+    marked, exact = _marked(df, components, key)
+    kept = marked.where("NOT __maybe").select(*df.columns)
+    checked = marked.where("__maybe").join(exact, key, "left_anti").select(*df.columns)
+    return kept.unionByName(checked)
 
 
-def removed(
-    df: DataFrame, components: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
+def removed(df: DataFrame, components: DataFrame, key: str) -> DataFrame:
     """The rows that ``keep_one`` leaves out."""
-    return _rows(df, components, key, broadcast_keys, "left_semi")
+    marked, exact = _marked(df, components, key)
+    return marked.where("__maybe").join(exact, key, "left_semi").select(*df.columns)
 
 
-def _rows(
-    df: DataFrame, components: DataFrame, key: str, broadcast_keys: int, join: str
-) -> DataFrame:
+def _marked(df: DataFrame, components: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     keys = components.select(F.col("id").alias(key))
-    count = keys.count()
-    if count <= broadcast_keys:
-        return df.join(F.broadcast(keys), key, join).select(*df.columns)
-    exact = keys.hint("shuffle_hash")
-    if count > FULL_BITS:
-        return df.join(exact, key, join).select(*df.columns)
-    marked = (
-        df.withColumn("__row", _bit_row(key))
-        .join(F.broadcast(_bit_rows(keys, key)), "__row", "left")
-        .withColumn("__maybe", _bit_set(key))
-    )
-    checked = marked.where("__maybe").join(exact, key, join).select(*df.columns)
-    if join == "left_semi":
-        return checked
-    return marked.where(~F.col("__maybe")).select(*df.columns).unionByName(checked)
-
-
-def _bit(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(_BIT_COUNT))
-
-
-def _bit_row(key: str) -> Column:
-    return F.floor(_bit(key) / _BITS_PER_ROW)
-
-
-def _bit_rows(keys: DataFrame, key: str) -> DataFrame:
-    position = _bit(key) % _BITS_PER_ROW
-    return keys.groupBy(_bit_row(key).alias("__row")).agg(
-        F.bitmap_construct_agg(position).alias("__bits")
-    )
-
-
-def _bit_set(key: str) -> Column:
-    """True if the key's bit is set in ``__bits``; false where no key fell into that row."""
-    position = _bit(key) % _BITS_PER_ROW
-    byte = F.substr(F.col("__bits"), F.floor(position / 8) + 1, F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("bigint")
-    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (position % 8 + 1).cast("int"))
-    return F.coalesce(value.bitwiseAND(mask) > 0, F.lit(False))
+    return with_maybe(df, key, keys, keys.count()), keys.hint("shuffle_hash")
