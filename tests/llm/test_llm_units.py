@@ -1,0 +1,118 @@
+"""Substring dedup against a search in plain Python."""
+
+import re
+
+import edge
+import numpy as np
+from hypothesis import given, settings, strategies as st
+from twinsieve.llm import units
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def spans(text, least=8):
+    """(start, stop, normalised unit)."""
+    for line in re.finditer(r"[^\n]+", text):
+        words = list(re.finditer(r"[^\x20\x09-\x0D]+", line.group()))
+        parts, part = [], []
+        for word in words:
+            part.append(word)
+            if re.search(r"[.!?][\"')\]]?$", word.group()) and len(part) >= least:
+                parts.append(part)
+                part = []
+        if len(part) >= least:
+            parts.append(part)
+        elif part and parts:
+            parts[-1] = parts[-1] + part
+        for n, found in enumerate(parts):
+            stop = parts[n + 1][0].start() if n + 1 < len(parts) else found[-1].end()
+            unit = " ".join(w.group() for w in found).translate(LOWER)
+            yield line.start() + found[0].start(), line.start() + stop, unit
+
+
+def plain(rows):
+    """{(id, text): (new text, spans)} of rows (id, text) with different ids, by ascending id."""
+    seen, out = set(), {}
+    for key, text in sorted(rows):
+        cuts = []
+        for start, stop, unit in spans(text):
+            if unit in seen:
+                if cuts and cuts[-1][1] == start:
+                    cuts[-1][1] = stop
+                else:
+                    cuts.append([start, stop])
+            seen.add(unit)
+        for cut in cuts:
+            before = cut[0] == 0 or text[cut[0] - 1] == "\n"
+            if before and text[cut[1] : cut[1] + 1] == "\n":
+                cut[1] += 1
+        kept, at = "", 0
+        for start, stop in cuts:
+            kept, at = kept + text[at:start], stop
+        out[key] = (kept + text[at:], cuts)
+    return out
+
+
+def sentence(n):
+    return " ".join(f"Word{n} w{n}x{i}" for i in range(5)) + "."
+
+
+def result(frame):
+    return {
+        r["doc_id"]: (r["text"], [[s["start"], s["stop"]] for s in r["removed"]])
+        for r in frame.collect()
+    }
+
+
+def test_repeats_across_and_inside(spark, workspace):
+    rows = [
+        (9, f"{sentence(1)} {sentence(2)}\n{sentence(3)}\nétude {sentence(3)} tail"),
+        (2, f"{sentence(2).upper()}   {sentence(4)} short one. {sentence(5)}"),
+        (5, f"  {sentence(3)}\n\n{sentence(3)}\n{sentence(6)}"),
+        (7, "few words. few words. few words."),
+        (8, "few words. few words. few words."),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(units.deduplicated(frame, workspace)) == plain(rows)
+
+
+@settings(max_examples=4, deadline=None)
+@given(
+    st.lists(
+        st.lists(st.sampled_from([sentence(i) for i in range(6)] + ["a", "é b.", "\n", "  ", "c!\n"]))
+        .map(" ".join),
+        max_size=12,
+    )
+)
+def test_any_rows(spark, texts):
+    from twinsieve import Workspace
+
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    with Workspace(spark) as workspace:
+        assert result(units.deduplicated(frame, workspace)) == plain(rows)
+
+
+def test_edge_rows(spark, workspace):
+    frame = edge.clashing(spark, "rank", "copy", "places", "low")
+    got = units.deduplicated(frame, workspace)
+    assert got.columns == [*frame.columns, "removed"]
+    rows = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(rows) == len(edge.ROWS)
+    texts = {r[0]: r[1] for r in edge.ROWS}
+    for key, text in rows:
+        # Row 6 copies row 1 and is there twice; the other texts repeat nothing.
+        assert text == ("" if key == 6 else texts[key])
+    assert units.deduplicated(edge.empty(spark), workspace).count() == 0
+
+
+def test_a_row_that_is_there_twice_stays(spark, workspace):
+    frame = spark.createDataFrame([(1, sentence(1))] * 2, "doc_id bigint, text string")
+    assert [r["text"] for r in units.deduplicated(frame, workspace).collect()] == [sentence(1)] * 2
+
+
+def test_long_text_is_found_whole():
+    text = "\n".join(sentence(i) for i in range(20_000))
+    found = units.find_units(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 8)
+    assert len(found.text) == 20_000
+    assert found.stop[-1] == len(text)
