@@ -65,7 +65,7 @@ def test_chains_of_near_copies(spark, workspace, seed, monkeypatch):
 
 
 def test_edge_rows(spark, workspace):
-    frame = edge.clashing(spark, "digest", "id", "bands", "component")
+    frame = edge.clashing(spark, "digest", "id", "buckets", "component")
     got = edge.rows_of(
         circulant.components(frame, workspace), "doc_id", "n_shingles", "component_id", "kept"
     )
@@ -95,7 +95,7 @@ def test_signature_follows_its_definition():
     second = second[params.coordinates :]
     found = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)
     places = first[(found % np.uint64(circulant.PLACES)).astype(np.int64)]
-    for k, value in enumerate(circulant.signature(found, params)):
+    for k, value in enumerate(circulant.signature(found, params.coordinates, params.seed)):
         assert value == second[(places - k) % circulant.PLACES].min()
 
 

@@ -8,14 +8,15 @@ the smallest value in the shifted permutation over the moved shingles.
 
 1. One scan gives each text its set size, a digest of the set, band keys and a byte per coordinate.
    Texts with equal sets become a class, named by its smallest id.
-2. Classes that share a band are a bucket, each linked with its smallest class: a pair to check.
-3. Pairs are checked on full sets, recomputed for the classes in a pair only. Links make components.
-4. Members of a bucket that are in different components now are compared with each other too, in
-   blocks of bounded size. Pairs whose signatures agree in far fewer coordinates than linked sets
-   can are left out; the rest are checked on full sets. So all pairs that share a bucket are linked
-   or known not to be, and a large group costs its size, not its square, where it is one component.
+2. Classes that share a band are a bucket, each paired with the smallest class of the bucket. Pairs
+   that agree in far fewer coordinates than linked sets do are left out; the others are checked on
+   full sets, recomputed for the classes in such a pair only. Links make components.
+3. Where a bucket still holds several components, its members get a longer signature, and members
+   of different components are compared with each other, in blocks of bounded size. What agrees in
+   enough coordinates is checked on full sets. So all pairs that share a bucket are linked or known
+   not to be, and a large group costs its size, not its square, where it is one component.
 
-With 32 bands of five coordinates, sets of similarity 0.85 share no band in 1 of 10^8 cases.
+"Far fewer" is six standard deviations below what sets at the limit agree in.
 
 Defined results: null or empty texts, and texts of white space, have an empty set and are alone.
 Rows with the same id are one node. Rows without an id are linked with nothing and kept. Very long
@@ -32,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from twinsieve.llm.text import column_bytes, mixed, word_hashes
+from twinsieve.llm.text import blocks, column_bytes, mixed, word_hashes
 from twinsieve.operators.components import connected_components
+from twinsieve.operators.key_filter import with_maybe
 from twinsieve.sources.workspace import Workspace
 
 PLACES = 1 << 22
@@ -43,24 +45,28 @@ BLOCK = 2048
 
 @dataclass(frozen=True)
 class NearParams:
-    """Sets are linked if 100 * shared >= percent * union. ``floor`` is the least share of equal
-    coordinates of a pair that is checked, many standard deviations below the similarity asked for.
-    """
+    """Sets are linked if 100 * shared >= percent * union. ``fine`` is the length of the longer
+    signature, for members of buckets with several components."""
 
     percent: int = 85
     words: int = 5
     bands: int = 32
     rows: int = 5
-    floor: float = 0.65
+    fine: int = 2048
     seed: int = 20
 
     @property
     def coordinates(self) -> int:
         return self.bands * self.rows
 
+    def floor(self, coordinates: int) -> float:
+        """The least share of equal coordinates of a pair that is checked on full sets."""
+        p = self.percent / 100
+        return p - 6 * (p * (1 - p) / coordinates) ** 0.5
+
 
-_SIGNED = "id bigint, n_shingles bigint, digest binary, bands array<bigint>, bytes binary"
-_SETS = "id bigint, shingles array<bigint>"
+_SIGNED = "id bigint, n_shingles bigint, digest binary, buckets array<bigint>, bytes binary"
+_FULL = "id bigint, n_shingles bigint, shingles array<bigint>, bytes binary"
 
 
 def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -75,7 +81,7 @@ def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _permutations(seed: int, coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     """The first permutation, and the second one with its end repeated before its start."""
     random = np.random.default_rng(seed)
@@ -84,19 +90,20 @@ def _permutations(seed: int, coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.concatenate([second[-coordinates:], second])
 
 
-def signature(found: np.ndarray, params: NearParams) -> np.ndarray:
-    """Coordinate k: the smallest second[(first[x] - k) mod places] over the shingles x."""
-    k = params.coordinates
-    first, second = _permutations(params.seed, k)
+def signature(found: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Coordinate i < k: the smallest second[(first[x] - i) mod places] over the shingles x."""
+    first, second = _permutations(seed, k)
     shifted = np.lib.stride_tricks.sliding_window_view(second, k)
     starts = first[(found & np.uint64(PLACES - 1)).astype(np.int64)] + 1
     least = np.full(k, PLACES, np.int32)
-    for i in range(0, len(starts), 1024):
-        np.minimum(least, shifted[starts[i : i + 1024]].min(axis=0), out=least)
+    step = max(1, (1 << 18) // k)
+    for i in range(0, len(starts), step):
+        np.minimum(least, shifted[starts[i : i + step]].min(axis=0), out=least)
     return least[::-1]
 
 
 def _band_keys(values: np.ndarray, params: NearParams) -> np.ndarray:
+    """A 64-bit key for each band, made of its number and its coordinates."""
     parts = values.astype(np.uint64).reshape(params.bands, params.rows)
     keys = np.arange(1, params.bands + 1, dtype=np.uint64)
     for i in range(params.rows):
@@ -106,13 +113,15 @@ def _band_keys(values: np.ndarray, params: NearParams) -> np.ndarray:
 
 def _sets_of(batch: pa.RecordBatch, params: NearParams) -> Iterator[np.ndarray]:
     data, bounds = column_bytes(batch.column(1))
-    hashes, ends = word_hashes(data, bounds)
-    for i in range(batch.num_rows):
-        yield shingles(hashes[ends[i] : ends[i + 1]], params.words)
+    for begin, end in blocks(bounds):
+        part = bounds[begin : end + 1] - bounds[begin]
+        hashes, ends = word_hashes(data[bounds[begin] : bounds[end]], part)
+        for i in range(end - begin):
+            yield shingles(hashes[ends[i] : ends[i + 1]], params.words)
 
 
 def signed(df: DataFrame, key: str, text: str, params: NearParams) -> DataFrame:
-    """(id, n_shingles, digest, bands, bytes) of each row; the last three are null without words."""
+    """(id, n_shingles, digest, buckets, bytes) of each row; without words the last three are null."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +131,7 @@ def signed(df: DataFrame, key: str, text: str, params: NearParams) -> DataFrame:
                 if not len(found):
                     digests.append(None), bands.append(None), low.append(None)
                     continue
-                values = signature(found, params)
+                values = signature(found, params.coordinates, params.seed)
                 sums = [mixed(found, salt).sum(dtype=np.uint64) for salt in (1, 2)]
                 digests.append(np.array(sums, np.uint64).tobytes())
                 bands.append(_band_keys(values, params))
@@ -135,24 +144,42 @@ def signed(df: DataFrame, key: str, text: str, params: NearParams) -> DataFrame:
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(low, pa.binary()),
                 ],
-                names=["id", "n_shingles", "digest", "bands", "bytes"],
+                names=["id", "n_shingles", "digest", "buckets", "bytes"],
             )
 
     return df.select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(scan, _SIGNED)
 
 
-def full_sets(df: DataFrame, key: str, text: str, params: NearParams) -> DataFrame:
-    """(id, shingles) of each row."""
+def full_sets(
+    df: DataFrame, key: str, text: str, ids: DataFrame, params: NearParams, fine: bool = False
+) -> DataFrame:
+    """(id, n_shingles, shingles, bytes) of the rows whose id may be one of the staged ``ids``;
+    ``bytes`` is the longer signature, or null if it is not asked for."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x.view(np.int64) for x in _sets_of(batch, params)]
+            found = list(_sets_of(batch, params))
+            low = [
+                signature(x, params.fine, params.seed).astype(np.uint8).tobytes() if fine else None
+                for x in found
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                names=["id", "shingles"],
+                [
+                    batch.column(0),
+                    pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
+                    pa.array(low, pa.binary()),
+                ],
+                names=["id", "n_shingles", "shingles", "bytes"],
             )
 
-    return df.select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(scan, _SETS)
+    texts = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    marked = with_maybe(texts, "id", ids, ids.count())
+    return marked.where("__maybe").select("id", "text").mapInArrow(scan, _FULL)
+
+
+def _close_sizes(a: Column, b: Column, params: NearParams) -> Column:
+    return 100 * F.least(a, b) >= params.percent * F.greatest(a, b)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, params: NearParams) -> DataFrame:
@@ -162,97 +189,108 @@ def _linked(pairs: DataFrame, sets: DataFrame, params: NearParams) -> DataFrame:
     both = pairs.join(left, "src").join(right, "dst")
     shared = F.size(F.array_intersect("__a", "__b"))
     total = F.size("__a") + F.size("__b")
-    similar = 100 * shared >= params.percent * (total - shared)
-    return both.where(_close_sizes(F.size("__a"), F.size("__b"), params) & similar).select(
-        "src", "dst"
-    )
+    return both.where(100 * shared >= params.percent * (total - shared)).select("src", "dst")
 
 
-def _close_sizes(a: Column, b: Column, params: NearParams) -> Column:
-    return 100 * F.least(a, b) >= params.percent * F.greatest(a, b)
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, id, low, n): the members of the buckets with several, and the smallest of them."""
+    members = classes.select("id", F.explode("buckets").alias("bucket"))
+    several = (
+        members.groupBy("bucket")
+        .agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+    )
+    return members.join(several, "bucket")
 
 
-def _bucket_members(classes: DataFrame) -> DataFrame:
-    return classes.select("id", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+def _star_pairs(shared: DataFrame, classes: DataFrame, params: NearParams) -> DataFrame:
+    """(src, dst): each class and the smallest one of a bucket it is in, if their signatures and
+    sizes may be those of linked sets."""
+    pairs = shared.where("id > low").select(F.col("id").alias("src"), F.col("low").alias("dst"))
+    parts = ["n_shingles", "bytes"]
+    left = classes.select(F.col("id").alias("src"), *[F.col(c).alias(f"{c}_a") for c in parts])
+    right = classes.select(F.col("id").alias("dst"), *[F.col(c).alias(f"{c}_b") for c in parts])
+    both = pairs.distinct().join(left, "src").join(right, "dst")
+    both = both.where(_close_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), params))
+    floor = params.floor(params.coordinates)
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (_bytes_matrix(batch.column(i)) for i in (2, 3))
+                near = pa.array((a == b).mean(axis=1) >= floor)
+                yield batch.select(["src", "dst"]).filter(near)
 
-def _star_pairs(members: DataFrame, params: NearParams) -> DataFrame:
-    """(src, dst): each class and the smallest one of a bucket it is in, of fitting size."""
-    smallest = (
-        members.groupBy("band", "bucket")
-        .agg(F.min(F.struct("id", "n_shingles")).alias("low"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("band", "bucket", F.col("low.id").alias("dst"), F.col("low.n_shingles").alias("m"))
-    )
-    return (
-        members.join(smallest, ["band", "bucket"])
-        .where((F.col("id") > F.col("dst")) & _close_sizes(F.col("n_shingles"), F.col("m"), params))
-        .select(F.col("id").alias("src"), "dst")
-        .distinct()
+    return both.select("src", "dst", "bytes_a", "bytes_b").mapInArrow(
+        compare, "src bigint, dst bigint"
     )
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame, params: NearParams) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures may be those of linked sets.
+def _bytes_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _open_members(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, id, component, blocks): members of the buckets that hold several components.
 
-    ``members`` has the component of each class. The members of a bucket that is not one component
-    are dealt to blocks; each pair of blocks is a group of at most two blocks, compared in numpy.
+    In a bucket of two the pair has been checked.
     """
-    mixed_buckets = (
-        members.groupBy("band", "bucket")
+    labelled = shared.where("n > 2").join(found, "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("component")
+    )
+    several = (
+        labelled.groupBy("bucket")
         .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
             F.count(F.lit(1)).alias("n"),
         )
-        .where("low < high AND n > 2")
-        .select("band", "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .where("least < most")
+        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    open_members = members.join(mixed_buckets, ["band", "bucket"]).withColumn(
-        "block", F.pmod(F.xxhash64("id"), "blocks").cast("int")
-    )
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = open_members.select(
-        "band",
+    return labelled.join(several, "bucket")
+
+
+def _cross_pairs(members: DataFrame, sets: DataFrame, params: NearParams) -> DataFrame:
+    """Pairs of a bucket in different components whose longer signatures may be those of linked
+    sets. Members are dealt to blocks; each two blocks are a group, compared in numpy."""
+    block = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = members.withColumn("block", block).select("*", others)
+    signatures = sets.select("id", "n_shingles", "bytes")
+    cells = dealt.join(signatures, "id").select(
         "bucket",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
         "id",
         "n_shingles",
         "component",
         "block",
-        F.explode(others).alias("other"),
-    ).join(classes.select("id", "bytes"), "id")
-    cell = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-    wanted = "src bigint, dst bigint"
-    floor, percent = params.floor, params.percent
+        "bytes",
+    )
+    floor, percent = params.floor(params.fine), params.percent
 
     def compare(table: pa.Table) -> pa.Table:
-        ids = table["id"].to_numpy()
-        sizes = table["n_shingles"].to_numpy()
-        labels = table["component"].to_numpy()
-        blocks = table["block"].to_numpy()
-        packed = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8)
-        values = packed.reshape(len(ids), -1)
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        out: list[np.ndarray] = []
+        ids, sizes, labels, blocks_of = (
+            table[c].to_numpy() for c in ("id", "n_shingles", "component", "block")
+        )
+        values = _bytes_matrix(table["bytes"])
+        across = table["i"][0].as_py() != table["j"][0].as_py()
+        out = [np.empty((2, 0), np.int64)]
         for at in range(len(ids)):
             apart = (labels != labels[at]) & (ids < ids[at])
-            if i != j:
-                apart &= blocks != blocks[at]
+            if across:
+                apart &= blocks_of != blocks_of[at]
             apart &= 100 * np.minimum(sizes, sizes[at]) >= percent * np.maximum(sizes, sizes[at])
             near = np.flatnonzero(apart)
             if len(near):
-                equal = (values[near] == values[at]).mean(axis=1)
-                near = near[equal >= floor]
+                near = near[(values[near] == values[at]).mean(axis=1) >= floor]
                 out.append(np.stack([np.full(len(near), ids[at]), ids[near]]))
-        pairs = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-        return pa.table({"src": pairs[0].astype(np.int64), "dst": pairs[1].astype(np.int64)})
+        pairs = np.concatenate(out, axis=1)
+        return pa.table({"src": pairs[0], "dst": pairs[1]})
 
-    return (
-        dealt.select("band", "bucket", *cell, "id", "n_shingles", "component", "block", "bytes")
-        .groupBy("band", "bucket", "i", "j")
-        .applyInArrow(compare, wanted)
-        .distinct()
-    )
+    grouped = cells.groupBy("bucket", "i", "j")
+    return grouped.applyInArrow(compare, "src bigint, dst bigint").distinct()
 
 
 def components(
@@ -268,31 +306,30 @@ def components(
         rows.where("digest IS NOT NULL AND id IS NOT NULL")
         .groupBy("digest", "n_shingles")
         .agg(
-            F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")
+            F.min("id").alias("id"),
+            F.first("buckets").alias("buckets"),
+            F.first("bytes").alias("bytes"),
         ),
         "classes",
     )
     named = classes.select("digest", "n_shingles", F.col("id").alias("class"))
     placed = rows.select("id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
     placed = workspace.stage(placed.drop("digest"), "placed")
-    members = workspace.stage(_bucket_members(classes), "members")
-    pairs = workspace.stage(_star_pairs(members, params), "pairs")
-    ids = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    texts = df.select(F.col(key).cast("bigint").alias("__id"), F.col(text).alias("__text"))
-    wanted = texts.join(ids, F.col("__id") == F.col("id"), "left_semi")
+    shared = workspace.stage(_shared_buckets(classes), "shared-buckets")
+    pairs = workspace.stage(_star_pairs(shared, classes, params), "pairs")
+    ids = workspace.stage(_ends(pairs), "pair-ids")
     # Rows that share an id may have several sets; a pair is linked if one of them is similar.
-    sets = workspace.stage(full_sets(wanted, "__id", "__text", params), "sets")
+    sets = workspace.stage(full_sets(df, key, text, ids, params), "sets")
     links = _linked(pairs, sets, params).unionByName(_shared_ids(placed))
     links = workspace.stage(links.distinct(), "links")
     found = _labels(links, workspace)
-    labelled = members.join(found, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
-    )
-    more = workspace.stage(_cross_pairs(labelled, classes, params), "cross-pairs")
-    if not more.isEmpty():
-        more = workspace.stage(_linked(more, sets, params), "cross-links")
-        if not more.isEmpty():
-            found = _labels(links.unionByName(more), workspace)
+    members = workspace.stage(_open_members(shared, found), "open-members")
+    if not members.isEmpty():
+        ids = workspace.stage(members.select("id").distinct(), "open-ids")
+        sets = workspace.stage(full_sets(df, key, text, ids, params, fine=True), "open-sets")
+        pairs = workspace.stage(_cross_pairs(members, sets, params), "cross-pairs")
+        more = workspace.stage(_linked(pairs, sets, params), "cross-links")
+        found = _labels(links.unionByName(more).distinct(), workspace)
     found = found.select(F.col("id").alias("class"), "component")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class", "id"))
     return placed.join(found, "class", "left").select(
@@ -303,6 +340,10 @@ def components(
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+
+
 def _shared_ids(placed: DataFrame) -> DataFrame:
     """Links between the classes of rows that share an id."""
     several = (
