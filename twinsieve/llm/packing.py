@@ -24,6 +24,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,8 +39,10 @@ from tokenizers import Tokenizer
 
 STRETCH = 1 << 20
 # Remembered encodings of a Python worker; the memory is emptied when full.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
+# White space to Python, but not to the tokenizer.
 _NOT_SPACE_TO_ALL = "\x1c\x1d\x1e\x1f"
+_LATIN = "\u024f"
 
 
 @dataclass(frozen=True)
@@ -54,17 +57,31 @@ class PackParams:
     per_sequence: int = 32
 
 
+class _PartIds(dict):
+    """Ids of each part that the tokenizer encodes by itself, in its normal form."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.encode = tokenizer.model.tokenize
+        self.byte_chars = _byte_chars()
+
+    def __missing__(self, part: str) -> bytes:
+        data = part.encode().decode("latin-1").translate(self.byte_chars)
+        found = self[part] = array("I", [t.id for t in self.encode(data)]).tobytes()
+        return found
+
+
 class WordIds(dict):
     """Ids of each run between white space, as bytes of little-endian 32-bit numbers."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        # The split of the tokenizer file, for lower-case ASCII and for any text.
+        self.normalize = self.tokenizer.normalizer.normalize_str
+        self.parts = _PartIds(self.tokenizer)
+        # The split of the tokenizer file, for lower-case ASCII and Latin letters.
         self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-        self.any = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        self.byte_chars = _byte_chars()
+        self.latin = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
@@ -73,22 +90,23 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[word] = np.array(self._encode(word), "<u4").tobytes()
-        return found
-
-    def _encode(self, word: str) -> list[int]:
+            self.parts.clear()
         if "<|" in word:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        ids: list[int] = []
-        if word.isascii():
-            for part in self.ascii.findall(word.lower()):
-                ids += [t.id for t in self.model.tokenize(part.translate(self.byte_chars))]
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = array("I", ids).tobytes()
+        elif word.isascii():
+            found = b"".join(map(self.parts.__getitem__, self.ascii.findall(word.lower())))
         else:
-            plain = self.tokenizer.normalizer.normalize_str(word)
-            for part in self.any.findall(plain):
-                data = part.encode().decode("latin-1").translate(self.byte_chars)
-                ids += [t.id for t in self.model.tokenize(data)]
-        return ids
+            plain = self.normalize(word)
+            if max(plain, default="") <= _LATIN:
+                found = b"".join(map(self.parts.__getitem__, self.latin.findall(plain)))
+            else:
+                # Other scripts are left to the tokenizer's own tables of characters.
+                parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)
+                ids = [t.id for part, _ in parts for t in self.parts.encode(part)]
+                found = array("I", ids).tobytes()
+        self[word] = found
+        return found
 
     def of(self, text: str) -> bytes:
         if any(c in text for c in _NOT_SPACE_TO_ALL):
