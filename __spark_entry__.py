@@ -5,22 +5,28 @@ from __future__ import annotations
 import importlib
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 from types import ModuleType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F  # noqa: E402
 
 import oracles  # noqa: E402
 from twinsieve.functions.minhash import signature_value  # noqa: E402
 from twinsieve.functions.text import shingle_hashes, shingles, token_count  # noqa: E402
-from twinsieve.operators.audits import foreign_key_audit, primary_key_audit  # noqa: E402
+from twinsieve.operators.audits import (  # noqa: E402
+    foreign_key_audit,
+    key_report,
+    primary_key_audit,
+)
 from twinsieve.operators.banding import bands, buckets, star_edges  # noqa: E402
 from twinsieve.operators.checks import (  # noqa: E402
     failed_checks,
-    is_between,
+    is_at_least,
+    is_at_most,
     is_complete,
     is_non_negative,
     is_unique,
@@ -51,6 +57,7 @@ from twinsieve.plans.near_dedup import (  # noqa: E402
 from twinsieve.plans.snowflake import (  # noqa: E402
     file_facts,
     language_dimension,
+    load_snowflake,
     repository_dimension,
     wide_view,
 )
@@ -60,6 +67,7 @@ from twinsieve.sources.tables import (  # noqa: E402
     fill_cluster,
     read_table,
     read_with_row_id,
+    write_table,
 )
 from twinsieve.sources.workspace import Workspace  # noqa: E402
 
@@ -89,8 +97,7 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_scan(spark: SparkSession, sf: str) -> DataFrame:
-    columns = ["doc_id", "lang", "source", "n_chars"]
-    return read_table(spark, f"{sf}/documents.parquet", "parquet", columns)
+    return _documents(spark, sf)
 
 
 def row_id_attach(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +115,15 @@ def row_id_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return Workspace(spark).stage(_documents(spark, sf), "documents")
+    """Written under a run's name, and read by that name from another workspace."""
+    first = Workspace(spark, run=f"roundtrip-{uuid.uuid4().hex}")
+    first.stage_once("documents", sf, lambda: _documents(spark, sf))
+    second = Workspace(spark, run=first.run)
+    return second.stage_once("documents", sf, _not_again)
+
+
+def _not_again() -> DataFrame:
+    raise AssertionError("a finished step is made again")
 
 
 def range_bucket_layout(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,8 +137,24 @@ def range_bucket_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in ranges of the clustering column: none starts before another one's end."""
     orders = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return Workspace(spark).stage(clustered(orders, ["o_custkey"], ["o_orderkey"]), "orders")
+    written = Workspace(spark).stage(clustered(orders, ["o_custkey"], ["o_orderkey"]), "orders")
+    path = F.col("_metadata.file_path").alias("path")
+    files = written.select("*", path).groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("o_custkey", "o_orderkey")).alias("low"),
+        F.max(F.struct("o_custkey", "o_orderkey")).alias("high"),
+    )
+    before = F.max("high").over(
+        Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return files.withColumn("overlaps", F.coalesce(F.col("low") <= before, F.lit(False))).agg(
+        F.sum("n").alias("n"),
+        F.count_if("overlaps").alias("overlaps"),
+        F.min("low.o_custkey").alias("lowest"),
+        F.max("high.o_custkey").alias("highest"),
+    )
 
 
 # Text, hashes and bands
@@ -183,6 +214,13 @@ def lsh_edges(spark: SparkSession, sf: str) -> DataFrame:
     return star_edges(bands(signed, banding), workspace, at_most=at_most)
 
 
+def lsh_edges_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """The edges by way of the search for heavy buckets, with a low bound."""
+    workspace = Workspace(spark)
+    banded = bands(_signed(spark, sf, workspace), PARAMS.banding())
+    return star_edges(banded, workspace, hot_rows=8)
+
+
 # Graph
 
 
@@ -223,6 +261,14 @@ def components(spark: SparkSession, sf: str) -> DataFrame:
     return _duplicates(spark, sf).components
 
 
+def components_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The components by way of the loop for large graphs, with a low bound."""
+    found = find_duplicates(
+        _documents(spark, sf), "doc_id", "text", Workspace(spark), PARAMS, hot_rows=8
+    )
+    return found.components
+
+
 def components_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return components(spark, sf).select("component", "id").orderBy("component", "id")
 
@@ -254,7 +300,7 @@ def near_dedup_job(spark: SparkSession, sf: str) -> DataFrame:
         rules=(is_complete("doc_id"), is_unique("doc_id"), is_non_negative("n_chars")),
         check="documents",
     )
-    return result.kept.select("doc_id", "lang", "source", "n_chars")
+    return result.kept
 
 
 # Data quality
@@ -312,8 +358,9 @@ def failed(spark: SparkSession, sf: str) -> DataFrame:
 def dq_range_check(spark: SparkSession, sf: str) -> DataFrame:
     rules = [
         is_complete("s_name", 0.99, only_if_present=True),
-        is_between("s_acctbal", 0.0, 5000.0, only_if_present=True),
-        is_between("similarity_score", 0.0, 1.0, only_if_present=True),
+        is_at_most("s_acctbal", 5000.0, only_if_present=True),
+        is_at_least("s_acctbal", -1000.0, only_if_present=True),
+        is_at_most("similarity_score", 1.0, only_if_present=True),
     ]
     return run_checks(_table(spark, sf, "supplier"), rules, "suppliers")
 
@@ -341,9 +388,25 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
 def schema_changes(spark: SparkSession, sf: str) -> DataFrame:
     rows = _documents(spark, sf)
     changed = rows.drop("lang").withColumns(
-        {"n_chars": F.col("n_chars").cast("double"), "is_long": F.col("n_chars") > 1000}
+        {
+            "n_chars": F.col("n_chars").cast("double"),
+            "source": F.nullif("source", F.lit("src3")),
+            "is_long": F.nullif(F.col("n_chars") > 1000, F.lit(False)),
+        }
     )
-    return schema_gate(profile(rows, DOCUMENTS_PROFILE), profile(changed, DOCUMENTS_PROFILE))
+    path = Workspace(spark).path("changed")
+    write_table(changed, path)
+    written = spark.read.parquet(path)
+    gate = schema_gate(profile(rows, DOCUMENTS_PROFILE), profile(written, DOCUMENTS_PROFILE))
+    before, after = _filled_counts(rows, "n_before"), _filled_counts(written, "n_after")
+    return gate.join(before, "column", "left").join(after, "column", "left")
+
+
+def _filled_counts(df: DataFrame, name: str) -> DataFrame:
+    """(column, number of rows that are not null), a row for each column."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    parts = [F.struct(F.lit(c).alias("column"), F.col(c).alias(name)) for c in df.columns]
+    return counts.select(F.inline(F.array(*parts)))
 
 
 def pk_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,8 +414,20 @@ def pk_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fk_audit(spark: SparkSession, sf: str) -> DataFrame:
-    parents = _table(spark, sf, "customer").where("c_acctbal >= 0")
-    return foreign_key_audit(_table(spark, sf, "orders"), "o_custkey", parents, "c_custkey")
+    parents = _table(spark, sf, "customer")
+    return foreign_key_audit(_orphaned(spark, sf), "o_custkey", parents, "c_custkey")
+
+
+def _orphaned(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of which some refer to customers that are not there."""
+    customer = F.col("o_custkey")
+    return _table(spark, sf, "orders").withColumn(
+        "o_custkey", F.when(customer % 10 == 0, -customer).otherwise(customer)
+    )
+
+
+def dedup_key_check(spark: SparkSession, sf: str) -> DataFrame:
+    return key_report(_lines(spark, sf), ["l_orderkey", "l_linenumber", "l_returnflag"])
 
 
 # Modelling
@@ -387,7 +462,7 @@ def fact_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snowflake_view(spark: SparkSession, sf: str) -> DataFrame:
-    files = _table(spark, sf, "orders").select(
+    files = _orphaned(spark, sf).select(
         F.col("o_custkey").alias("repo_id"),
         F.col("o_orderpriority").alias("path"),
         F.col("o_orderkey").cast("string").alias("content"),
@@ -395,7 +470,7 @@ def snowflake_view(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderstatus").alias("commit_sha"),
         F.col("o_orderstatus").alias("languages_distribution"),
     )
-    repositories = _table(spark, sf, "customer").where("c_acctbal >= 0").select(
+    repositories = _table(spark, sf, "customer").select(
         F.col("c_custkey").alias("repo_id"),
         F.nullif("c_nationkey", F.lit(3)).alias("language_id"),
         F.col("c_mktsegment").alias("owner"),
@@ -419,6 +494,33 @@ def snowflake_view(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def snowflake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a flat table of files, written as three tables and read through the view."""
+    repo = F.regexp_extract("source", "[0-9]+", 0).cast("bigint")
+    flat = _documents(spark, sf).select(
+        F.concat("source", F.lit("/"), "doc_id").alias("path"),
+        F.concat(F.lit("owner"), repo % 7).alias("owner"),
+        repo.alias("repo_id"),
+        (repo % 3 == 0).alias("is_fork"),
+        F.when(F.col("doc_id") % 5 > 0, F.create_map("lang", "n_chars")).alias(
+            "languages_distribution"
+        ),
+        F.col("text").alias("content"),
+        repo.cast("double").alias("issues"),
+        F.when(repo % 4 > 0, F.concat(F.lit("L"), repo % 4)).alias("main_language"),
+        (repo * 3).alias("forks"),
+        (repo * 9000).alias("stars"),
+        F.col("lang").alias("commit_sha"),
+        (F.col("n_chars") * 100).alias("size"),
+        F.col("source").alias("name"),
+        F.nullif(F.col("source"), F.lit("src1")).alias("license"),
+        "doc_id",
+    )
+    workspace = Workspace(spark)
+    *_, wide = load_snowflake(flat, workspace.path("snowflake"), workspace, "doc_id")
+    return wide.withColumn("is_fork", F.col("is_fork").cast("string"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Documents without near-duplicates."""
     rows = _documents(spark, "/root/testdata/sf0.001")
@@ -458,10 +560,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lsh_bands": lsh_bands,
         "lsh_buckets": lsh_buckets,
         "lsh_edges": lsh_edges,
+        "lsh_edges_hot": lsh_edges_hot,
         "large_star_step": large_star_step,
         "small_star_step": small_star_step,
         "edge_symmetric_diff": edge_symmetric_diff,
         "connected_components": components,
+        "connected_components_large": components_large,
         "components_sorted": components_sorted,
         "components_top": components_top,
         "near_dedup_keep": near_dedup_keep,
@@ -478,10 +582,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_gate": schema_changes,
         "pk_audit": pk_audit,
         "fk_audit": fk_audit,
+        "dedup_key_check": dedup_key_check,
         "dim_languages": dim_languages,
         "dim_repositories": dim_repositories,
         "fact_files": fact_files,
         "snowflake_view": snowflake_view,
+        "snowflake_roundtrip": snowflake_roundtrip,
     }
 
 

@@ -136,10 +136,17 @@ SUPPLIER_CHECKS = _VERDICTS.format(
     rules="""
   SELECT 'Completeness(s_name) >= 0.99' AS label, v >= 0.99 AS passed, v AS value
   FROM (SELECT count(s_name) / count(*) AS v FROM supplier)
-  UNION ALL SELECT 's_acctbal is between 0.0 and 5000.0', v = 1, v
-  FROM (SELECT count(*) FILTER (s_acctbal BETWEEN 0 AND 5000) / count(*) AS v FROM supplier)""",
+  UNION ALL SELECT 's_acctbal <= 5000.0', v = 1, v
+  FROM (SELECT count(*) FILTER (s_acctbal <= 5000) / count(*) AS v FROM supplier)
+  UNION ALL SELECT 's_acctbal >= -1000.0', v = 1, v
+  FROM (SELECT count(*) FILTER (s_acctbal >= -1000) / count(*) AS v FROM supplier)""",
 )
 
+ORPHANED = """
+orphaned AS (
+  SELECT * REPLACE (CASE WHEN o_custkey % 10 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey)
+  FROM orders)"""
+
 DIM_LANGUAGES = """
 languages AS (
   SELECT row_number() OVER (ORDER BY min(doc_id)) AS language_id,
@@ -150,7 +157,7 @@ languages AS (
 def statements() -> dict[str, str]:
     components = f"WITH RECURSIVE {_components()}\n"
     return {
-        "table_scan": "SELECT doc_id, lang, source, n_chars FROM documents",
+        "table_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "row_id_attach": """
             SELECT count(*) AS n_rows, count(*) AS n_ids, 0::BIGINT AS n_null FROM lineitem""",
         # The tables are one file each, in the order of the key.
@@ -164,7 +171,9 @@ def statements() -> dict[str, str]:
                         ELSE n_chars // 1000 + 1 END AS bucket,
                    count(*) AS n, min(n_chars) AS low, max(n_chars) AS high
             FROM documents GROUP BY 1""",
-        "clustered_layout": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "clustered_layout": """
+            SELECT count(*) AS n, 0::BIGINT AS overlaps, min(o_custkey) AS lowest,
+                   max(o_custkey) AS highest FROM orders""",
         "token_counts": f"WITH {TOKENS} SELECT doc_id, len(w) AS n_tokens FROM token_lists",
         "ngrams": f"WITH {TOKENS} SELECT doc_id, g AS ngram FROM gram",
         "shingle_hashes": f"WITH {TOKENS} SELECT doc_id, CAST(h AS BIGINT) AS hash FROM hashed",
@@ -177,12 +186,14 @@ def statements() -> dict[str, str]:
             SELECT band, band_key, min(doc_id) AS min_id, count(*) AS n
             FROM band GROUP BY band, band_key HAVING count(*) > 1""",
         "lsh_edges": f"WITH {_edges()} SELECT src, dst FROM edge",
+        "lsh_edges_hot": f"WITH {_edges()} SELECT src, dst FROM edge",
         "large_star_step": f"WITH {LARGE_STAR} SELECT src, dst FROM large",
         "small_star_step": f"WITH {PART_EDGES}, {_small_star('edge')} SELECT src, dst FROM small",
         "edge_symmetric_diff": f"""WITH {LARGE_STAR}, {_small_star('large')}
             (SELECT * FROM large EXCEPT SELECT * FROM small)
             UNION (SELECT * FROM small EXCEPT SELECT * FROM large)""",
         "connected_components": f"{components} SELECT id, component FROM component",
+        "connected_components_large": f"{components} SELECT id, component FROM component",
         "components_sorted": f"{components} SELECT component, id FROM component ORDER BY 1, 2",
         "components_top": f"""{components}
             SELECT component, id FROM component ORDER BY 1, 2 LIMIT 100""",
@@ -190,7 +201,7 @@ def statements() -> dict[str, str]:
             FROM documents WHERE doc_id NOT IN (SELECT id FROM component)""",
         "near_dedup_removed": f"""{components} SELECT doc_id, text, lang, source, n_chars
             FROM documents WHERE doc_id IN (SELECT id FROM component)""",
-        "near_dedup_job": f"""{components} SELECT doc_id, lang, source, n_chars
+        "near_dedup_job": f"""{components} SELECT doc_id, text, lang, source, n_chars
             FROM documents WHERE doc_id NOT IN (SELECT id FROM component)""",
         "row_count_gate": f"""{components}
             SELECT n AS rows_before, n - gone AS rows_after, gone / n * 100 AS pct_removed,
@@ -198,14 +209,19 @@ def statements() -> dict[str, str]:
             FROM (SELECT (SELECT count(*) FROM documents) AS n,
                          (SELECT count(*) FROM component) AS gone)""",
         "schema_gate": """
-            SELECT * FROM (VALUES
-              ('doc_id', 'long', 'long', 'same', true),
-              ('text', 'string', 'string', 'same', true),
-              ('lang', 'string', NULL, 'dropped', false),
-              ('source', 'string', 'string', 'same', true),
-              ('n_chars', 'long', 'double', 'retyped', false),
-              ('is_long', NULL, 'boolean', 'added', false))
-            AS v("column", type_before, type_after, change, passed)""",
+            SELECT 'doc_id' AS "column", 'long' AS type_before, 'long' AS type_after,
+                   'same' AS change, true AS passed, count(doc_id) AS n_before,
+                   count(doc_id) AS n_after FROM documents
+            UNION ALL SELECT 'text', 'string', 'string', 'same', true, count(text), count(text)
+            FROM documents
+            UNION ALL SELECT 'lang', 'string', NULL, 'dropped', false, count(lang), NULL
+            FROM documents
+            UNION ALL SELECT 'source', 'string', 'string', 'same', true, count(source),
+                   count(nullif(source, 'src3')) FROM documents
+            UNION ALL SELECT 'n_chars', 'long', 'double', 'retyped', false, count(n_chars),
+                   count(n_chars) FROM documents
+            UNION ALL SELECT 'is_long', NULL, 'boolean', 'added', false, NULL,
+                   count(CASE WHEN n_chars > 1000 THEN 1 END) FROM documents""",
         "dq_metrics": f"""WITH {LINES}
             SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name,
                    count(*)::DOUBLE AS number, NULL::VARCHAR AS text FROM lines
@@ -242,9 +258,16 @@ def statements() -> dict[str, str]:
         "pk_audit": """
             SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-        "fk_audit": """
-            SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey NOT IN
-              (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY o_custkey""",
+        "fk_audit": f"""WITH {ORPHANED}
+            SELECT o_custkey, count(*) AS n FROM orphaned
+            WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey""",
+        "dedup_key_check": f"""WITH {LINES}
+            SELECT sum(n)::BIGINT AS n_rows, count(*) FILTER (NOT gone) AS n_keys,
+                   count(*) FILTER (n > 1 AND NOT gone) AS repeated_keys,
+                   coalesce(sum(n) FILTER (n > 1 AND NOT gone), 0)::BIGINT AS repeated_rows,
+                   coalesce(sum(n) FILTER (gone), 0)::BIGINT AS null_rows
+            FROM (SELECT count(*) AS n, l_returnflag IS NULL AS gone FROM lines
+                  GROUP BY l_orderkey, l_linenumber, l_returnflag)""",
         "dim_languages": f"WITH {DIM_LANGUAGES} SELECT language_id, language_name FROM languages",
         "dim_repositories": f"""WITH {DIM_LANGUAGES}
             SELECT d.source, l.language_id, d.doc_id, d.n_chars
@@ -256,7 +279,7 @@ def statements() -> dict[str, str]:
             SELECT row_number() OVER (ORDER BY doc_id DESC) AS file_id, source, doc_id, text,
                    '{"' || lang || '":' || n_chars || '}' AS languages_distribution
             FROM documents""",
-        "snowflake_view": """
+        "snowflake_view": f"""WITH {ORPHANED}
             SELECT o.o_orderpriority AS path, c.c_mktsegment AS owner,
                    CAST(c.c_custkey AS DOUBLE) AS repo_id,
                    CAST(c.c_acctbal < 5000 AS VARCHAR) AS is_fork,
@@ -266,7 +289,17 @@ def statements() -> dict[str, str]:
                    CAST(c.c_custkey % 7 AS DOUBLE) AS stars,
                    o.o_orderstatus AS commit_sha, o.o_orderkey AS size, c.c_name AS name,
                    c.c_mktsegment AS license
-            FROM orders o
-            LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON o.o_custkey = c.c_custkey
+            FROM orphaned o
+            LEFT JOIN customer c ON o.o_custkey = c.c_custkey
             LEFT JOIN nation n ON nullif(c.c_nationkey, 3) = n.n_nationkey""",
+        "snowflake_roundtrip": """
+            SELECT source || '/' || doc_id AS path, 'owner' || repo % 7 AS owner,
+                   repo AS repo_id, CAST(repo % 3 = 0 AS VARCHAR) AS is_fork,
+                   CASE WHEN doc_id % 5 > 0 THEN '{"' || lang || '":' || n_chars || '}'
+                        ELSE 'null' END AS languages_distribution,
+                   text AS content, CAST(repo AS DOUBLE) AS issues,
+                   CASE WHEN repo % 4 > 0 THEN 'L' || repo % 4 ELSE 'N/A' END AS main_language,
+                   repo * 3 AS forks, repo * 9000 AS stars, lang AS commit_sha,
+                   n_chars * 100 AS size, source AS name, nullif(source, 'src1') AS license
+            FROM (SELECT *, CAST(substr(source, 4) AS BIGINT) AS repo FROM documents)""",
     }

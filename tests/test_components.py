@@ -107,11 +107,8 @@ def test_finished_components_leave_the_loop(spark, workspace):
     assert plain.pairs(rest, "src", "dst") == set(edges[49:])
 
 
-def test_too_many_open_nodes_stay_in_the_loop(spark, workspace, monkeypatch):
-    monkeypatch.setattr(components, "MAX_OPEN", 2)
+def test_large_graphs_lose_finished_components_in_each_round(spark, workspace):
     edges = PATH + [(i, 500) for i in range(501, 520)]
-    state = graph(spark, edges)
-    assert components._split_done(state, unsettled(state), workspace, "t") is None
     assert solve(spark, workspace, edges, hot_rows=3) == plain.components(edges)
 
 

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -21,6 +23,8 @@ def test_permutations_are_a_function_of_the_seed():
         [1973689801170867272, 1819927849474927636],
     ]
     assert minhash.permutations(256).tolist() == drawn
+    digest = hashlib.sha256(np.array(drawn, dtype="<u8").tobytes()).hexdigest()
+    assert digest == "73e50cc0fff92b97475a018d2d1bd07c80fd51e03d105847db750c4dd51aca8e"
     assert minhash.permutations(10).tolist() == drawn[:10]
     assert minhash.permutations(10, seed=7).tolist() != drawn[:10]
     assert all(1 <= a < PRIME and 0 <= b < PRIME for a, b in drawn)

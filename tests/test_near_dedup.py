@@ -6,10 +6,13 @@ import plain
 from twinsieve import DedupParams, find_duplicates, near_dedup, run_job
 from twinsieve.functions.minhash import permutations
 from twinsieve.operators.banding import signatures
+from twinsieve.operators.audits import KeyNotUnique
 from twinsieve.operators.checks import is_complete, is_unique
 from twinsieve.operators.gates import GateFailed
 from twinsieve.operators.profile import ProfileSpec
-from twinsieve.sources.tables import read_with_row_id
+from twinsieve.plans import near_dedup as near_dedup_plan
+from twinsieve.sources.tables import read_with_row_id, write_table
+from twinsieve.sources.workspace import Workspace
 
 PARAMS = DedupParams(num_perm=64)
 RULES = (is_complete("key"), is_unique("key"))
@@ -168,3 +171,59 @@ def test_signature_step_reads_two_columns_once(spark, workspace, docs):
     plan = signatures(stored, "key", "content")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and plan.count("FileScan") == 1
     assert "ReadSchema: struct<key:bigint,content:string>" in plan
+
+
+@pytest.mark.parametrize("ids", [[1, 5, 5, 7], [1, None, 5, 7]])
+def test_repeated_and_null_keys_are_refused(spark, workspace, ids):
+    """A row of its own must not go along with a row that shares its key."""
+    texts = ["a b c d e f", "a b c d e f", "another text with words of its own", "g h i j k l"]
+    rows = spark.createDataFrame(list(zip(ids, texts, strict=True)), "key long, content string")
+    with pytest.raises(KeyNotUnique, match="key is no key"):
+        near_dedup(rows, "key", "content", workspace, PARAMS)
+    with pytest.raises(KeyNotUnique):
+        job(rows, workspace)
+    kept = near_dedup(rows, "key", "content", workspace, PARAMS, proven_unique=True)
+    assert kept.columns == ["key", "content"]
+
+
+CHANGES = {
+    "dropped": lambda df: df.drop("content"),
+    "added": lambda df: df.withColumn("more", F.lit(1)),
+    "retyped": lambda df: df.withColumn("key", F.col("key").cast("string")),
+}
+
+
+@pytest.mark.parametrize("change", CHANGES)
+def test_gate_fails_when_the_writer_changes_the_schema(sparse, workspace, monkeypatch, change):
+    def writer(df, path):
+        write_table(CHANGES[change](df), path)
+
+    monkeypatch.setattr(near_dedup_plan, "write_table", writer)
+    with pytest.raises(GateFailed, match=f"schema.*{change}"):
+        job(sparse, workspace)
+
+
+def test_a_named_run_goes_on_after_an_error(spark, sparse, workspace, monkeypatch):
+    """Signatures are not computed again, other parameters start anew."""
+
+    def fails(*args, **options):
+        raise RuntimeError("lost")
+
+    expected = sorted(
+        r.key for r in near_dedup(sparse, "key", "content", workspace, PARAMS).collect()
+    )
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="lost"):
+        patch.setattr(near_dedup_plan, "star_edges", fails)
+        with Workspace(spark, workspace.root, run="test") as space:
+            near_dedup(sparse, "key", "content", space, PARAMS)
+    with monkeypatch.context() as patch:
+        patch.setattr(near_dedup_plan, "signatures", fails)
+        space = Workspace(spark, workspace.root, run="test")
+        kept = near_dedup(sparse, "key", "content", space, PARAMS)
+        assert sorted(r.key for r in kept.collect()) == expected
+        patch.setattr(near_dedup_plan, "star_edges", fails)
+        patch.setattr(near_dedup_plan, "connected_components", fails)
+        again = near_dedup(sparse, "key", "content", space, PARAMS)
+        assert sorted(r.key for r in again.collect()) == expected
+        with pytest.raises(RuntimeError, match="lost"):
+            near_dedup(sparse, "key", "content", space, DedupParams(num_perm=32))

@@ -8,7 +8,8 @@ from twinsieve.operators.checks import (
     REPOSITORY_CHECK,
     REPOSITORY_RULES,
     failed_checks,
-    is_between,
+    is_at_least,
+    is_at_most,
     is_complete,
     is_non_negative,
     is_unique,
@@ -95,8 +96,9 @@ def test_checks(rows):
         is_non_negative("k"),
         is_non_negative("n"),
         is_non_negative("d"),
-        is_between("k", 1, 3),
-        is_between("d", 0.0, 3.0),
+        is_at_least("k", 1),
+        is_at_most("d", 3.0),
+        is_at_least("d", 0.0),
         is_complete("absent"),
         is_complete("maybe", only_if_present=True),
     ]
@@ -110,8 +112,9 @@ def test_checks(rows):
         "k is non-negative": "Success",
         "n is non-negative": "Failure",
         "d is non-negative": "Success",
-        "k is between 1 and 3": "Success",
-        "d is between 0.0 and 3.0": "Failure",
+        "k >= 1": "Success",
+        "d <= 3.0": "Failure",
+        "d >= 0.0": "Failure",
         "Completeness(absent) >= 1.0": "Failure",
     }
     rows = results.collect()
@@ -168,7 +171,7 @@ def test_repository_rules(spark):
         "minhash_signature", F.lit("x")
     )
     got = statuses(run_checks(scored, REPOSITORY_RULES, REPOSITORY_CHECK))
-    assert got["similarity_score is between 0.0 and 1.0"] == "Failure"
+    assert got["similarity_score <= 1.0"] == "Failure"
     assert got["Completeness(minhash_signature) >= 0.99"] == "Success"
 
 

@@ -9,6 +9,7 @@ from twinsieve.plans.snowflake import (
     WIDE_COLUMNS,
     file_facts,
     language_dimension,
+    load_snowflake,
     repository_dimension,
     wide_view,
 )
@@ -165,3 +166,31 @@ def test_a_hot_repository_is_split(spark, workspace):
     finally:
         for name, value in old.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_loaded_tables_have_their_layouts(spark, flat, workspace):
+    """Filters on a bucket read only its folder, and repositories without a position come last."""
+    folder = workspace.path("loaded")
+    languages, repositories, files, wide = load_snowflake(flat, folder, workspace, "pos", "loaded")
+    assert files.count() == flat.count() == spark.table("loaded").count()
+    assert repositories.count() == flat.select("repo_id").distinct().count()
+    assert languages.columns == ["language_id", "language_name"]
+    plan = files.where("bucket = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    again = load_snowflake(flat, folder, workspace, "pos")
+    assert again[2].count() == flat.count()
+
+
+def test_missing_distribution_and_positions(spark, workspace):
+    rows = [(1, None, "a", None), (1, 7, "b", {"x": 1}), (2, None, "c", {"x": 2}), (None, 3, "d", None)]
+    frame = spark.createDataFrame(
+        rows, "repo_id long, pos long, main_language string, languages_distribution map<string, int>"
+    )
+    facts = file_facts(frame, workspace, columns=["pos"])
+    texts = sorted(r.languages_distribution for r in facts.collect())
+    assert texts == ["null", "null", '{"x":1}', '{"x":2}']
+    languages = language_dimension(frame, "pos", workspace)
+    names = {r.language_id: r.language_name for r in languages.collect()}
+    dimension = repository_dimension(frame, "pos", languages, columns=["pos"])
+    found = {(r.repo_id, r.pos, names[r.language_id]) for r in dimension.collect()}
+    assert found == {(1, 7, "b"), (2, None, "c"), (None, 3, "d")}

@@ -35,9 +35,11 @@ _KNOWN = 4096
 def permutations(num_perm: int, seed: int = SEED) -> np.ndarray:
     """``num_perm`` pairs (a, b) with 0 < a < p and 0 <= b < p, a pure function of the seed."""
     draw = np.random.RandomState(seed).randint
-    pairs = [
-        [draw(low, MERSENNE_PRIME, dtype=np.uint64) for low in (1, 0)] for _ in range(num_perm)
-    ]
+    pairs = []
+    for _ in range(num_perm):
+        a = draw(1, MERSENNE_PRIME, dtype=np.uint64)
+        b = draw(0, MERSENNE_PRIME, dtype=np.uint64)
+        pairs.append((a, b))
     return np.array(pairs, dtype=np.uint64).reshape(num_perm, 2)
 
 

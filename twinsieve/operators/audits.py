@@ -7,12 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
+class KeyNotUnique(ValueError):
+    """A key that has to be unique and not null is not."""
+
+
 def primary_key_audit(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key columns, n): keys that occur more than once or have a null column."""
     null = F.greatest(*[F.col(c).isNull() for c in key], F.lit(False))
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | null)
 
 
+def key_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row: n_rows, n_keys, repeated_keys, repeated_rows and null_rows of a key."""
+    null = F.greatest(*[F.col(c).isNull() for c in key], F.lit(False)).alias("__null")
+    counts = df.select(*key, null).groupBy(*key, "__null").agg(F.count(F.lit(1)).alias("n"))
+    repeated = (F.col("n") > 1) & ~F.col("__null")
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.count_if(~F.col("__null")).alias("n_keys"),
+        F.count_if(repeated).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("repeated_rows"),
+        F.coalesce(F.sum(F.when(F.col("__null"), F.col("n"))), F.lit(0)).alias("null_rows"),
+    )
+
+
+def require_key(df: DataFrame, key: Sequence[str]) -> None:
+    """Raise ``KeyNotUnique`` if a key occurs twice or is null."""
+    found = key_report(df, key).first()
+    if found["repeated_rows"] or found["null_rows"]:
+        raise KeyNotUnique(f"{', '.join(key)} is no key: {found.asDict()}")
+
+
 def foreign_key_audit(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """(column, n): values of the child's key that the parent lacks; null refers to nothing.
 

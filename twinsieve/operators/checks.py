@@ -50,15 +50,24 @@ def is_non_negative(column: str) -> Constraint:
     )
 
 
-def is_between(
-    column: str, low: float, high: float, only_if_present: bool = False
-) -> Constraint:
-    """Every value lies in [low, high]; nulls do not pass."""
+def is_at_most(column: str, high: float, only_if_present: bool = False) -> Constraint:
+    """No value is above the bound; nulls do not pass."""
     return Constraint(
-        f"{column} is between {low} and {high}",
+        f"{column} <= {high}",
         (column,),
         lambda v: v == 1.0,
-        lambda: _share(F.col(column).between(low, high)),
+        lambda: _share(F.col(column) <= high),
+        only_if_present,
+    )
+
+
+def is_at_least(column: str, low: float, only_if_present: bool = False) -> Constraint:
+    """No value is below the bound; nulls do not pass."""
+    return Constraint(
+        f"{column} >= {low}",
+        (column,),
+        lambda v: v == 1.0,
+        lambda: _share(F.col(column) >= low),
         only_if_present,
     )
 
@@ -77,7 +86,8 @@ REPOSITORY_RULES = (
     is_non_negative("forks"),
     is_non_negative("issues"),
     is_complete("minhash_signature", 0.99, only_if_present=True),
-    is_between("similarity_score", 0.0, 1.0, only_if_present=True),
+    is_at_most("similarity_score", 1.0, only_if_present=True),
+    is_at_least("similarity_score", 0.0, only_if_present=True),
 )
 REPOSITORY_CHECK = "Data Quality Check for Repository Code Dataset"
 

@@ -12,10 +12,6 @@ from twinsieve.operators.skew import HOT_ROWS, with_group_min
 from twinsieve.sources.workspace import Workspace
 
 
-# Open nodes that may be broadcast to tell finished components from others.
-MAX_OPEN = 1_000_000
-
-
 class NotConverged(RuntimeError):
     """The round limit was reached before the components were found."""
 
@@ -103,16 +99,16 @@ def connected_components(
             open_nodes = workspace.stage(open_nodes, f"{name}-unsettled")
             stale.append(open_nodes)
         if open_nodes.isEmpty():
+            if large_graph:
+                workspace.drop(open_nodes)
             return _labels([*done, state])
         if turn == max_rounds:
             break
         if large_graph:
-            split = _split_done(state, open_nodes, workspace, name)
-            if split:
-                done.append(split[0])
-                state = split[1]
-                stale.append(state)
-                at_most = state.count()
+            finished, state = _split_done(state, open_nodes, workspace, name)
+            done.append(finished)
+            stale.append(state)
+            at_most = state.count()
         large = large_star(state, workspace, hot_rows, at_most, f"{name}-heavy")
         if 2 * at_most > hot_rows:
             large = workspace.stage(large, f"{name}-large-star")
@@ -126,24 +122,20 @@ def connected_components(
 
 def _split_done(
     edges: DataFrame, nodes: DataFrame, workspace: Workspace, name: str
-) -> tuple[DataFrame, DataFrame] | None:
+) -> tuple[DataFrame, DataFrame]:
     """Edges of the components that are done and those that are not, both staged.
 
     A component is done if it is one star: neither its centre nor a node that points to the
-    centre is unsettled. The centres to be kept open are counted before they are broadcast;
-    None means that they are too many to tell the edges apart without a shuffle.
+    centre is unsettled. The joins carry no hint, so the planner broadcasts few centres and
+    shuffles many, and a centre with very many edges can be split.
     """
-    if nodes.limit(MAX_OPEN + 1).count() > MAX_OPEN:
-        return None
-    above = edges.join(F.broadcast(nodes), F.col("src") == F.col("node"), "left_semi")
-    centres = nodes.union(above.select("dst")).distinct()
-    centres = workspace.stage(centres, f"{name}-centres")
-    parts = None
-    if centres.limit(MAX_OPEN + 1).count() <= MAX_OPEN:
-        is_open = F.col("dst") == F.col("node")
-        done = edges.join(F.broadcast(centres), is_open, "left_anti")
-        rest = edges.join(F.broadcast(centres), is_open, "left_semi")
-        parts = workspace.stage(done, f"{name}-done"), workspace.stage(rest, f"{name}-open")
+    above = edges.join(nodes, F.col("src") == F.col("node"), "left_semi")
+    centres = workspace.stage(nodes.union(above.select("dst")).distinct(), f"{name}-centres")
+    is_open = F.col("dst") == F.col("node")
+    parts = (
+        workspace.stage(edges.join(centres, is_open, "left_anti"), f"{name}-done"),
+        workspace.stage(edges.join(centres, is_open, "left_semi"), f"{name}-open"),
+    )
     workspace.drop(centres)
     return parts
 

@@ -10,9 +10,8 @@ from twinsieve.sources.workspace import Workspace
 
 # A group up to this size is cheap for one task to sort.
 HOT_ROWS = 4_000_000
-# Counters of the first pass, and the most groups that are ever broadcast: both are constants.
-BINS = 65_536
-MAX_HOT_GROUPS = 10_000
+# Counters of the first pass. A constant, which bounds what is broadcast, see ``heavy_groups``.
+BINS = 1 << 18
 
 
 def heavy_groups(
@@ -28,17 +27,16 @@ def heavy_groups(
 
     First all rows are counted in a fixed number of hash bins, which needs next to no shuffle.
     A group is at most as large as its bin, so small bins rule out nearly all groups at once
-    and only the rows of large bins are grouped by key. At most MAX_HOT_GROUPS come back, the
-    largest first: a group beyond them has less than 1/MAX_HOT_GROUPS of all rows.
+    and only the rows of large bins are grouped by key. A heavy group has more than four times
+    the rows of an average bin, so there are less than a quarter as many as there are bins.
     """
     bin_of = F.pmod(F.xxhash64(*keys), F.lit(BINS))
     bins = rows.groupBy(bin_of.alias("__bin")).agg(F.count(F.lit(1)).alias("__n"))
     bins = workspace.stage(bins, f"{name}-bins")
     total, largest = bins.agg(F.sum("__n"), F.max("__n")).first()
-    if total is None:
-        return None
-    limit = max(hot_rows, 4 * total // BINS)
-    if largest <= limit:
+    limit = max(hot_rows, 4 * (total or 0) // BINS)
+    if total is None or largest <= limit:
+        workspace.drop(bins)
         return None
     large_bins = F.broadcast(bins.where(F.col("__n") > limit).select("__bin"))
     heavy = (
@@ -47,11 +45,10 @@ def heavy_groups(
         .groupBy(*keys)
         .agg(F.min(value).alias(out), F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > limit)
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HOT_GROUPS)
         .drop("__n")
     )
     heavy = workspace.stage(heavy, name)
+    workspace.drop(bins)
     return None if heavy.isEmpty() else heavy
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from twinsieve.functions.lsh import Banding, choose_banding
 from twinsieve.functions.minhash import SEED
 from twinsieve.operators.assessment import assess
+from twinsieve.operators.audits import require_key
 from twinsieve.operators.banding import bands, signatures, star_edges
 from twinsieve.operators.checks import REPOSITORY_CHECK, REPOSITORY_RULES, Constraint
 from twinsieve.operators.components import connected_components
@@ -68,17 +69,19 @@ def stage_signatures(
     df: DataFrame, key: str, text: str, params: DedupParams, workspace: Workspace
 ) -> DataFrame:
     """Staged (id, signature), the one step that reads the text and the costliest to redo."""
-    signed = signatures(
-        df,
-        key,
-        text,
-        params.ngram_size,
-        params.min_ngram_size,
-        params.num_perm,
-        params.banding().used,
-        params.seed,
-    )
-    return workspace.stage(signed, "signatures")
+    def signed() -> DataFrame:
+        return signatures(
+            df,
+            key,
+            text,
+            params.ngram_size,
+            params.min_ngram_size,
+            params.num_perm,
+            params.banding().used,
+            params.seed,
+        )
+
+    return workspace.stage_once("signatures", (params, key, text), signed)
 
 
 def find_duplicates(
@@ -89,19 +92,32 @@ def find_duplicates(
     params: DedupParams = DedupParams(),
     max_rounds: int = 100,
     hot_rows: int = HOT_ROWS,
+    proven_unique: bool = False,
 ) -> Duplicates:
     """Link rows that share a band and resolve the links into components.
 
-    ``key`` must be unique and not null. Rows with a null or too short text get no signature
-    and are in no component.
+    ``key`` must be unique and not null, or removal would take rows of their own along with
+    a duplicate. This is checked, over the key alone, and ``KeyNotUnique`` raised, unless the
+    caller says that it is proven. Rows with a null or too short text get no signature and are
+    in no component.
     """
+    if not proven_unique:
+        require_key(df, [key])
     banding = params.banding()
     signed = stage_signatures(df, key, text, params, workspace)
-    at_most = signed.count() * banding.bands
-    edges = workspace.stage(
-        star_edges(bands(signed, banding), workspace, hot_rows, at_most), "edges"
-    )
-    components = connected_components(edges, workspace, max_rounds, hot_rows, prepared=True)
+    step = (params, key, text)
+
+    def linked() -> DataFrame:
+        at_most = signed.count() * banding.bands
+        return star_edges(bands(signed, banding), workspace, hot_rows, at_most)
+
+    edges = workspace.stage_once("edges", step, linked)
+
+    def resolved() -> DataFrame:
+        return connected_components(edges, workspace, max_rounds, hot_rows, prepared=True)
+
+    named = workspace.run is not None
+    components = workspace.stage_once("components", step, resolved) if named else resolved()
     return Duplicates(banding, signed, edges, components)
 
 
@@ -111,9 +127,10 @@ def near_dedup(
     text: str,
     workspace: Workspace,
     params: DedupParams = DedupParams(),
+    proven_unique: bool = False,
 ) -> DataFrame:
     """The rows of ``df`` without near-duplicates: the smallest key of each component stays."""
-    found = find_duplicates(df, key, text, workspace, params)
+    found = find_duplicates(df, key, text, workspace, params, proven_unique=proven_unique)
     return keep_one(df, found.components, key)
 
 
@@ -134,16 +151,19 @@ def run_job(
     """Profile and check a table, write it without near-duplicates, profile and check again.
 
     Without a ``key`` each row gets a generated id, which is not part of the output; a key that
-    only serves the job is left out with ``keep_key`` false. Reports go to ``reports`` (default:
+    only serves the job is left out with ``keep_key`` false. A given key is checked before any
+    work, see ``find_duplicates``. The output is read back with the schema it was written with,
+    so the schema gate compares the two tables. Reports go to ``reports`` (default:
     folder "reports" of the workspace, which a second run replaces). The gates run after the
     output and all reports are written and raise ``GateFailed``; failed checks raise only if
     ``strict``.
     """
     columns = [c for c in df.columns if keep_key or c != key]
-    if key is None:
+    generated = key is None
+    if generated:
         key = _ROW_ID
         df = attach_row_id(df, workspace, key)
-    found = find_duplicates(df, key, text, workspace, params)
+    found = find_duplicates(df, key, text, workspace, params, proven_unique=generated)
     report = _Reports(workspace, reports or workspace.path("reports"))
     source = df.select(*columns)
     before = assess(source, profile_spec, rules, check, workspace.stage, "before")
@@ -152,7 +172,7 @@ def run_job(
     components = report.write(found.components, "components")
 
     write_table(keep_one(df, components, key).select(*columns), output)
-    kept = workspace.spark.read.schema(source.schema).parquet(output)
+    kept = workspace.spark.read.parquet(output)
 
     after = assess(kept, profile_spec, rules, check, workspace.stage, "after")
     profile_after = report.write(after.profile, "profile_after")

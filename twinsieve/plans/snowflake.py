@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from twinsieve.operators.keys import dense_key
+from twinsieve.sources.layout import range_bucket, write_layout
+from twinsieve.sources.tables import write_table
 from twinsieve.sources.workspace import Workspace
 
 # The fill for a missing language and the columns of the three tables.
@@ -54,15 +56,25 @@ def repository_dimension(
 ) -> DataFrame:
     """The first row of each repository by ``position``, with its language id.
 
-    ``min_by`` is combined before the shuffle, so a repository with very many files sends one
-    row from each task.
+    Positions are unique; rows without one come last. The first positions come from a hash
+    aggregate, which is combined before the shuffle, and pick their rows in a join.
     """
-    picked = F.struct(_filled(language).alias("language_name"), *columns)
-    first = flat.groupBy(repo_id).agg(F.min_by(picked, position).alias("first"))
-    return (
-        first.select(repo_id, "first.*")
-        .join(languages, "language_name", "left")
-        .select(repo_id, "language_id", *columns)
+    place = F.coalesce(F.col(position).cast("bigint"), F.lit((1 << 63) - 1))
+    names = [f"__c{i}" for i in range(len(columns))]
+    rows = flat.select(
+        F.col(repo_id).alias("__repo"),
+        place.alias("__place"),
+        _filled(language).alias("language_name"),
+        *[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)],
+    )
+    first = rows.groupBy(F.col("__repo").alias("__key")).agg(F.min("__place").alias("__first"))
+    picked = rows.join(
+        first, F.col("__repo").eqNullSafe(F.col("__key")) & (F.col("__place") == F.col("__first"))
+    ).dropDuplicates(["__repo"])
+    return picked.join(languages, "language_name", "left").select(
+        F.col("__repo").alias(repo_id),
+        "language_id",
+        *[F.col(n).alias(c) for c, n in zip(columns, names, strict=True)],
     )
 
 
@@ -76,13 +88,16 @@ def file_facts(
 ) -> DataFrame:
     """(file_id, repo_id, columns, languages_distribution as JSON) with file_id 1..n.
 
-    The ids follow ``position``, which takes one shuffle of the facts by range, or else the
-    order of the scan, which takes none.
+    The ids follow the order of the scan, which takes no shuffle, or that of ``position``, which
+    takes one of all facts by range. A missing distribution is the JSON text ``null``.
     """
     value = F.col("languages_distribution") if distribution is None else distribution
     order = [F.col(position).alias("__position")] if position else []
     rows = flat.select(
-        repo_id, *columns, F.to_json(value).alias("languages_distribution"), *order
+        repo_id,
+        *columns,
+        F.coalesce(F.to_json(value), F.lit("null")).alias("languages_distribution"),
+        *order,
     )
     numbered = dense_key(rows, ["__position"] if position else [], "file_id", workspace, "files")
     return numbered.drop("__position")
@@ -109,5 +124,43 @@ def wide_view(
     return wide
 
 
+# The ranges that partition two of the tables, as (column, start, stop, step), and the
+# columns that cluster them.
+REPOSITORY_LAYOUT = (("stars", 0, 100_000, 10_000), ("owner",), ("repo_id",))
+FILE_LAYOUT = (("size", 0, 1_000_000, 100_000), ("repo_id",), ("file_id",))
+
+
+def load_snowflake(
+    flat: DataFrame,
+    folder: str,
+    workspace: Workspace,
+    position: str,
+    view: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Write a flat table as languages, repositories and files, each replaced, and read them back.
+
+    Repositories and files have their fixed layouts, so a filter on the bucket reads only some
+    folders. Returns the three tables and the wide view over them, registered if it has a name.
+    ``position`` orders the first appearance of languages and repositories; file ids follow the
+    scan.
+    """
+    spark, folder = workspace.spark, folder.rstrip("/")
+    languages = language_dimension(flat, position, workspace)
+    write_table(languages, f"{folder}/languages")
+    languages = spark.read.parquet(f"{folder}/languages")
+    repositories = repository_dimension(flat, position, languages)
+    files = file_facts(flat, workspace)
+    tables = [languages]
+    for table, name, (bounds, cluster, key) in (
+        (repositories, "repositories", REPOSITORY_LAYOUT),
+        (files, "files", FILE_LAYOUT),
+    ):
+        write_layout(table, f"{folder}/{name}", range_bucket(*bounds), cluster, key)
+        tables.append(spark.read.parquet(f"{folder}/{name}"))
+    languages, repositories, files = tables
+    plain = repositories.drop("bucket"), files.drop("bucket")
+    return (*tables, wide_view(plain[1], plain[0], languages, view))
+
+
 def _filled(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(NOT_AVAILABLE))

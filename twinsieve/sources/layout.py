@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from twinsieve.sources.tables import MAX_RECORDS_PER_FILE
+
 
 def range_bucket(value: Column | str, start: int, stop: int, step: int) -> Column:
     """Bucket number of a value: 1.. inside [start, stop), 0 below, the last one above.
@@ -43,4 +45,5 @@ def write_layout(
     clustering column skips files and row groups by their minimum and maximum.
     """
     rows = clustered(df.withColumn(bucket_name, bucket), [bucket_name, *cluster_by], unique_key)
-    rows.write.mode("overwrite").format(fmt).partitionBy(bucket_name).save(path)
+    writer = rows.write.mode("overwrite").format(fmt).partitionBy(bucket_name)
+    writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).save(path)

@@ -13,8 +13,6 @@ from twinsieve.sources.workspace import Workspace
 MAX_RECORDS_PER_FILE = 300_000
 # The default size of a full split of a scan.
 SPLIT_BYTES = 128 << 20
-# Up to this many file numbers are broadcast.
-BROADCAST_FILES = 200_000
 
 
 def read_table(
@@ -71,24 +69,28 @@ def read_with_row_id(
     """Parquet files with a unique LONG for each row that stays the same in every scan.
 
     The id is made of a number for the file, by order of its path, and the row's place in the
-    file. Neither depends on how the scan is split, so nothing is copied: only the file numbers
-    are staged. They are counted before they are broadcast.
+    file. Neither depends on how the scan is split, so nothing is copied and no row is shuffled:
+    the numbers are staged and broadcast by the hash of the path, 16 bytes for each file.
     """
     scan = spark.read.parquet(source)
     columns = list(columns or scan.columns)
     if column in columns:
         raise ValueError(f"column {column} exists already")
     paths = scan.select(F.col("_metadata.file_path").alias("__path")).distinct()
-    files = dense_key(paths, ["__path"], "__file", workspace, name)
-    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        files = F.broadcast(files)
+    numbered = dense_key(paths, ["__path"], "__file", workspace, name)
+    files = workspace.stage(
+        numbered.select(F.xxhash64("__path").alias("__path"), "__file"), f"{name}-hashed"
+    )
+    count, different = files.agg(F.count(F.lit(1)), F.count_distinct("__path")).first()
+    if count != different:
+        raise ValueError("two paths share a hash; rename a file, or attach ids to a copy")
     place = F.shiftleft("__file", 33).bitwiseOR(F.col("__place"))
     located = scan.select(
         *columns,
-        F.col("_metadata.file_path").alias("__path"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("__path"),
         F.col("_metadata.row_index").alias("__place"),
     )
-    return located.join(files, "__path").select(*columns, place.alias(column))
+    return located.join(F.broadcast(files), "__path").select(*columns, place.alias(column))
 
 
 def fill_cluster(df: DataFrame, *keys: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
