@@ -24,11 +24,12 @@ tokens alike. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from twinsieve.llm.text import LOWER, STRETCH, blocks, column_bytes, mixed
@@ -196,15 +197,7 @@ def train(counts: DataFrame, params: LmParams = LmParams()) -> Network:
     network = Network.start(params.hidden, params.seed)
     for turn in range(params.rounds if rows else 0):
         shared = counts.sparkSession.sparkContext.broadcast(network.flat)
-
-        def learn(table: pa.Table, turn: int = turn, shared=shared) -> pa.Table:
-            keys = table["window"].to_numpy().view(np.uint64)
-            found = improved(
-                Network(shared.value, params.hidden), keys, table["n"].to_numpy(), turn, params
-            )
-            part = table["slice"][0].as_py() % parts
-            return _sum_row(part, float(table["n"].to_numpy().sum()), found)
-
+        learn = _learner(shared, turn, parts, params)
         learnt = dealt.groupBy("slice").applyInArrow(learn, _SUMS)
         added = learnt.groupBy("part").applyInArrow(_added, _SUMS).toArrow()
         total = _added(added)
@@ -212,6 +205,17 @@ def train(counts: DataFrame, params: LmParams = LmParams()) -> Network:
     return network
 
 
+def _learner(
+    shared: Broadcast, turn: int, parts: int, params: LmParams
+) -> Callable[[pa.Table], pa.Table]:
+    def learn(table: pa.Table) -> pa.Table:
+        keys, n = table["window"].to_numpy().view(np.uint64), table["n"].to_numpy()
+        found = improved(Network(shared.value, params.hidden), keys, n, turn, params)
+        return _sum_row(table["slice"][0].as_py() % parts, float(n.sum()), found)
+
+    return learn
+
+
 def _sum_row(part: int, n: float, weights: np.ndarray) -> pa.Table:
     data = pa.array([weights.astype(np.float32).tobytes()], pa.binary())
     return pa.table({"part": pa.array([part], pa.int32()), "n": [n], "weights": data})

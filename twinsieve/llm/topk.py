@@ -160,10 +160,12 @@ def _histogram(params: TopKParams):
             zip(*(part[n].to_pylist() for n in names), strict=True)
         ):
             found = scores[row][ids != query]
-            bins = np.minimum((found[found >= low] - low) // width, params.bins)
+            # As unsigned numbers, differences of 64-bit integers do not overflow.
+            above = (found[found >= low] - low).view(np.uint64) // np.uint64(width)
+            bins = np.minimum(above, np.uint64(params.bins)).astype(np.int64)
             bin_ids, counts = np.unique(bins, return_counts=True)
-            above = np.cumsum(counts[::-1])[::-1] - counts
-            kept = above < params.k
+            better = np.cumsum(counts[::-1])[::-1] - counts
+            kept = better < params.k
             out[0].append(np.full(kept.sum(), query))
             out[1].append(bin_ids[kept])
             out[2].append(counts[kept])
@@ -226,8 +228,10 @@ def _narrowed(bounds: DataFrame, counts: DataFrame, params: TopKParams) -> DataF
         )
     )
     # With fewer than k candidates every score is wanted.
-    bin_ = F.coalesce("bin", "lowest")
-    low = F.col("low") + bin_ * F.col("width")
+    bin_, low, width = (
+        c.cast("decimal(20,0)") for c in (F.coalesce("bin", "lowest"), F.col("low"), F.col("width"))
+    )
+    low = (low + bin_ * width).cast("bigint")
     next_width = F.floor((F.col("width") - 1) / params.bins) + 1
     return bounds.join(kth, "id").select(
         "id",
