@@ -10,24 +10,30 @@ from twinsieve.llm import units
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def spans(text, least=8):
-    """(start, stop, normalised unit)."""
+def spans(text, least=16, least_line=8):
+    """(start, stop, what the unit is compared by)."""
     for line in re.finditer(r"[^\n]+", text):
         words = list(re.finditer(r"[^\x20\x09-\x0D]+", line.group()))
         parts, part = [], []
         for word in words:
             part.append(word)
-            if re.search(r"[.!?][\"')\]]?$", word.group()) and len(part) >= least:
+            if re.search(r"[.,;:!?]$|[.,;:!?][\"')\]]$", word.group()):
                 parts.append(part)
                 part = []
-        if len(part) >= least:
-            parts.append(part)
-        elif part and parts:
-            parts[-1] = parts[-1] + part
+        parts += [part] if part else []
         for n, found in enumerate(parts):
+            context, before = list(found), 0
+            for more in parts[n + 1 :]:
+                if len(context) < least:
+                    context += more
+            for more in parts[:n][::-1]:
+                if len(context) < least:
+                    context, before = more + context, before + len(more)
+            if len(context) < least_line:
+                continue
             stop = parts[n + 1][0].start() if n + 1 < len(parts) else found[-1].end()
-            unit = " ".join(w.group() for w in found).translate(LOWER)
-            yield line.start() + found[0].start(), line.start() + stop, unit
+            unit = " ".join(w.group() for w in context).translate(LOWER)
+            yield line.start() + found[0].start(), line.start() + stop, (unit, before)
 
 
 def plain(rows):
@@ -54,7 +60,18 @@ def plain(rows):
 
 
 def sentence(n):
-    return " ".join(f"Word{n} w{n}x{i}" for i in range(5)) + "."
+    return " ".join(f"Word{n} w{n}x{i}{',' * (i == 2)}" for i in range(5)) + "."
+
+
+def test_a_passage_inside_other_text_is_found(spark, workspace):
+    passage = f"Short one. {sentence(1)} {sentence(2)} Short two. {sentence(3)} And last."
+    rows = [(1, f"Some words before {passage} {sentence(4)}"), (2, f"Else. {passage} {sentence(5)}")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = result(units.deduplicated(frame, workspace))
+    assert got == plain(rows)
+    # What is left of the passage: a clause that other words run into, and the end, whose next
+    # sixteen words are other ones.
+    assert got[2][0] == f"Else. Short one. Short two. {sentence(3)} And last. {sentence(5)}"
 
 
 def result(frame):
@@ -113,6 +130,6 @@ def test_a_row_that_is_there_twice_stays(spark, workspace):
 
 def test_long_text_is_found_whole():
     text = "\n".join(sentence(i) for i in range(20_000))
-    found = units.find_units(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 8)
-    assert len(found.text) == 20_000
+    found = units.find_units(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), units.UnitParams())
+    assert len(found.text) == 40_000
     assert found.stop[-1] == len(text)

@@ -1,10 +1,12 @@
-"""Substring dedup by hashing units: lines, and the sentences of longer lines.
+"""Substring dedup by hashing units: lines, and the clauses of longer lines.
 
-A text is split at line ends, and after '.', '!' or '?' before white space. A sentence of fewer than
-``least_words`` words is joined to the next one of its line, the last one to the one before it, so
-units are long enough not to recur by chance. Units are compared after normalising: A to Z in lower
-case, runs of space and U+0009 to U+000D as one, by a digest of 128 bits. Lines with fewer words in
-all are left alone.
+A text is split at line ends, and after one of .,;:!? before white space. Units are compared after
+normalising: A to Z in lower case, runs of space and U+0009 to U+000D as one, by a digest of 128 bits.
+A unit of fewer than ``least_words`` words would recur by chance, so it is compared together with what
+follows in its line, up to that many words, or at the end of the line with what precedes. What a unit
+is compared by thus depends on its neighbours alone, and a passage in the middle of other text is
+found wherever it stands, but for some words at its ends. A line of fewer words is compared as a
+whole, or left alone if it has fewer than ``least_line``.
 
 Digests are grouped over the whole table. The earliest occurrence by (rank, place in the text) stays;
 every other one is removed, also in the same text. A removed unit takes the white space after it
@@ -36,14 +38,15 @@ from twinsieve.sources.workspace import Workspace
 
 _NEWLINE = 10
 _ENDS = np.zeros(256, bool)
-_ENDS[list(b".!?")] = True
+_ENDS[list(b".,;:!?")] = True
 _CLOSERS = np.zeros(256, bool)
 _CLOSERS[list(b"\"')]")] = True
 
 
 @dataclass(frozen=True)
 class UnitParams:
-    least_words: int = 8
+    least_words: int = 16
+    least_line: int = 8
 
 
 @dataclass(frozen=True)
@@ -62,7 +65,7 @@ class Units:
         return np.arange(len(self.text)) - first
 
 
-def find_units(data: np.ndarray, bounds: np.ndarray, least_words: int) -> Units:
+def find_units(data: np.ndarray, bounds: np.ndarray, params: UnitParams) -> Units:
     """The units of the texts in a buffer."""
     hashes, starts, stops = word_spans(data, bounds)
     if not len(hashes):
@@ -75,14 +78,22 @@ def find_units(data: np.ndarray, bounds: np.ndarray, least_words: int) -> Units:
     last = data[stops - 1]
     before = data[np.maximum(stops - 2, starts)]
     ends = np.flatnonzero(line_ends | _ENDS[last] | (_CLOSERS[last] & _ENDS[before]))
-    first, after = _joined(ends, line_ends[ends], least_words)
-    size = after - first
-    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    words = hashes[np.repeat(first, size) + within]
-    turn = within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    after = ends + 1
+    first = np.concatenate([[0], after[:-1]])
+    low_word, high_word, kept = _contexts(first, after, line_ends[ends], params)
+    first, after = first[kept], after[kept]
+    low_word, high_word = low_word[kept], high_word[kept]
+    size = high_word - low_word
     heads = np.cumsum(size) - size
+    within = np.arange(size.sum()) - np.repeat(heads, size)
+    words = hashes[np.repeat(low_word, size) + within]
+    turn = within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    # Where the unit stands in what it is compared with is part of the digest.
+    place = (first - low_word).astype(np.uint64)
     low, high = (
-        np.add.reduceat(mixed(words + turn, salt), heads) if len(heads) else np.empty(0, np.uint64)
+        mixed(np.add.reduceat(mixed(words + turn, salt), heads) + place, salt)
+        if len(heads)
+        else np.empty(0, np.uint64)
         for salt in (3, 5)
     )
     # Up to the next word of the line, or to the end of the last word.
@@ -92,23 +103,24 @@ def find_units(data: np.ndarray, bounds: np.ndarray, least_words: int) -> Units:
     return Units(text[first], starts[first], stop, low, high)
 
 
-def _joined(
-    ends: np.ndarray, line_ends: np.ndarray, least_words: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """First words of the units and the words after them, from the last word of each sentence."""
-    first: list[int] = []
-    after: list[int] = []
-    begin, of_line = 0, 0
-    for end, line_end in zip((ends + 1).tolist(), line_ends.tolist(), strict=True):
-        if end - begin >= least_words:
-            first.append(begin)
-            after.append(end)
-            begin, of_line = end, of_line + 1
-        if line_end:
-            if begin < end and of_line:
-                after[-1] = end
-            begin, of_line = end, 0
-    return np.array(first, np.int64), np.array(after, np.int64)
+def _contexts(
+    first: np.ndarray, after: np.ndarray, line_end: np.ndarray, params: UnitParams
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words that each clause is compared by, [low, high), and whether its line has enough.
+
+    Clauses are given by their first word and the word after them, and cover all words.
+    """
+    count = len(first)
+    last_of_line = np.flatnonzero(line_end)
+    line = np.searchsorted(last_of_line, np.arange(count))
+    last = last_of_line[line]
+    first_of_line = np.concatenate([[0], last_of_line[:-1] + 1])[line]
+    to = np.searchsorted(after, first + params.least_words)
+    forward = to <= last
+    back = np.searchsorted(first, after[last] - params.least_words, side="right") - 1
+    low = np.where(forward, first, first[np.maximum(back, first_of_line)])
+    high = np.where(forward, after[np.minimum(to, count - 1)], after[last])
+    return low, high, high - low >= min(params.least_line, params.least_words)
 
 
 _UNITS = "rank bigint, copy bigint, place int, low bigint, high bigint, later boolean"
@@ -123,7 +135,7 @@ def _units(rows: DataFrame, params: UnitParams) -> DataFrame:
             ranks, copies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for begin, end in blocks(bounds):
                 part = data[bounds[begin] : bounds[end]]
-                found = find_units(part, bounds[begin : end + 1] - bounds[begin], params.least_words)
+                found = find_units(part, bounds[begin : end + 1] - bounds[begin], params)
                 place = found.places()
                 rank, copy = ranks[found.text + begin], copies[found.text + begin]
                 order = np.lexsort((place, copy, rank, found.high, found.low))
@@ -162,12 +174,14 @@ def repeats(rows: DataFrame, workspace: Workspace, params: UnitParams) -> DataFr
     return repeated.groupBy("rank", "copy").agg(F.collect_set("place").alias("places"))
 
 
-def cut(text: bytes, places: list[int], least_words: int) -> tuple[str, list[dict[str, int]]]:
+def cut(
+    text: bytes, places: list[int], params: UnitParams
+) -> tuple[str, list[dict[str, int]]]:
     """The text without the units at the given places, and their spans, neighbours joined.
 
     A span that is all of a line takes the line end along.
     """
-    found = find_units(np.frombuffer(text, np.uint8), np.array([0, len(text)]), least_words)
+    found = find_units(np.frombuffer(text, np.uint8), np.array([0, len(text)]), params)
     spans: list[list[int]] = []
     for start, stop in zip(found.start[places].tolist(), found.stop[places].tolist(), strict=True):
         if spans and spans[-1][1] == start:
@@ -210,15 +224,13 @@ def deduplicated(
         "repeats",
     )
     joined = rows.join(found, ["rank", "copy"], "left")
-    least = params.least_words
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = batch.column(content).to_pylist(), []
             for i, places in enumerate(batch.column("places").to_pylist()):
                 spans: list[dict[str, int]] = []
                 if places and texts[i] is not None:
-                    texts[i], spans = cut(texts[i].encode(), sorted(places), least)
+                    texts[i], spans = cut(texts[i].encode(), sorted(places), params)
                 removed.append(spans)
             columns = {n: batch.column(n) for n in names}
             columns[content] = pa.array(texts, pa.string())
