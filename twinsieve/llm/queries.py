@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinsieve.llm import circulant, masked_lm, packing, pieces, rules, shards, topk, toxicity, units, urls
+from twinsieve.llm import (
+    circulant,
+    masked_lm,
+    packing,
+    pieces,
+    rules,
+    shards,
+    sql,
+    topk,
+    toxicity,
+    units,
+    urls,
+)
 from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
@@ -101,4 +113,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.statements()
