@@ -27,6 +27,10 @@ from twinsieve.sources.tables import read_table
 from twinsieve.sources.workspace import Workspace
 
 
+# Near-duplicates share at least this per cent of their five-word shingles.
+NEAR = circulant.NearParams(percent=80)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.keep_good(docs)
 
@@ -39,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark)
-    found = circulant.components(docs, workspace)
+    found = circulant.components(docs, workspace, params=NEAR)
     dropped = found.where("NOT kept").select(F.col("doc_id").alias("id"))
     return keep_one(docs, workspace.stage(dropped.distinct(), "dropped"), "doc_id")
 

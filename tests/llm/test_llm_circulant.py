@@ -20,7 +20,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def plain_components(rows):
+def plain_components(rows, percent=85):
     """{id: smallest id reachable}; rows are (id, text)."""
     parent = {i: i for i, _ in rows}
 
@@ -32,7 +32,7 @@ def plain_components(rows):
     sets = [(i, shingles(t)) for i, t in rows]
     for n, (i, a) in enumerate(sets):
         for j, b in sets[:n]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = sorted((find(i), find(j)))
                 parent[y] = x
     return {i: find(i) for i in parent}

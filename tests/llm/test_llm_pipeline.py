@@ -66,7 +66,7 @@ def test_stages(spark, folder, workspace):
     assert set(kept["quality_rules"]) == good
     ordinary = {i for i in good if "dreck" not in kept["start"][i]}
     assert set(kept["toxicity"]) == ordinary
-    groups = plain_components(sorted(kept["toxicity"].items()))
+    groups = plain_components(sorted(kept["toxicity"].items()), 80)
     assert set(kept["near_dedup"]) == {i for i, g in groups.items() if i == g}
     assert len(kept["near_dedup"]) < len(kept["toxicity"])
     cut = cut_units(sorted(kept["near_dedup"].items()))
