@@ -1 +1 @@
-"""Operators for preparing language-model training data. Nothing else in the package imports this."""
+"""Operators for preparing language-model training data. Nothing else here imports them."""

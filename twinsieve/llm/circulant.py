@@ -16,7 +16,8 @@ the smallest value in the shifted permutation over the moved shingles.
    enough coordinates is checked on full sets. So all pairs that share a bucket are linked or known
    not to be, and a large group costs its size, not its square, where it is one component.
 
-"Far fewer" is six standard deviations below what sets at the limit agree in.
+"Far fewer" is six standard deviations below what sets at the limit agree in. With 32 bands of five
+coordinates, sets of similarity 0.85 share no band in 1 of 10^8 cases, and those of 0.8 in 3 of 10^6.
 
 Defined results: null or empty texts, and texts of white space, have an empty set and are alone.
 Rows with the same id are one node. Rows without an id are linked with nothing and kept. Very long
@@ -121,7 +122,7 @@ def _sets_of(batch: pa.RecordBatch, params: NearParams) -> Iterator[np.ndarray]:
 
 
 def signed(df: DataFrame, key: str, text: str, params: NearParams) -> DataFrame:
-    """(id, n_shingles, digest, buckets, bytes) of each row; without words the last three are null."""
+    """(id, n_shingles, digest, buckets, bytes) of each row; the last three are null without words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

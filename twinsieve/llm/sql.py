@@ -9,11 +9,13 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 TOP_K = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding,
+           lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings WHERE len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT)
+           AS score
   FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
   WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
@@ -26,7 +28,8 @@ def quality_rules() -> str:
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
     return f"""
 WITH split AS (
-  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)),
                      lambda l: regexp_matches(l, '{_WORD}')) AS lines
   FROM documents),

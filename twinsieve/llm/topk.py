@@ -14,9 +14,10 @@ round and never stored.
 
 Vectors that are null or hold a null, NaN or infinite component take no part. Components become
 floor(scale * x) and are kept within 64 bits; sums are those of 64-bit integers. Vectors of
-different length are never compared. Rows that share the query's id are not its candidates; other repeated rows are candidates of their
-own. Of several query rows with one id, the smallest vector is asked for. A query with fewer than k
-candidates gets them all, one without any gets no row, and an empty table gives an empty result.
+different length are never compared. Rows that share the query's id are not its candidates; other
+repeated rows are candidates of their own. Of several query rows with one id, the smallest vector is
+asked for. A query with fewer than k candidates gets them all, one without any gets no row, and an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -75,8 +76,8 @@ def scaled(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     bad = F.exists(
         F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     )
-    rows = df.where(F.col(vector).isNotNull() & F.col(key).isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    rows = rows.select(F.col(key).cast("bigint"), F.col(vector).cast("array<double>"))
+    whole = F.col(vector).isNotNull() & F.col(key).isNotNull() & ~F.coalesce(bad, F.lit(True))
+    rows = df.where(whole).select(F.col(key).cast("bigint"), F.col(vector).cast("array<double>"))
     return rows.mapInArrow(scan, "id bigint, dim int, values binary")
 
 
