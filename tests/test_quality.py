@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
-from twinsieve.operators.assessment import assess
+from twinsieve.operators.assessment import Watched, assess
 from twinsieve.operators.audits import foreign_key_audit, primary_key_audit
 from twinsieve.operators.checks import (
     REPOSITORY_CHECK,
@@ -142,6 +142,20 @@ def test_an_assessment_is_profile_and_checks_from_one_pass(rows, workspace):
     assert staged == ["totals_x", "uniqueness_x_0", "uniqueness_x_1"]
 
 
+def test_totals_of_a_pass_that_runs_anyway(spark, rows, workspace):
+    """The same totals as from a pass of their own, for a table with fewer columns than are read."""
+    spec = ProfileSpec(("k", "s"), ("n",))
+    rules = [is_complete("s", 0.7), is_non_negative("n"), is_complete("absent")]
+    table = rows.drop("d")
+    watched = Watched(rows, spec, rules, table)
+    assert watched.frame.columns == rows.columns
+    watched.frame.write.format("noop").mode("overwrite").save()
+    own = assess(table, spec, rules, "t", workspace.stage, "own")
+    seen = assess(table, spec, rules, "t", workspace.stage, "seen", totals=watched.totals())
+    assert sorted(own.profile.collect()) == sorted(seen.profile.collect())
+    assert own.checks.collect() == seen.checks.collect()
+
+
 def test_all_rules_hold(rows):
     results = run_checks(rows, [is_complete("k"), is_unique("k", "s")], "t")
     assert {r.check_status for r in results.collect()} == {"Success"}

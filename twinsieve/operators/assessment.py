@@ -1,11 +1,11 @@
-"""Profile and checks of one table from one shared pass."""
+"""Profile and checks of one table from one shared pass, or from a pass that runs anyway."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from twinsieve.operators.checks import Constraint, applicable, check_rows, rule_aggregates
 from twinsieve.operators.profile import (
@@ -22,6 +22,40 @@ class Assessment:
     checks: DataFrame
 
 
+class Watched:
+    """Totals of a table, taken while ``frame`` is read by whatever reads it first.
+
+    A text column is then not read once more to count its values. ``frame`` has the rows of ``df``;
+    it should be read to the end, and by one action only. ``table`` is what the totals are for, if
+    that has fewer columns.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        spec: ProfileSpec,
+        rules: Sequence[Constraint],
+        table: DataFrame | None = None,
+    ):
+        table = df if table is None else table
+        columns = _totals(table, spec, applicable(table, rules))
+        self._seen = Observation()
+        self._schema = table.agg(*columns).schema
+        self._spark = df.sparkSession
+        self.frame = df.observe(self._seen, *columns)
+
+    def totals(self) -> DataFrame:
+        """One row; waits for the first action on ``frame``."""
+        values = self._seen.get
+        row = tuple(values[name] for name in self._schema.names)
+        return self._spark.createDataFrame([row], self._schema)
+
+
+def _totals(df: DataFrame, spec: ProfileSpec, rules: Sequence[Constraint]) -> list[Column]:
+    aggregates = profile_aggregates(df, spec)
+    return [a[3].alias(f"p{i}") for i, a in enumerate(aggregates)] + rule_aggregates(df, rules)
+
+
 def assess(
     df: DataFrame,
     spec: ProfileSpec,
@@ -30,17 +64,18 @@ def assess(
     stage: Callable[[DataFrame, str], DataFrame],
     name: str,
     level: str = "Error",
+    totals: DataFrame | None = None,
 ) -> Assessment:
     """What ``profile`` and ``run_checks`` give, but each column and each key is read once.
 
     The totals (one row) and the uniqueness of each key (one row) are staged, and both results
     are made from those rows. Completeness of a text column reads all of its text, so at scale
-    one pass instead of two matters.
+    one pass instead of two matters, and none at all if ``Watched`` has taken the ``totals``.
     """
     rules = applicable(df, rules)
     aggregates = profile_aggregates(df, spec)
-    columns = [a[3].alias(f"p{i}") for i, a in enumerate(aggregates)]
-    totals = stage(df.agg(*columns, *rule_aggregates(df, rules)), f"totals_{name}")
+    if totals is None:
+        totals = stage(df.agg(*_totals(df, spec, rules)), f"totals_{name}")
     known: dict[tuple[str, ...], DataFrame] = {}
 
     def uniqueness(key: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from twinsieve.functions.lsh import Banding, choose_banding
 from twinsieve.functions.minhash import SEED
-from twinsieve.operators.assessment import assess
+from twinsieve.operators.assessment import Watched, assess
 from twinsieve.operators.audits import require_key
 from twinsieve.operators.banding import bands, signatures, star_edges
 from twinsieve.operators.checks import REPOSITORY_CHECK, REPOSITORY_RULES, Constraint
@@ -163,18 +163,27 @@ def run_job(
     if generated:
         key = _ROW_ID
         df = attach_row_id(df, workspace, key)
-    found = find_duplicates(df, key, text, workspace, params, proven_unique=generated)
-    report = _Reports(workspace, reports or workspace.path("reports"))
+    else:
+        require_key(df, [key])
     source = df.select(*columns)
-    before = assess(source, profile_spec, rules, check, workspace.stage, "before")
+    # The signatures read the whole table anyway, unless a named run has them already.
+    watched = Watched(df, profile_spec, rules, source) if workspace.run is None else None
+    searched = watched.frame if watched else df
+    found = find_duplicates(searched, key, text, workspace, params, proven_unique=True)
+    report = _Reports(workspace, reports or workspace.path("reports"))
+    totals = watched.totals() if watched else None
+    before = assess(source, profile_spec, rules, check, workspace.stage, "before", totals=totals)
     profile_before = report.write(before.profile, "profile_before")
     checks_before = report.write(before.checks, "checks_before")
     components = report.write(found.components, "components")
 
-    write_table(keep_one(df, components, key).select(*columns), output)
+    written = Watched(keep_one(df, components, key).select(*columns), profile_spec, rules)
+    write_table(written.frame, output)
     kept = workspace.spark.read.parquet(output)
 
-    after = assess(kept, profile_spec, rules, check, workspace.stage, "after")
+    # A table with other columns than were meant to be written is read for its own totals.
+    totals = written.totals() if kept.columns == columns else None
+    after = assess(kept, profile_spec, rules, check, workspace.stage, "after", totals=totals)
     profile_after = report.write(after.profile, "profile_after")
     checks_after = report.write(after.checks, "checks_after")
     row_count = report.write(row_count_gate(profile_before, profile_after), "row_count_gate")
