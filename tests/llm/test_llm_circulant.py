@@ -91,8 +91,8 @@ def test_rows_with_one_id_and_two_texts(spark, workspace):
 
 def test_signature_follows_its_definition():
     params = circulant.NearParams(bands=4, rows=2)
-    first, second = circulant._permutations(params.seed, params.coordinates)
-    second = second[params.coordinates :]
+    first, second = circulant._permutations(params.seed)
+    second = second[circulant.MOST_COORDINATES :]
     found = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)
     places = first[(found % np.uint64(circulant.PLACES)).astype(np.int64)]
     for k, value in enumerate(circulant.signature(found, params.coordinates, params.seed)):

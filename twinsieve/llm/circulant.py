@@ -40,6 +40,7 @@ from twinsieve.operators.key_filter import with_maybe
 from twinsieve.sources.workspace import Workspace
 
 PLACES = 1 << 22
+MOST_COORDINATES = 1 << 12
 # Rows of one block when the members of a bucket are compared with each other.
 BLOCK = 2048
 
@@ -82,19 +83,19 @@ def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
-@lru_cache(maxsize=2)
-def _permutations(seed: int, coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=1)
+def _permutations(seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The first permutation, and the second one with its end repeated before its start."""
     random = np.random.default_rng(seed)
     first = random.permutation(PLACES).astype(np.int32)
     second = random.permutation(PLACES).astype(np.int32)
-    return first, np.concatenate([second[-coordinates:], second])
+    return first, np.concatenate([second[-MOST_COORDINATES:], second])
 
 
 def signature(found: np.ndarray, k: int, seed: int) -> np.ndarray:
     """Coordinate i < k: the smallest second[(first[x] - i) mod places] over the shingles x."""
-    first, second = _permutations(seed, k)
-    shifted = np.lib.stride_tricks.sliding_window_view(second, k)
+    first, second = _permutations(seed)
+    shifted = np.lib.stride_tricks.sliding_window_view(second[MOST_COORDINATES - k :], k)
     starts = first[(found & np.uint64(PLACES - 1)).astype(np.int64)] + 1
     least = np.full(k, PLACES, np.int32)
     step = max(1, (1 << 18) // k)

@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 STRETCH = 1 << 20
-# Remembered encodings of a Python worker; the memory is emptied when full.
-REMEMBERED = 1 << 20
+# Runs, and parts of them, whose ids a Python worker remembers; a memory is emptied when full.
+REMEMBERED = 1 << 19
 # White space to Python, but not to the tokenizer.
 _NOT_SPACE_TO_ALL = "\x1c\x1d\x1e\x1f"
 _LATIN = "\u024f"
@@ -66,6 +66,8 @@ class _PartIds(dict):
         self.byte_chars = _byte_chars()
 
     def __missing__(self, part: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
         data = part.encode().decode("latin-1").translate(self.byte_chars)
         found = self[part] = array("I", [t.id for t in self.encode(data)]).tobytes()
         return found
@@ -90,7 +92,6 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-            self.parts.clear()
         if "<|" in word:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             found = array("I", ids).tobytes()
