@@ -90,6 +90,9 @@ def test_edge_rows(spark):
     frame = edge.clashing(spark, "ids", "id")
     encoded = pieces.encoded(frame, PATH)
     back = pieces.decoded(encoded, PATH)
+    both = pieces.round_trip(frame, PATH)
+    assert edge.rows_of(both, "doc_id", "text") == edge.rows_of(back, "doc_id", "text")
+    assert edge.rows_of(both, "doc_id", "ids") == edge.rows_of(encoded, "doc_id", "ids")
     assert edge.rows_of(back, "doc_id", "text") == sorted(((r[0], r[1]) for r in edge.ROWS), key=repr)
     ids = {(r["doc_id"], tuple(r["ids"] or ())) for r in encoded.collect()}
     assert ids == {(r[0], tuple(LIBRARY.encode(r[1] or ""))) for r in edge.ROWS}

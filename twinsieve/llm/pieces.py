@@ -12,8 +12,9 @@ may stand next to each other only if merging their joined characters gives these
 merging a text gives just the one segmentation whose neighbours all may. The acceptor's arcs are
 made when a pair is first met, and kept.
 
-No piece holds a space mark after another character, nor a character that stands in pieces of its
-own only, so a text falls into runs that are encoded by themselves; a worker remembers runs.
+Between two characters that no piece holds next to each other, a text falls into runs and parts of
+runs that are encoded by themselves. Such places are before a space mark, around a line end, and
+mostly between letters and punctuation. A worker remembers the ids of a bounded number of them.
 
 Defined results: null gives null. An empty text has no ids, and no ids give an empty text. Decoding
 takes bytes that are no UTF-8 as U+FFFD. A text that holds U+2581 itself comes back with a
@@ -26,7 +27,7 @@ from __future__ import annotations
 import re
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -35,7 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
-REMEMBERED = 1 << 20
+# Runs that a worker remembers, and rows that it encodes at a time.
+REMEMBERED = 1 << 19
+ROWS = 512
 # Kinds of piece in a model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _MERGES = 2
@@ -129,6 +132,7 @@ class Transducer:
         self.ranks = {t: ranks[self.lexicon[t]] for t in self.ids}
         self.allowed: dict[str, dict[str, bool]] = {}
         joined = [t for t in self.ids if len(t) > 1]
+        self.inside = {t[i : i + 2] for t in joined for i in range(len(t) - 1)}
         self.spaces_lead = not any(SPACE in t.lstrip(SPACE) for t in joined)
         self.line_ends_apart = not any("\n" in t for t in joined)
         self.outputs = [self._output(p) for p in model.pieces]
@@ -246,6 +250,16 @@ class Transducer:
             at -= len(piece)
         return path[::-1]
 
+    def apart(self, run: str) -> list[str]:
+        """A run cut wherever no piece holds the two characters next to each other."""
+        inside, parts, start = self.inside, [], 0
+        for i in range(1, len(run)):
+            if run[i - 1 : i + 1] not in inside:
+                parts.append(run[start:i])
+                start = i
+        parts.append(run[start:])
+        return parts
+
     def run_ids(self, run: str) -> list[int]:
         ids: list[int] = []
         for piece in self.shortest(run):
@@ -265,25 +279,38 @@ class Transducer:
             return ""
         return (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
 
-    def decoded(self, ids: list[int]) -> str:
+    def decoded(self, ids: Sequence[int]) -> str:
         text = b"".join(map(self.outputs.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
-class RunIds(dict):
-    """Ids of runs met before, as bytes of little-endian 32-bit numbers.
+class _PartIds(dict):
+    """Ids of parts of runs met before, as bytes of little-endian 32-bit numbers."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.transducer = transducer
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[part] = array("I", self.transducer.run_ids(part)).tobytes()
+        return found
+
 
-    The key is what follows a space mark, or for ``mark=""`` the run itself.
-    """
+class RunIds(dict):
+    """Ids of runs met before. The key is what follows a space mark, or with an empty ``mark`` the
+    run itself."""
 
-    def __init__(self, transducer: Transducer, mark: str):
+    def __init__(self, parts: _PartIds, mark: str):
         super().__init__()
-        self.transducer, self.mark = transducer, mark
+        self.parts, self.mark = parts, mark
 
     def __missing__(self, run: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[run] = array("I", self.transducer.run_ids(self.mark + run)).tobytes()
+        parts = self.parts.transducer.apart(self.mark + run)
+        found = self[run] = b"".join(map(self.parts.__getitem__, parts))
         return found
 
 
@@ -293,8 +320,8 @@ _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 class Encoder:
     def __init__(self, path: str):
         self.transducer = Transducer(read_model(path))
-        self.marked = RunIds(self.transducer, SPACE)
-        self.bare = RunIds(self.transducer, "")
+        parts = _PartIds(self.transducer)
+        self.marked, self.bare = RunIds(parts, SPACE), RunIds(parts, "")
 
     def ids(self, text: str) -> bytes:
         """Ids of a text, as bytes of little-endian 32-bit numbers."""
@@ -320,18 +347,29 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _ids_column(machine: Encoder, column: pa.Array) -> tuple[pa.Array, list[bytes | None]]:
+    found = [None if t is None else machine.ids(t) for t in column.to_pylist()]
+    sizes = [0 if f is None else len(f) // 4 for f in found]
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    data = np.frombuffer(b"".join(f or b"" for f in found), np.int32)
+    empty = pa.array([f is None for f in found])
+    return pa.ListArray.from_arrays(offsets, pa.array(data), mask=empty), found
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, which bounds what a worker holds besides its memory of runs."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def encoded(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids) of each row, ids as an array of INT."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = encoder(model_path)
-        for batch in batches:
-            found = [None if t is None else machine.ids(t) for t in batch.column(1).to_pylist()]
-            sizes = [0 if f is None else len(f) // 4 for f in found]
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            data = np.frombuffer(b"".join(f or b"" for f in found), np.int32)
-            empty = pa.array([f is None for f in found])
-            ids = pa.ListArray.from_arrays(offsets, pa.array(data), mask=empty)
+        for batch in _parts(batches):
+            ids, _ = _ids_column(machine, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
 
     rows = df.select(F.col(key).alias("id"), F.col(text).cast("string"))
@@ -340,25 +378,37 @@ def encoded(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "te
 
 
 def decoded(df: DataFrame, model_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """(key, ids, text) of each row."""
+    """(key, text) of each row."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = encoder(model_path).transducer
-        for batch in batches:
-            column = batch.column(1)
-            flat, bounds = column.flatten().to_numpy(), column.offsets.to_numpy()
-            bounds = bounds - bounds[0]
-            texts = [
-                machine.decoded(flat[bounds[i] : bounds[i + 1]].tolist())
-                if column[i].is_valid
-                else None
-                for i in range(batch.num_rows)
-            ]
+        for batch in _parts(batches):
+            found = batch.column(1).to_pylist()
+            texts = [None if f is None else machine.decoded(f) for f in found]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"]
+                [batch.column(0), pa.array(texts, pa.string())], names=["id", "text"]
             )
 
     rows = df.select(F.col(key).alias("id"), F.col(ids).cast("array<int>").alias("ids"))
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(scan, f"id {kind}, ids array<int>, text string")
-    return found.toDF(key, ids, "text")
+    return rows.mapInArrow(scan, f"id {kind}, text string").toDF(key, "text")
+
+
+def round_trip(
+    df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(key, ids, text): the ids of each row, and the text that they give again, in one pass."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = encoder(model_path)
+        decode = machine.transducer.decoded
+        for batch in _parts(batches):
+            ids, found = _ids_column(machine, batch.column(1))
+            texts = [None if f is None else decode(memoryview(f).cast("I")) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), ids, pa.array(texts, pa.string())], names=["id", "ids", "text"]
+            )
+
+    rows = df.select(F.col(key).alias("id"), F.col(text).cast("string"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(scan, f"id {kind}, ids array<int>, text string").toDF(key, "ids", text)

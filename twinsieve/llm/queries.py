@@ -76,8 +76,7 @@ def op6_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.decoded(pieces.encoded(_texts(spark, sf), model), model)
-    return found.select(
+    return pieces.round_trip(_texts(spark, sf), model).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
         "ids",
