@@ -49,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = units.deduplicated(docs, Workspace(spark))
+    found = units.deduplicated(docs, Workspace(spark), params=units.WINDOWS)
     emptied = (F.size("removed") > 0) & (F.trim("text") == "")
     changed = found.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:

@@ -133,3 +133,41 @@ def test_long_text_is_found_whole():
     found = units.find_units(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), units.UnitParams())
     assert len(found.text) == 40_000
     assert found.stop[-1] == len(text)
+
+
+def own(row, n):
+    return "\n".join(" ".join(f"own{row}x{n}x{i}x{j}" for j in range(7)) for i in range(3))
+
+
+def test_a_passage_of_short_lines_is_found(spark, workspace):
+    passage = "\n".join(" ".join(f"verse{i}x{j}" for j in range(7)) for i in range(10))
+    rows = [(i, f"{own(i, 0)}\n{passage}\n{own(i, 1)}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = result(units.deduplicated(frame, workspace, params=units.WINDOWS))
+    assert got[0] == (rows[0][1], [])
+    for i in range(1, 40):
+        start = len(own(i, 0)) + 1
+        assert got[i] == (f"{own(i, 0)}\n{own(i, 1)}", [[start, start + len(passage) + 1]])
+
+
+def test_windows_find_all_that_clauses_find():
+    texts = [f"{sentence(i)} {sentence(i + 1)}\n{sentence(2)}\nfew words." for i in range(4)]
+    data = "".join(texts).encode()
+    bounds = np.cumsum([0, *[len(t) for t in texts]])
+    for params in (units.UnitParams(), units.WINDOWS):
+        found = units.find_units(np.frombuffer(data, np.uint8), bounds, params)
+        covered = np.zeros(len(data), bool)
+        seen = set()
+        for start, stop, *digest in zip(found.start, found.stop, found.low, found.high):
+            covered[start:stop] |= tuple(digest) in seen
+            seen.add(tuple(digest))
+        if params == units.UnitParams():
+            least = covered
+    assert covered[least].all() and least.any()
+
+
+def test_the_earliest_of_overlapping_windows_stays(spark, workspace):
+    rows = [(1, "one, two, " * 50)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = result(units.deduplicated(frame, workspace, params=units.WINDOWS))[1][0]
+    assert kept.split() == rows[0][1].split()[:16]

@@ -85,7 +85,7 @@ def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return units.deduplicated(_texts(spark, sf), Workspace(spark))
+    return units.deduplicated(_texts(spark, sf), Workspace(spark), params=units.WINDOWS)
 
 
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:

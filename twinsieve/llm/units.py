@@ -8,6 +8,12 @@ is compared by thus depends on its neighbours alone, and a passage in the middle
 found wherever it stands, but for some words at its ends. A line of fewer words is compared as a
 whole, or left alone if it has fewer than ``least_line``.
 
+With ``across_lines`` units are windows of ``least_words`` words that may run over line ends up to the
+text's end, so a passage of short lines is found too. A window starts at each line and clause, and one
+ends at each line end and at the end of each longer clause. Lines of fewer words, and texts of fewer
+in all, are compared as a whole from ``least_line`` words on. Every word of a repeated window is
+removed; a window that overlaps the earliest occurrence of itself loses only the words after that.
+
 Digests are grouped over the whole table. The earliest occurrence by (rank, place in the text) stays;
 every other one is removed, also in the same text. A removed unit takes the white space after it
 along; what is left keeps its bytes. Each removed span is reported in characters of the original.
@@ -47,6 +53,10 @@ _CLOSERS[list(b"\"')]")] = True
 class UnitParams:
     least_words: int = 16
     least_line: int = 8
+    across_lines: bool = False
+
+
+WINDOWS = UnitParams(across_lines=True)
 
 
 @dataclass(frozen=True)
@@ -80,6 +90,10 @@ def find_units(data: np.ndarray, bounds: np.ndarray, params: UnitParams) -> Unit
     ends = np.flatnonzero(line_ends | _ENDS[last] | (_CLOSERS[last] & _ENDS[before]))
     after = ends + 1
     first = np.concatenate([[0], after[:-1]])
+    if params.across_lines:
+        first, after = _windows(text, line_ends, first, after, params)
+        low, high = _window_digests(hashes, first, after, params)
+        return Units(text[first], starts[first], _stops(starts, stops, line_ends, after), low, high)
     low_word, high_word, kept = _contexts(first, after, line_ends[ends], params)
     first, after = first[kept], after[kept]
     low_word, high_word = low_word[kept], high_word[kept]
@@ -96,11 +110,60 @@ def find_units(data: np.ndarray, bounds: np.ndarray, params: UnitParams) -> Unit
         else np.empty(0, np.uint64)
         for salt in (3, 5)
     )
-    # Up to the next word of the line, or to the end of the last word.
-    stop = np.where(
+    return Units(text[first], starts[first], _stops(starts, stops, line_ends, after), low, high)
+
+
+def _stops(
+    starts: np.ndarray, stops: np.ndarray, line_ends: np.ndarray, after: np.ndarray
+) -> np.ndarray:
+    """Up to the next word of the line, or to the end of the last word."""
+    return np.where(
         line_ends[after - 1], stops[after - 1], starts[np.minimum(after, len(starts) - 1)]
     )
-    return Units(text[first], starts[first], stop, low, high)
+
+
+def _windows(
+    text: np.ndarray,
+    line_ends: np.ndarray,
+    first: np.ndarray,
+    after: np.ndarray,
+    params: UnitParams,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The different windows [low, high) of words, in order; clauses are [first, after)."""
+    size = params.least_words
+    least = min(params.least_line, size)
+    text_first = np.flatnonzero(np.diff(text, prepend=-1))
+    text_after = np.append(text_first[1:], len(text))
+    of = np.searchsorted(text_first, np.arange(len(text)), side="right") - 1
+    begin = first[first + size <= text_after[of[first]]]
+    line_after = np.flatnonzero(line_ends) + 1
+    line_first = np.append(0, line_after[:-1])
+    end = np.append(
+        line_after[line_after - size >= text_first[of[line_after - 1]]],
+        after[after - first > size],
+    )
+    low, count = [begin, end - size], [np.full(len(begin) + len(end), size)]
+    for whole, stop in ((line_first, line_after), (text_first, text_after)):
+        words = stop - whole
+        kept = (words >= least) & (words < size)
+        low.append(whole[kept])
+        count.append(words[kept])
+    keys = np.unique(np.concatenate(low) * (size + 1) + np.concatenate(count))
+    low, count = np.divmod(keys, size + 1)
+    return low, low + count
+
+
+def _window_digests(
+    hashes: np.ndarray, low: np.ndarray, high: np.ndarray, params: UnitParams
+) -> list[np.ndarray]:
+    sums = [np.zeros(len(low), np.uint64) for _ in range(2)]
+    for turn in range(params.least_words):
+        words = hashes[np.minimum(low + turn, len(hashes) - 1)]
+        words = words + np.uint64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        for total, salt in zip(sums, (3, 5), strict=True):
+            total += np.where(low + turn < high, mixed(words, salt), np.uint64(0))
+    size = (high - low).astype(np.uint64)
+    return [mixed(total + size, salt) for total, salt in zip(sums, (3, 5), strict=True)]
 
 
 def _contexts(
@@ -183,7 +246,8 @@ def cut(
     """
     found = find_units(np.frombuffer(text, np.uint8), np.array([0, len(text)]), params)
     spans: list[list[int]] = []
-    for start, stop in zip(found.start[places].tolist(), found.stop[places].tolist(), strict=True):
+    bounds = zip(found.start[places].tolist(), found.stop[places].tolist(), strict=True)
+    for start, stop in _window_bounds(text, found, places) if params.across_lines else bounds:
         if spans and spans[-1][1] == start:
             spans[-1][1] = stop
         else:
@@ -203,6 +267,29 @@ def cut(
     return "".join(kept), removed
 
 
+def _window_bounds(text: bytes, found: Units, places: list[int]) -> list[tuple[int, int]]:
+    """The bytes to cut for windows at the given places, apart from each other, in order."""
+    gone = np.zeros(len(found.text), bool)
+    gone[places] = True
+    # A text that holds the earliest occurrence keeps all of it.
+    digests = list(zip(found.low.tolist(), found.high.tolist(), strict=True))
+    upto = {digests[i]: int(found.stop[i]) for i in np.flatnonzero(~gone)}
+    cuts = [
+        (max(int(found.start[i]), upto.get(digests[i], 0)), int(found.stop[i])) for i in places
+    ]
+    spans: list[tuple[int, int]] = []
+    for start, stop in sorted(cuts):
+        while start < stop and text[start : start + 1].isspace():
+            start += 1
+        if start >= stop:
+            continue
+        if spans and (start <= spans[-1][1] or text[spans[-1][1] : start].isspace()):
+            start, last = spans.pop()
+            stop = max(stop, last)
+        spans.append((start, stop))
+    return spans
+
+
 def deduplicated(
     df: DataFrame,
     workspace: Workspace,
