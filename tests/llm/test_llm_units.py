@@ -171,3 +171,49 @@ def test_the_earliest_of_overlapping_windows_stays(spark, workspace):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = result(units.deduplicated(frame, workspace, params=units.WINDOWS))[1][0]
     assert kept.split() == rows[0][1].split()[:16]
+
+
+def shared_by(spark, workspace, passage, joint, row_words):
+    """What rows keep of a passage between words of their own."""
+    rows = [(i, joint.join([row_words(i), passage, row_words(i + 500)])) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = result(units.deduplicated(frame, workspace, params=units.WINDOWS))
+    assert got[0] == (rows[0][1], [])
+    for i in range(1, 30):
+        assert got[i][0].startswith(row_words(i)) and got[i][0].endswith(row_words(i + 500))
+    return [len(rows[i][1]) - len(got[i][0]) for i in range(1, 30)]
+
+
+def test_a_passage_in_an_unpunctuated_line_is_found(spark, workspace):
+    passage = [f"log{i}" for i in range(60)]
+
+    def words(i):
+        return " ".join(f"own{i}x{j}" for j in range(40))
+
+    cut = shared_by(spark, workspace, " ".join(passage), " ", words)
+    assert min(cut) >= len(" ".join(passage[15:-15]))
+
+
+def test_a_passage_among_long_clauses_is_found(spark, workspace):
+    passage = [f"w{i}{',' if i % 25 == 24 else ''}" for i in range(51)]
+
+    def words(i):
+        return " ".join(f"own{i}x{j}" for j in range(20))
+
+    cut = shared_by(spark, workspace, " ".join(passage), " ", words)
+    assert min(cut) >= len(" ".join(passage[15:-15]))
+
+
+def test_a_passage_without_spaces_is_found(spark, workspace):
+    passage = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(80))
+
+    def words(i):
+        return "".join(chr(0x6500 + (i * 41 + j * j) % 6000) for j in range(30)) + "\u3002"
+
+    cut = shared_by(spark, workspace, passage, "", words)
+    assert min(cut) >= 80 - 30
+    data = "a\u3002\u65e5\U00020000b \U0001f600x".encode()
+    parts = units.word_spans(np.frombuffer(data, np.uint8), units._unspaced(np.frombuffer(data, np.uint8)))
+    assert [data[a:b].decode() for a, b in zip(parts[1], parts[2])] == [
+        "a", "\u3002", "\u65e5", "\U00020000", "b", "\U0001f600x"
+    ]

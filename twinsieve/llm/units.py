@@ -11,8 +11,13 @@ whole, or left alone if it has fewer than ``least_line``.
 With ``across_lines`` units are windows of ``least_words`` words that may run over line ends up to the
 text's end, so a passage of short lines is found too. A window starts at each line and clause, and one
 ends at each line end and at the end of each longer clause. Lines of fewer words, and texts of fewer
-in all, are compared as a whole from ``least_line`` words on. Every word of a repeated window is
-removed; a window that overlaps the earliest occurrence of itself loses only the words after that.
+in all, are compared as a whole from ``least_line`` words on. Where sixteen words have no such border,
+one is chosen by content: before the three words with the smallest hash. Each character of scripts
+without spaces counts as a word, and full stops of other scripts end clauses too. A repeated passage
+of at least 32 words with the same line ends thus holds a window, and at most sixteen words at either
+end stay. Every word of
+a repeated window is removed; a window that overlaps the earliest occurrence of itself loses only the
+words after that.
 
 Digests are grouped over the whole table. The earliest occurrence by (rank, place in the text) stays;
 every other one is removed, also in the same text. A removed unit takes the white space after it
@@ -45,6 +50,26 @@ from twinsieve.sources.workspace import Workspace
 _NEWLINE = 10
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".,;:!?")] = True
+# The last bytes of a word that ends in a full stop or comma of another script.
+_OTHER_ENDS = np.array(
+    [
+        int.from_bytes(c.encode()[-3:], "big")
+        for c in "\u0589\u060c\u061b\u061f\u06d4\u0964\u0965\u104a\u104b\u1362\u17d4\u2026"
+        "\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\uff61"
+    ]
+)
+# Scripts written without spaces, as ranges of code points [low, high).
+_UNSPACED = [
+    (0x0E00, 0x1000),
+    (0x1000, 0x10A0),
+    (0x1780, 0x1800),
+    (0x2E80, 0xA4D0),
+    (0xF900, 0xFB00),
+    (0xFE30, 0xFE50),
+    (0xFF00, 0xFFF0),
+    (0x20000, 0x40000),
+]
+_GRAM, _REACH = 3, 16  # words that a border is chosen by, and words that hold a border
 _CLOSERS = np.zeros(256, bool)
 _CLOSERS[list(b"\"')]")] = True
 
@@ -77,7 +102,8 @@ class Units:
 
 def find_units(data: np.ndarray, bounds: np.ndarray, params: UnitParams) -> Units:
     """The units of the texts in a buffer."""
-    hashes, starts, stops = word_spans(data, bounds)
+    borders = np.union1d(bounds, _unspaced(data)) if params.across_lines else bounds
+    hashes, starts, stops = word_spans(data, borders)
     if not len(hashes):
         none = np.empty(0, np.int64)
         return Units(none, none, none, none.view(np.uint64), none.view(np.uint64))
@@ -87,11 +113,14 @@ def find_units(data: np.ndarray, bounds: np.ndarray, params: UnitParams) -> Unit
     line_ends[:-1] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
     last = data[stops - 1]
     before = data[np.maximum(stops - 2, starts)]
-    ends = np.flatnonzero(line_ends | _ENDS[last] | (_CLOSERS[last] & _ENDS[before]))
+    is_end = line_ends | _ENDS[last] | (_CLOSERS[last] & _ENDS[before])
+    if params.across_lines:
+        is_end |= _other_ends(data, starts, stops)
+    ends = np.flatnonzero(is_end)
     after = ends + 1
     first = np.concatenate([[0], after[:-1]])
     if params.across_lines:
-        first, after = _windows(text, line_ends, first, after, params)
+        first, after = _windows(hashes, text, line_ends, first, after, params)
         low, high = _window_digests(hashes, first, after, params)
         return Units(text[first], starts[first], _stops(starts, stops, line_ends, after), low, high)
     low_word, high_word, kept = _contexts(first, after, line_ends[ends], params)
@@ -122,7 +151,60 @@ def _stops(
     )
 
 
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """Where characters of scripts without spaces start and stop."""
+    at = np.flatnonzero(data >= 0xE0)
+    if not len(at):
+        return at
+    four = data[at] >= 0xF0
+    tail = [data[np.minimum(at + i, len(data) - 1)].astype(np.int64) & 63 for i in (1, 2, 3)]
+    head = data[at].astype(np.int64)
+    three_bytes = (head & 15) << 12 | tail[0] << 6 | tail[1]
+    point = np.where(four, (head & 7) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2], three_bytes)
+    inside = np.zeros(len(at), bool)
+    for low, high in _UNSPACED:
+        inside |= (point >= low) & (point < high)
+    return np.unique(np.concatenate([at[inside], (at + 3 + four)[inside]]))
+
+
+def _other_ends(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Whether the last character of each word is a full stop or comma of another script."""
+    found = np.zeros(len(stops), bool)
+    high = np.flatnonzero(data[stops - 1] >= 0x80)
+    stop = stops[high]
+    code = np.zeros(len(high), np.int64)
+    for back in (3, 2, 1):
+        code = code << 8 | data[np.maximum(stop - back, 0)]
+    ends = np.isin(code, _OTHER_ENDS) | np.isin(code & 0xFFFF, _OTHER_ENDS)
+    found[high[ends]] = True
+    return found
+
+
+def _chosen(hashes: np.ndarray, text: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """In each run of words of a text without a clause's first word, the start of the least gram."""
+    span = _GRAM + _REACH - 1
+    if len(hashes) < span:
+        return np.empty(0, np.int64)
+    count = len(hashes) - span + 1
+    begun = np.zeros(len(hashes) + 1, np.int64)
+    begun[first + 1] = 1
+    begun = np.cumsum(begun)
+    runs = np.flatnonzero(
+        (begun[_REACH : _REACH + count] == begun[:count]) & (text[span - 1 :] == text[:count])
+    )
+    gram = hashes[: len(hashes) - _GRAM + 1].copy()
+    for i in range(1, _GRAM):
+        gram = mixed(gram, 7) + hashes[i : len(hashes) - _GRAM + 1 + i]
+    gram = mixed(gram, 7)
+    at, least = runs, gram[runs]
+    for i in range(1, _REACH):
+        less = gram[runs + i] < least
+        at, least = np.where(less, runs + i, at), np.where(less, gram[runs + i], least)
+    return np.unique(at)
+
+
 def _windows(
+    hashes: np.ndarray,
     text: np.ndarray,
     line_ends: np.ndarray,
     first: np.ndarray,
@@ -135,7 +217,8 @@ def _windows(
     text_first = np.flatnonzero(np.diff(text, prepend=-1))
     text_after = np.append(text_first[1:], len(text))
     of = np.searchsorted(text_first, np.arange(len(text)), side="right") - 1
-    begin = first[first + size <= text_after[of[first]]]
+    begin = np.append(first, _chosen(hashes, text, first))
+    begin = begin[begin + size <= text_after[of[begin]]]
     line_after = np.flatnonzero(line_ends) + 1
     line_first = np.append(0, line_after[:-1])
     end = np.append(
