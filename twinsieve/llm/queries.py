@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from twinsieve.llm import (
+    alignment,
     circulant,
     masked_lm,
     packing,
@@ -96,6 +97,13 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shards.sharded(_texts(spark, sf), Workspace(spark))
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    params = alignment.AlignParams(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return alignment.aligned(_texts(spark, sf), params, Workspace(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_top_k": op1_top_k,
@@ -108,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_sharding": op10_sharding,
+        "op11_token_alignment": op11_token_alignment,
     }
 
 
