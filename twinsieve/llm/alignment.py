@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from twinsieve.llm.text import blocks, column_bytes
+from twinsieve.sources.tables import fill_cluster
 from twinsieve.sources.workspace import Workspace
 
 # Bytes of text that are aligned together, and characters that are encoded together.
@@ -44,6 +45,8 @@ BLOCK = 1 << 20
 SEGMENT = 1 << 17
 # Id pairs that a task counts before it passes them on.
 COUNTED = 1 << 21
+# A table too small to give each core a split of this size is spread over the cores first.
+SPLIT_BYTES = 16 << 20
 # Last byte that may lead a character below U+0240. Classes of those are the same to all libraries.
 _LATIN_LEAD = 0xC8
 _SPACE = "▁"
@@ -530,9 +533,8 @@ def pair_counts(staged: DataFrame, width: int) -> DataFrame:
             codes = np.concatenate([known, *waiting])
             weights = np.concatenate([counts, np.ones(len(codes) - len(known), np.int64)])
             different, place = np.unique(codes, return_inverse=True)
-            sums = np.zeros(len(different), np.int64)
-            np.add.at(sums, place, weights)
-            return different, sums
+            sums = np.bincount(place, weights, minlength=len(different))
+            return different, sums.astype(np.int64)
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -583,7 +585,8 @@ def aligned(
 ) -> DataFrame:
     """(key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, n_group_links)."""
     row = F.monotonically_increasing_id().alias("__row")
-    staged = workspace.stage(summaries(df, params, key, text).select("*", row), "aligned")
+    rows = fill_cluster(df.select(key, text), key, split_bytes=SPLIT_BYTES)
+    staged = workspace.stage(summaries(rows, params, key, text).select("*", row), "aligned")
     width = sentencepiece.SentencePieceProcessor(model_file=params.second).get_piece_size()
     counted = workspace.stage(pair_counts(staged, width), "pair-counts")
     least = frequent_from(counted, params.most)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from twinsieve.llm import (
     alignment,
     circulant,
+    licenses,
     masked_lm,
     packing,
     pieces,
@@ -104,6 +105,10 @@ def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.aligned(_texts(spark, sf), params, Workspace(spark))
 
 
+def op12_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.labelled(_texts(spark, sf), Workspace(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_top_k": op1_top_k,
@@ -117,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_near_duplicates": op9_near_duplicates,
         "op10_sharding": op10_sharding,
         "op11_token_alignment": op11_token_alignment,
+        "op12_license_scan": op12_license_scan,
     }
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from twinsieve.llm.licenses import PHRASES, TEMPLATES, LicenseParams
 from twinsieve.llm.rules import STOP_WORDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 TOP_K = """
@@ -94,10 +96,92 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id,
        d.doc_id = l.component_id AS kept
 FROM documents d JOIN lowest l ON l.id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
 
+def _run_at(words: list[str]) -> str:
+    """The condition that a run of words starts here."""
+    parts = [f"lead(w, {i}) OVER p = '{word}'" for i, word in enumerate(words)]
+    return f"({' AND '.join(parts)})"
+
+
+def license_scan() -> str:
+    params = LicenseParams()
+    texts = ", ".join(
+        "('{}', '{}', '{}')".format(name, label, text.replace("'", "''"))
+        for name, (label, text) in TEMPLATES.items()
+    )
+    k = params.gram
+    gram = " || ' ' || ".join(f"lead(w, {i}) OVER p" for i in range(k))
+    phrase = " OR ".join(_run_at(text.split()) for text, _ in PHRASES)
+    label = " ".join(f"WHEN w = '{text.split()[0]}' THEN '{name}'" for text, name in PHRASES)
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), "
+        f"'{_UPPER}', '{_LOWER}'), '{_LETTERS}')"
+    )
+    tokens = "unnest(words) AS w, generate_subscripts(words, 1) - 1 AS pos"
+    return f"""
+WITH templates AS (
+  SELECT template, label, {words} AS words FROM (VALUES {texts}) AS v(template, label, text)),
+windows AS (
+  SELECT template, label, n, pos AS place, {gram} AS gram
+  FROM (SELECT template, label, len(words) AS n, {tokens} FROM templates)
+  WINDOW p AS (PARTITION BY template ORDER BY pos)),
+texts AS (SELECT doc_id, {words} AS words FROM documents),
+tokens AS (
+  SELECT doc_id, w, pos, {gram} AS gram, coalesce({phrase}, false) AS is_phrase
+  FROM (SELECT doc_id, {tokens} FROM texts) WINDOW p AS (PARTITION BY doc_id ORDER BY pos)),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+         list_sort(list(DISTINCT CASE {label} END)) AS names
+  FROM tokens WHERE is_phrase GROUP BY doc_id),
+hits AS (
+  SELECT doc_id, template, label, n, place, pos, pos - place AS diagonal
+  FROM tokens JOIN windows USING (gram)),
+parted AS (
+  SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos)
+            > {params.slack} AS apart
+  FROM hits),
+merged AS (
+  SELECT *, sum(CASE WHEN apart THEN 1 ELSE 0 END)
+            OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos) AS island
+  FROM parted),
+gains AS (
+  SELECT *, least(coalesce(lead(place) OVER (PARTITION BY doc_id, template, island ORDER BY place)
+                           - place, {k}), {k}) AS gain
+  FROM merged),
+found AS (
+  SELECT doc_id, template, label, min(pos) AS first_word, max(pos) + {k - 1} AS last_word,
+         sum(gain) / any_value(n) AS share, sum(gain) AS covered
+  FROM gains GROUP BY doc_id, template, label, island),
+enough AS (
+  SELECT * FROM found WHERE share >= {params.least_share}
+    AND least(covered / (last_word - first_word + 1), 1) >= {params.least_density}),
+reached AS (
+  SELECT *, max(last_word) OVER (PARTITION BY doc_id ORDER BY first_word, last_word, template
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM enough),
+placed AS (
+  SELECT *, sum(CASE WHEN first_word > reach - {k} THEN 1 ELSE 0 END)
+            OVER (PARTITION BY doc_id ORDER BY first_word, last_word, template) AS place
+  FROM reached),
+best AS (
+  SELECT *, max({{'share': share, 'label': label}}) OVER (PARTITION BY doc_id, place) AS best
+  FROM placed),
+spans AS (
+  SELECT doc_id, list(DISTINCT label) AS names, max(share) AS share, count(*) AS n_spans
+  FROM best WHERE share = best.share OR label = best.label GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
+       last_word, coalesce(array_to_string(b.names, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(
+         list_concat(coalesce(b.names, []), coalesce(s.names, [])))), ','), '') AS labels,
+       least(greatest(coalesce(share, 0),
+             CASE WHEN n_base > 0 THEN {params.phrase_score} ELSE 0 END), 1.0)::DOUBLE AS score,
+       coalesce(n_spans, 0) AS n_spans
+FROM texts LEFT JOIN (SELECT * FROM base) b USING (doc_id) LEFT JOIN spans s USING (doc_id)"""
+
 
 def statements() -> dict[str, str]:
     return {
         "op1_top_k": TOP_K,
         "op3_quality_rules": quality_rules(),
         "op9_near_duplicates": NEAR_DUPLICATES,
+        "op12_license_scan": license_scan(),
     }
