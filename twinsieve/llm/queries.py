@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from twinsieve.llm import (
     alignment,
     circulant,
+    conversations,
     licenses,
     masked_lm,
     packing,
@@ -109,6 +110,11 @@ def op12_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.labelled(_texts(spark, sf), Workspace(spark))
 
 
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    turns = _table(spark, sf, "conversations")
+    return conversations.repairs(turns, Workspace(spark), damage=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_top_k": op1_top_k,
@@ -123,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": op10_sharding,
         "op11_token_alignment": op11_token_alignment,
         "op12_license_scan": op12_license_scan,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
