@@ -7,6 +7,7 @@ import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 from types import ModuleType
 
@@ -33,6 +34,7 @@ from twinsieve.operators.checks import (  # noqa: E402
     run_checks,
 )
 from twinsieve.operators.components import (  # noqa: E402
+    connected_components,
     large_star,
     small_star,
     symmetric_difference,
@@ -46,12 +48,15 @@ from twinsieve.operators.profile import (  # noqa: E402
 )
 from twinsieve.operators.removal import keep_one, removed  # noqa: E402
 from twinsieve.operators.skew import with_group_min  # noqa: E402
+from twinsieve.plans.incremental import incremental_duplicates  # noqa: E402
 from twinsieve.plans.near_dedup import (  # noqa: E402
     DedupParams,
     Duplicates,
     find_duplicates,
     near_dedup,
+    near_dedup_files,
     run_job,
+    run_job_on_files,
     stage_signatures,
 )
 from twinsieve.plans.snowflake import (  # noqa: E402
@@ -61,7 +66,9 @@ from twinsieve.plans.snowflake import (  # noqa: E402
     repository_dimension,
     wide_view,
 )
+from twinsieve.sources.folders import Folders  # noqa: E402
 from twinsieve.sources.layout import clustered, range_bucket, write_layout  # noqa: E402
+from twinsieve.sources.publication import Published  # noqa: E402
 from twinsieve.sources.tables import (  # noqa: E402
     attach_row_id,
     fill_cluster,
@@ -73,6 +80,8 @@ from twinsieve.sources.workspace import Workspace  # noqa: E402
 
 PARAMS = DedupParams()
 SIZES = ProfileSpec()
+# With these lines few parts share an order, so there are many components.
+LARGE_LINE = 48
 DOCUMENTS_PROFILE = ProfileSpec(("doc_id", "text"), ("n_chars",), ("doc_id",))
 LINES_PROFILE = ProfileSpec(
     complete=("l_orderkey", "l_returnflag", "no_such_column"),
@@ -122,6 +131,23 @@ def staged_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return second.stage_once("documents", sf, _not_again)
 
 
+def staged_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """What readers of three versions see, and of a write that never became one."""
+    place = Published(spark, Workspace(spark).path("published"))
+    rows = _documents(spark, sf)
+    place.replace(rows.where("lang = 'en'"))
+    place.append(rows.where("lang <> 'en'"))
+    place.write(rows)
+    place.replace(rows.where("n_chars > 1000"))
+    counts = [
+        place.read(number)
+        .groupBy(F.lit(number).cast("bigint").alias("version"), "lang")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"))
+        for number in place.numbers()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _not_again() -> DataFrame:
     raise AssertionError("a finished step is made again")
 
@@ -224,9 +250,12 @@ def lsh_edges_hot(spark: SparkSession, sf: str) -> DataFrame:
 # Graph
 
 
-def _part_edges(spark: SparkSession, sf: str, workspace: Workspace) -> DataFrame:
-    """Parts linked to the smallest part of the same order."""
-    lines = _table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("src"))
+def _part_edges(
+    spark: SparkSession, sf: str, workspace: Workspace, least: int = 0
+) -> DataFrame:
+    """Parts linked to the smallest part of the same order, by lines of some quantity at least."""
+    lines = _table(spark, sf, "lineitem").where(F.col("l_quantity") >= least)
+    lines = lines.select("l_orderkey", F.col("l_partkey").alias("src"))
     linked = with_group_min(
         lines, ["l_orderkey"], "src", "dst", workspace, at_most=lines.count()
     )
@@ -277,6 +306,36 @@ def components_top(spark: SparkSession, sf: str) -> DataFrame:
     return components_sorted(spark, sf).limit(100)
 
 
+def contracted_components(spark: SparkSession, sf: str) -> DataFrame:
+    """The components of parts that large lines of an order share, from edges that are contracted
+    in each task."""
+    workspace = Workspace(spark)
+    edges = _part_edges(spark, sf, workspace, LARGE_LINE)
+    return connected_components(edges, workspace, hot_rows=1024, contract=True)
+
+
+def incremental_signatures(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges of the documents, of which one part was signed earlier, in files that have stayed.
+
+    The first run sees files that are gone in the second one, and their rows with them."""
+    workspace = Workspace(spark)
+    source, state = workspace.path("source"), workspace.path("state")
+    rows = _documents(spark, sf)
+    later = F.col("doc_id") > 2 * F.col("n_chars")
+    parts = {
+        "early": rows.where(~later),
+        "gone": rows.withColumn("doc_id", -F.col("doc_id") - 1),
+        "late": rows.where(later),
+    }
+    for run in (("early", "gone"), ("late",)):
+        for name in run:
+            write_table(parts[name], f"{source}/{name}")
+        scan = spark.read.option("recursiveFileLookup", "true").parquet(source)
+        found, _ = incremental_duplicates(scan, state, "doc_id", "text", workspace, PARAMS)
+        Folders(spark).delete(f"{source}/gone")
+    return found.edges
+
+
 # Removal and the whole job
 
 
@@ -288,6 +347,30 @@ def near_dedup_removed(spark: SparkSession, sf: str) -> DataFrame:
     return removed(_documents(spark, sf), components(spark, sf), "doc_id")
 
 
+def near_dedup_by_place(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup_files(spark, f"{sf}/documents.parquet", "text", Workspace(spark), PARAMS)
+
+
+def near_dedup_published(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job on files without a key, into a versioned table that has a version already."""
+    workspace = Workspace(spark)
+    place = Published(spark, workspace.path("published"))
+    place.replace(_documents(spark, sf))
+    run_job_on_files(
+        spark,
+        f"{sf}/documents.parquet",
+        place.root,
+        workspace,
+        text="text",
+        params=PARAMS,
+        profile_spec=DOCUMENTS_PROFILE,
+        rules=(is_complete("doc_id"), is_unique("doc_id"), is_non_negative("n_chars")),
+        check="documents",
+        publish=True,
+    )
+    return place.read()
+
+
 def near_dedup_job(spark: SparkSession, sf: str) -> DataFrame:
     workspace = Workspace(spark)
     result = run_job(
@@ -551,6 +634,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_id_attach": row_id_attach,
         "row_id_scan": row_id_scan,
         "staged_roundtrip": staged_roundtrip,
+        "staged_versions": staged_versions,
         "range_bucket": range_bucket_layout,
         "clustered_layout": clustered_layout,
         "token_counts": token_counts,
@@ -566,11 +650,15 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "edge_symmetric_diff": edge_symmetric_diff,
         "connected_components": components,
         "connected_components_large": components_large,
+        "contracted_components": contracted_components,
+        "incremental_signatures": incremental_signatures,
         "components_sorted": components_sorted,
         "components_top": components_top,
         "near_dedup_keep": near_dedup_keep,
         "near_dedup_removed": near_dedup_removed,
         "near_dedup_job": near_dedup_job,
+        "near_dedup_by_place": near_dedup_by_place,
+        "near_dedup_published": near_dedup_published,
         "dq_metrics": dq_metrics,
         "dq_uniqueness": dq_uniqueness,
         "dq_checks": dq_checks,

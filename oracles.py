@@ -84,6 +84,19 @@ large AS (
   FROM both_ways b JOIN lowest l ON b.src = l.src WHERE b.dst > b.src)"""
 
 
+CONTRACTED_COMPONENTS = """
+WITH RECURSIVE line AS (SELECT l_orderkey, l_partkey FROM lineitem WHERE l_quantity >= 48),
+edge AS (
+  SELECT DISTINCT l_partkey AS src, low AS dst FROM (
+    SELECT l_partkey, min(l_partkey) OVER (PARTITION BY l_orderkey) AS low FROM line)
+  WHERE l_partkey > low),
+both_ways AS MATERIALIZED (SELECT src, dst FROM edge UNION SELECT dst, src FROM edge),
+reach(id, node) AS (
+  SELECT DISTINCT src, src FROM both_ways
+  UNION SELECT r.id, b.dst FROM reach r JOIN both_ways b ON r.node = b.src)
+SELECT id, min(node) AS component FROM reach GROUP BY id HAVING min(node) < id"""
+
+
 def _small_star(source: str) -> str:
     return f"""
 small_low AS (SELECT src, min(dst) AS low FROM {source} GROUP BY src),
@@ -166,6 +179,12 @@ def statements() -> dict[str, str]:
                    (1::BIGINT << 33) + row_number() OVER (ORDER BY doc_id) - 1 AS row_id
             FROM documents""",
         "staged_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "staged_versions": """
+            SELECT v.version, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS n_chars
+            FROM documents, (SELECT unnest([1, 2, 3])::BIGINT AS version) v
+            WHERE (v.version = 1 AND lang = 'en') OR v.version = 2
+               OR (v.version = 3 AND n_chars > 1000)
+            GROUP BY v.version, lang""",
         "range_bucket": """
             SELECT CASE WHEN n_chars < 0 THEN 0 WHEN n_chars >= 10000 THEN 11
                         ELSE n_chars // 1000 + 1 END AS bucket,
@@ -194,6 +213,8 @@ def statements() -> dict[str, str]:
             UNION (SELECT * FROM small EXCEPT SELECT * FROM large)""",
         "connected_components": f"{components} SELECT id, component FROM component",
         "connected_components_large": f"{components} SELECT id, component FROM component",
+        "contracted_components": CONTRACTED_COMPONENTS,
+        "incremental_signatures": f"WITH {_edges()} SELECT src, dst FROM edge",
         "components_sorted": f"{components} SELECT component, id FROM component ORDER BY 1, 2",
         "components_top": f"""{components}
             SELECT component, id FROM component ORDER BY 1, 2 LIMIT 100""",
@@ -203,6 +224,10 @@ def statements() -> dict[str, str]:
             FROM documents WHERE doc_id IN (SELECT id FROM component)""",
         "near_dedup_job": f"""{components} SELECT doc_id, text, lang, source, n_chars
             FROM documents WHERE doc_id NOT IN (SELECT id FROM component)""",
+        "near_dedup_by_place": f"""{components} SELECT doc_id, text, lang, source, n_chars
+            FROM documents WHERE doc_id NOT IN (SELECT id FROM component)""",
+        "near_dedup_published": f"""{components} SELECT doc_id, text, lang, source, n_chars
+            FROM documents WHERE doc_id NOT IN (SELECT id FROM component)""",
         "row_count_gate": f"""{components}
             SELECT n AS rows_before, n - gone AS rows_after, gone / n * 100 AS pct_removed,
                    gone / n * 100 > 0 AND gone / n * 100 < 30 AS passed

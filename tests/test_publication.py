@@ -1,0 +1,122 @@
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from twinsieve.sources.folders import Folders
+from twinsieve.sources.publication import NothingPublished, PublishConflict, Published
+
+
+@pytest.fixture()
+def place(spark, workspace):
+    return Published(spark, workspace.path("published"))
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_versions_follow_each_other(spark, place):
+    assert place.current() is None
+    with pytest.raises(NothingPublished):
+        place.read()
+    place.replace(spark.range(3))
+    place.append(spark.range(5, 7))
+    place.replace(spark.range(9, 10))
+    assert [ids(place.read(n)) for n in (1, 2, 3)] == [[0, 1, 2], [0, 1, 2, 5, 6], [9]]
+    assert ids(place.read()) == [9]
+    rows = [(r.version, r.parent, r.operation, r.n_folders) for r in place.history().collect()]
+    assert rows == [(1, None, "replace", 1), (2, 1, "append", 2), (3, 2, "replace", 1)]
+    with pytest.raises(NothingPublished):
+        place.read(7)
+
+
+def test_a_write_that_dies_leaves_the_old_version(spark, place):
+    place.replace(spark.range(3))
+    fails = F.when(F.col("id") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+    dying = spark.range(0, 1000, 1, 8).select(fails.alias("id"))
+    for write in (place.replace, place.append):
+        with pytest.raises(Exception, match="lost"):
+            write(dying)
+        assert place.numbers() == [1]
+        assert ids(place.read()) == [0, 1, 2]
+
+
+def test_a_write_without_a_manifest_is_not_seen(spark, place):
+    place.replace(spark.range(3))
+    place.write(spark.range(100))
+    assert ids(place.read()) == [0, 1, 2]
+
+
+def test_a_snapshot_stays(spark, place):
+    place.replace(spark.range(3))
+    before = place.read()
+    place.replace(spark.range(50))
+    assert ids(before) == [0, 1, 2]
+
+
+def test_the_second_of_two_writers_is_told(spark, place):
+    parent = place.replace(spark.range(3))
+    folders = [place.write(spark.range(n)) for n in (4, 5)]
+    schema = spark.range(1).schema
+    place.commit(parent, {"table": folders[:1]}, {"table": schema})
+    with pytest.raises(PublishConflict):
+        place.commit(parent, {"table": folders[1:]}, {"table": schema})
+    assert ids(place.read()) == [0, 1, 2, 3]
+
+
+def test_writers_that_append_at_once_all_get_in(spark, place):
+    place.replace(spark.range(1))
+    threads = [
+        threading.Thread(target=place.append, args=(spark.range(10 * i, 10 * i + 2),))
+        for i in range(1, 5)
+    ]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert ids(place.read()) == sorted([0, *[10 * i + j for i in range(1, 5) for j in (0, 1)]])
+    assert place.numbers() == [1, 2, 3, 4, 5]
+
+
+def test_tables_change_together(spark, place):
+    folders = {n: [place.write(spark.range(k), n)] for n, k in (("a", 2), ("b", 3))}
+    schema = spark.range(1).schema
+    place.commit(None, folders, {"a": schema, "b": schema})
+    place.replace(spark.range(7), "b")
+    assert ids(place.read(table="a")) == [0, 1]
+    assert len(ids(place.read(table="b"))) == 7 and len(ids(place.read(1, "b"))) == 3
+
+
+def test_rows_with_other_columns_are_not_appended(spark, place):
+    place.replace(spark.range(3))
+    with pytest.raises(ValueError, match="other columns"):
+        place.append(spark.range(3).withColumnRenamed("id", "key"))
+
+
+def test_old_versions_and_lost_writes_go(spark, place, workspace):
+    place.replace(spark.range(3))
+    place.append(spark.range(3, 4))
+    place.replace(spark.range(9))
+    lost = place.write(spark.range(5)).split("/")[1]
+    gone = place.expire(keep=1)
+    assert len(gone) == 2 and lost not in gone
+    assert place.numbers() == [3] and len(ids(place.read())) == 9
+    assert place.expire(keep=1, grace_ms=-1) == [lost]
+    assert len(ids(place.read())) == 9
+    with pytest.raises(ValueError):
+        place.expire(keep=0)
+
+
+def test_files_are_made_once_and_whole(spark, workspace):
+    files, path = Folders(spark), workspace.path("one/file")
+    assert files.write_new(path, "first é")
+    assert not files.write_new(path, "second")
+    assert files.read(path) == "first é"
+    shown = [name for name in files.names(workspace.path("one")) if not name.startswith(".")]
+    assert shown == ["file"]
+
+
+def test_empty_tables(spark, place):
+    place.replace(spark.range(0))
+    assert place.read().columns == ["id"] and ids(place.read()) == []

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from twinsieve.functions import forest
 from twinsieve.operators.skew import HOT_ROWS, with_group_min
 from twinsieve.sources.workspace import Workspace
 
@@ -55,6 +56,17 @@ def small_star(
     )
 
 
+def contracted(edges: DataFrame, most_edges: int = forest.MOST_EDGES) -> DataFrame:
+    """Edges with the same components: each task links the nodes it has seen to the smallest one
+    they are connected with there, so it has fewer edges than nodes. Takes no shuffle.
+
+    A task holds ``most_edges`` links at most, and passes on what it has when there are more.
+    """
+    kind = edges.schema["src"].dataType.simpleString()
+    function = forest.contracting(most_edges)
+    return edges.select("src", "dst").mapInArrow(function, f"src {kind}, dst {kind}")
+
+
 def unsettled(edges: DataFrame) -> DataFrame:
     """(node): each src with several dst, and each src that is itself a dst.
 
@@ -79,6 +91,7 @@ def connected_components(
     hot_rows: int = HOT_ROWS,
     name: str = "components",
     prepared: bool = False,
+    contract: bool = False,
 ) -> DataFrame:
     """(id, component) of every node but the smallest of each component.
 
@@ -86,8 +99,12 @@ def connected_components(
     No step adds edges, so the first count bounds every later one. In a graph of more than
     ``hot_rows`` edges, components that are done leave the loop, so late rounds are small.
     ``prepared`` says that the edges are staged already, distinct and each from the larger to
-    the smaller node.
+    the smaller node. With ``contract`` each task first contracts the edges it reads, see
+    ``contracted``, before the first shuffle, and in a large graph again in each round.
     """
+    if contract:
+        edges = contracted(edges)
+        prepared = False
     state = edges if prepared else workspace.stage(_downward(edges), f"{name}-start")
     at_most = state.count()
     done: list[DataFrame] = []
@@ -109,6 +126,9 @@ def connected_components(
             done.append(finished)
             stale.append(state)
             at_most = state.count()
+        if contract and 2 * at_most > hot_rows:
+            state = workspace.stage(contracted(state), f"{name}-contracted")
+            stale.append(state)
         large = large_star(state, workspace, hot_rows, at_most, f"{name}-heavy")
         if 2 * at_most > hot_rows:
             large = workspace.stage(large, f"{name}-large-star")

@@ -34,13 +34,13 @@ def with_maybe(
         F.bitmap_construct_agg(position).alias("__bits")
     )
     marked = df.withColumn("__row", row).join(F.broadcast(array), "__row", "left")
-    is_set = _bit(position) & F.col(key).isNotNull()
+    is_set = bit_is_set("__bits", position) & F.col(key).isNotNull()
     return marked.withColumn(name, is_set).drop("__row", "__bits")
 
 
-def _bit(position: Column) -> Column:
-    """True if the bit is set in ``__bits``; false where no key fell into that row."""
-    byte = F.substr(F.col("__bits"), F.floor(position / 8) + 1, F.lit(1))
+def bit_is_set(bits: str, position: Column) -> Column:
+    """True if a bit is set in a column of bitmaps; false where there is no bitmap."""
+    byte = F.substr(F.col(bits), F.floor(position / 8) + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("bigint")
     mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (position % 8 + 1).cast("int"))
     return F.coalesce(value.bitwiseAND(mask) > 0, F.lit(False))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from twinsieve.functions.lsh import Banding, choose_banding
 from twinsieve.functions.minhash import SEED
@@ -14,11 +15,14 @@ from twinsieve.operators.audits import require_key
 from twinsieve.operators.banding import bands, signatures, star_edges
 from twinsieve.operators.checks import REPOSITORY_CHECK, REPOSITORY_RULES, Constraint
 from twinsieve.operators.components import connected_components
+from twinsieve.operators.deletion import without_places
 from twinsieve.operators.gates import enforce, row_count_gate, schema_gate
 from twinsieve.operators.profile import REPOSITORY_PROFILE, ProfileSpec
 from twinsieve.operators.removal import keep_one
 from twinsieve.operators.skew import HOT_ROWS
-from twinsieve.sources.tables import attach_row_id, write_table
+from twinsieve.sources.manifest import source_stamp
+from twinsieve.sources.publication import TABLE, Published
+from twinsieve.sources.tables import attach_row_id, read_with_row_id, write_table
 from twinsieve.sources.workspace import Workspace
 
 _ROW_ID = "__row_id"
@@ -66,7 +70,12 @@ class JobResult:
 
 
 def stage_signatures(
-    df: DataFrame, key: str, text: str, params: DedupParams, workspace: Workspace
+    df: DataFrame,
+    key: str,
+    text: str,
+    params: DedupParams,
+    workspace: Workspace,
+    source: object = None,
 ) -> DataFrame:
     """Staged (id, signature), the one step that reads the text and the costliest to redo."""
     def signed() -> DataFrame:
@@ -81,7 +90,7 @@ def stage_signatures(
             params.seed,
         )
 
-    return workspace.stage_once("signatures", (params, key, text), signed)
+    return workspace.stage_once("signatures", (params, key, text, source), signed)
 
 
 def find_duplicates(
@@ -100,12 +109,16 @@ def find_duplicates(
     a duplicate. This is checked, over the key alone, and ``KeyNotUnique`` raised, unless the
     caller says that it is proven. Rows with a null or too short text get no signature and are
     in no component.
+
+    Steps that a named run has finished are taken from it if the source is still the same, by its
+    list of files, or by its values if it is not made of files (``source_stamp``).
     """
     if not proven_unique:
         require_key(df, [key])
     banding = params.banding()
-    signed = stage_signatures(df, key, text, params, workspace)
-    step = (params, key, text)
+    source = source_stamp(df, key, text) if workspace.run else None
+    signed = stage_signatures(df, key, text, params, workspace, source)
+    step = (params, key, text, source)
 
     def linked() -> DataFrame:
         at_most = signed.count() * banding.bands
@@ -114,7 +127,7 @@ def find_duplicates(
     edges = workspace.stage_once("edges", step, linked)
 
     def resolved() -> DataFrame:
-        return connected_components(edges, workspace, max_rounds, hot_rows, prepared=True)
+        return connected_components(edges, workspace, max_rounds, hot_rows, contract=True)
 
     named = workspace.run is not None
     components = workspace.stage_once("components", step, resolved) if named else resolved()
@@ -147,23 +160,31 @@ def run_job(
     strict: bool = False,
     reports: str | None = None,
     keep_key: bool = True,
+    publish: bool = False,
+    proven_unique: bool = False,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> JobResult:
     """Profile and check a table, write it without near-duplicates, profile and check again.
 
     Without a ``key`` each row gets a generated id, which is not part of the output; a key that
     only serves the job is left out with ``keep_key`` false. A given key is checked before any
-    work, see ``find_duplicates``. The output is read back with the schema it was written with,
+    work, see ``find_duplicates``, unless it is ``proven_unique``. ``keep`` may be another way to
+    get the rows left from the components than ``keep_one``. The output is read back with the schema it was written with,
     so the schema gate compares the two tables. Reports go to ``reports`` (default:
     folder "reports" of the workspace, which a second run replaces). The gates run after the
     output and all reports are written and raise ``GateFailed``; failed checks raise only if
     ``strict``.
+
+    With ``publish`` the output is a versioned table, see ``Published``: the new version becomes
+    the current one after all gates have passed, and until then, and if the job dies or a gate
+    fails, readers have the old one. Otherwise the files below ``output`` are replaced in place.
     """
     columns = [c for c in df.columns if keep_key or c != key]
     generated = key is None
     if generated:
         key = _ROW_ID
         df = attach_row_id(df, workspace, key)
-    else:
+    elif not proven_unique:
         require_key(df, [key])
     source = df.select(*columns)
     # The signatures read the whole table anyway, unless a named run has them already.
@@ -177,9 +198,16 @@ def run_job(
     checks_before = report.write(before.checks, "checks_before")
     components = report.write(found.components, "components")
 
-    written = Watched(keep_one(df, components, key).select(*columns), profile_spec, rules)
-    write_table(written.frame, output)
-    kept = workspace.spark.read.parquet(output)
+    left = keep(components) if keep else keep_one(df, components, key)
+    written = Watched(left.select(*columns), profile_spec, rules)
+    place = Published(workspace.spark, output) if publish else None
+    if place:
+        parent = place.current()
+        folder = place.write(written.frame)
+        kept = workspace.spark.read.parquet(f"{place.root}/{folder}")
+    else:
+        write_table(written.frame, output)
+        kept = workspace.spark.read.parquet(output)
 
     # A table with other columns than were meant to be written is read for its own totals.
     totals = written.totals() if kept.columns == columns else None
@@ -193,6 +221,8 @@ def run_job(
             enforce(results.selectExpr("*", "constraint_status = 'Success' AS passed"), name)
     enforce(row_count, "row count")
     enforce(schema, "schema")
+    if place:
+        place.commit(parent, {TABLE: [folder]}, {TABLE: kept.schema})
     return JobResult(
         found.banding,
         kept,
@@ -206,6 +236,39 @@ def run_job(
     )
 
 
+def near_dedup_files(
+    spark: SparkSession,
+    source: str,
+    text: str,
+    workspace: Workspace,
+    params: DedupParams = DedupParams(),
+) -> DataFrame:
+    """The rows of Parquet files without near-duplicates, of each component the first row stays.
+
+    Rows are known by their place in the files: no key is needed and none is checked, nothing is
+    copied, and removal is one scan with bitmaps, see ``without_places``.
+    """
+    rows = read_with_row_id(spark, source, workspace, _ROW_ID, [text])
+    found = find_duplicates(rows, _ROW_ID, text, workspace, params, proven_unique=True)
+    return without_places(spark, source, found.components, workspace)
+
+
+def run_job_on_files(
+    spark: SparkSession, source: str, output: str, workspace: Workspace, **options: Any
+) -> JobResult:
+    """The whole job over Parquet files without a key; ``options`` are those of ``run_job``."""
+    return run_job(
+        read_with_row_id(spark, source, workspace, _ROW_ID),
+        output,
+        workspace,
+        key=_ROW_ID,
+        keep_key=False,
+        proven_unique=True,
+        keep=lambda gone: without_places(spark, source, gone, workspace),
+        **options,
+    )
+
+
 class _Reports:
     """Writes report tables under one folder."""
 

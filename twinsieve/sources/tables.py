@@ -11,6 +11,8 @@ from twinsieve.sources.workspace import Workspace
 
 # Fixed value: rows in one output file at most.
 MAX_RECORDS_PER_FILE = 300_000
+# A row id holds the place of the row in its file in so many bits, and the number of the file above.
+PLACE_BITS = 33
 # The default size of a full split of a scan.
 SPLIT_BYTES = 128 << 20
 
@@ -76,15 +78,8 @@ def read_with_row_id(
     columns = list(columns or scan.columns)
     if column in columns:
         raise ValueError(f"column {column} exists already")
-    paths = scan.select(F.col("_metadata.file_path").alias("__path")).distinct()
-    numbered = dense_key(paths, ["__path"], "__file", workspace, name)
-    files = workspace.stage(
-        numbered.select(F.xxhash64("__path").alias("__path"), "__file"), f"{name}-hashed"
-    )
-    count, different = files.agg(F.count(F.lit(1)), F.count_distinct("__path")).first()
-    if count != different:
-        raise ValueError("two paths share a hash; rename a file, or attach ids to a copy")
-    place = F.shiftleft("__file", 33).bitwiseOR(F.col("__place"))
+    files = numbered_files(spark, source, workspace, name)
+    place = F.shiftleft("__file", PLACE_BITS).bitwiseOR(F.col("__place"))
     located = scan.select(
         *columns,
         F.xxhash64(F.col("_metadata.file_path")).alias("__path"),
@@ -93,6 +88,21 @@ def read_with_row_id(
     return located.join(F.broadcast(files), "__path").select(*columns, place.alias(column))
 
 
+def numbered_files(
+    spark: SparkSession, source: str, workspace: Workspace, name: str = "source_files"
+) -> DataFrame:
+    """(__path, __file) staged: the hash of the path of each file, and its number by path."""
+    paths = spark.read.parquet(source).select(F.col("_metadata.file_path").alias("__path"))
+    numbered = dense_key(paths.distinct(), ["__path"], "__file", workspace, name)
+    files = workspace.stage(
+        numbered.select(F.xxhash64("__path").alias("__path"), "__file"), f"{name}-hashed"
+    )
+    count, different = files.agg(F.count(F.lit(1)), F.count_distinct("__path")).first()
+    if count != different:
+        raise ValueError("two paths share a hash; rename a file, or attach ids to a copy")
+    return files
+
+
 def fill_cluster(df: DataFrame, *keys: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Spread a scan over all cores if it is too small to give each core one full split.
 

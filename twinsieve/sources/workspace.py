@@ -38,9 +38,8 @@ class Workspace:
 
     Frames made from staged tables are lazy, so write or collect them before that.
 
-    A ``run`` has a name, which says that the source is the same whenever it is used. Steps that
-    were finished under it are read again and not redone, see ``stage_once``, and an error at the
-    end of a ``with`` leaves the folder for the next try.
+    A ``run`` has a name. Steps that were finished under it are read again and not redone, see
+    ``stage_once``, and an error at the end of a ``with`` leaves the folder for the next try.
     """
 
     def __init__(
@@ -69,8 +68,9 @@ class Workspace:
     ) -> DataFrame:
         """The staged table of a named run's step, made only if it was not finished before.
 
-        ``fingerprint`` holds all that the step depends on besides the source, and has a ``repr``
-        that says so; another one gives another table. Without a run the step is always made.
+        ``fingerprint`` holds all that the step depends on, a stamp of the source included, and
+        has a ``repr`` that says so; another one gives another table. Without a run the step is
+        always made.
         """
         if self.run is None:
             return self.stage(make(), label)
