@@ -121,3 +121,32 @@ def test_crc_of_ids(spark):
     ).first()["text"]
     ids = np.array([*TOKENIZER.encode(text, add_special_tokens=False).ids, 2], "<u4")
     assert row["ids_crc32"] == zlib.crc32(ids[: row["length"]].tobytes())
+
+
+def test_memories_are_bounded_in_bytes(monkeypatch):
+    """Long runs without spaces are not remembered, and a full memory starts anew."""
+    words = packing.WordIds(PATH)
+    long = ["日本語" * 1000 + str(i) for i in range(20)]
+    for text in long:
+        words.of(text)
+    assert len(words) == 0
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 20_000)
+    expected = TOKENIZER
+    for i in range(500):
+        run = f"wordé{i}."
+        ids = np.frombuffer(words.of(run), "<u4").tolist()
+        assert ids == expected.encode(run, add_special_tokens=False).ids
+        assert words.held <= 20_000 and words.parts.held <= 20_000
+    assert 0 < len(words) < 100
+
+
+def test_ranked_pieces_are_those_of_the_library():
+    words = packing.WordIds(PATH)
+    assert words.parts.ranked is not None
+    for code in range(0x21, 0x250):
+        c = chr(code)
+        for run in (c, f"a{c}b", c * 3 + "1", f"Q{c}'s", f"{c}ing"):
+            if run.split() == [run]:
+                ids = np.frombuffer(words._encoded(run), "<u4").tolist()
+                plain = words.tokenizer.encode(run, add_special_tokens=False).ids
+                assert ids == plain, run

@@ -23,6 +23,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections import deque
@@ -33,16 +34,21 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 STRETCH = 1 << 20
-# Runs, and parts of them, whose ids a Python worker remembers; a memory is emptied when full.
-REMEMBERED = 1 << 19
+# Bytes that a Python worker spends on each of its two memories of ids, of runs and of parts of them; a
+# memory is emptied when full. Runs of more characters are not remembered.
+REMEMBERED_BYTES = 96 << 20
+LONGEST_RUN = 128
+# About what an entry takes besides its characters and ids.
+_ENTRY = 220
 # White space to Python, but not to the tokenizer.
 _NOT_SPACE_TO_ALL = "\x1c\x1d\x1e\x1f"
-_LATIN = "\u024f"
+_LATIN, _DOTTED = "\u024f", "\u0130"
 
 
 @dataclass(frozen=True)
@@ -57,57 +63,126 @@ class PackParams:
     per_sequence: int = 32
 
 
-class _PartIds(dict):
+class _Memory(dict):
+    """Ids by run, of bounded size in bytes."""
+
+    held = 0
+
+    def remember(self, run: str, ids: bytes) -> None:
+        if len(run) > LONGEST_RUN:
+            return
+        size = _ENTRY + 2 * len(run) + len(ids)
+        if self.held + size > REMEMBERED_BYTES:
+            self.clear()
+            self.held = 0
+        self.held += size
+        self[run] = ids
+
+
+class _PartIds(_Memory):
     """Ids of each part that the tokenizer encodes by itself, in its normal form."""
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, tokenizer: Tokenizer, spec: dict):
         super().__init__()
-        self.encode = tokenizer.model.tokenize
+        self.tokenize = tokenizer.model.tokenize
         self.byte_chars = _byte_chars()
+        self.ranked = _ranked(spec, self.byte_chars)
+
+    def encode(self, part: str) -> list[int]:
+        data = part.encode()
+        if self.ranked is not None:
+            return self.ranked.piece(data + _END)
+        return [t.id for t in self.tokenize(data.decode("latin-1").translate(self.byte_chars))]
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        data = part.encode().decode("latin-1").translate(self.byte_chars)
-        found = self[part] = array("I", [t.id for t in self.encode(data)]).tobytes()
+        found = array("I", self.encode(part)).tobytes()
+        self.remember(part, found)
         return found
 
 
-class WordIds(dict):
+# A byte that no UTF-8 text holds stands for the end of a word.
+_END = b"\xff"
+_SUFFIX = "</w>"
+
+
+def _ranked(spec: dict, byte_chars: dict[int, int]) -> _Ranked | None:
+    """The model as ranked byte strings, if its ids are bytes, bytes that end a word, and then
+    the merges in their order. Merging by rank is then what the model does."""
+    model = spec["model"]
+    vocabulary = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    byte = {chr(byte_chars.get(b, b)): bytes([b]) for b in range(256)}
+    in_order = all(vocabulary.get(a + b) == 512 + i for i, (a, b) in enumerate(merges))
+    if model.get("end_of_word_suffix") != _SUFFIX or model.get("dropout") or not in_order:
+        return None
+    ranks = {}
+    for token, number in vocabulary.items():
+        if number < 512 + len(merges):
+            stem = token.removesuffix(_SUFFIX)
+            if not set(stem) <= byte.keys():
+                return None
+            ends = _END if stem != token else b""
+            ranks[b"".join(map(byte.__getitem__, stem)) + ends] = number
+    singles = all(ranks.get(bytes([b]), 512) < 256 for b in range(256))
+    last = all(256 <= ranks.get(bytes([b]) + _END, 0) < 512 for b in range(256))
+    if not singles or not last or len(ranks) != 512 + len(merges):
+        return None
+    return _Ranked(ranks)
+
+
+class _Ranked:
+    def __init__(self, ranks: dict[bytes, int]):
+        self.encoding = tiktoken.Encoding(
+            "ranked", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}
+        )
+        self.piece = self.encoding._encode_single_piece
+
+
+class WordIds(_Memory):
     """Ids of each run between white space, as bytes of little-endian 32-bit numbers."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.normalize = self.tokenizer.normalizer.normalize_str
-        self.parts = _PartIds(self.tokenizer)
+        with open(path, encoding="utf-8") as file:
+            self.parts = _PartIds(self.tokenizer, json.load(file))
         # The split of the tokenizer file, for lower-case ASCII and Latin letters.
         self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
         self.latin = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
-            self.ends_sentence[number] = token.removesuffix("</w>")[-1:] in (".", "!", "?")
+            self.ends_sentence[number] = token.removesuffix(_SUFFIX)[-1:] in (".", "!", "?")
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+        found = self._encoded(word)
+        self.remember(word, found)
+        return found
+
+    def _encoded(self, word: str) -> bytes:
         if "<|" in word:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            found = array("I", ids).tobytes()
-        elif word.isascii():
-            found = b"".join(map(self.parts.__getitem__, self.ascii.findall(word.lower())))
-        else:
+            return array("I", ids).tobytes()
+        if word.isascii():
+            # Most runs are a word, and perhaps a mark.
+            plain = word.lower()
+            if plain.isalpha():
+                return self.parts[plain]
+            return b"".join(map(self.parts.__getitem__, self.ascii.findall(plain)))
+        # The normal form of Latin letters is their lower case, but for one of them.
+        is_latin = max(word) <= _LATIN and _DOTTED not in word
+        plain = word.lower() if is_latin else self.normalize(word)
+        if max(plain, default="") <= _LATIN:
+            if plain.isalpha():
+                return self.parts[plain]
+            return b"".join(map(self.parts.__getitem__, self.latin.findall(plain)))
+        if is_latin:
             plain = self.normalize(word)
-            if max(plain, default="") <= _LATIN:
-                found = b"".join(map(self.parts.__getitem__, self.latin.findall(plain)))
-            else:
-                # Other scripts are left to the tokenizer's own tables of characters.
-                parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)
-                ids = [t.id for part, _ in parts for t in self.parts.encode(part)]
-                found = array("I", ids).tobytes()
-        self[word] = found
-        return found
+        # Other scripts are left to the tokenizer's own tables of characters.
+        parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)
+        ids = [t.id for part, _ in parts for t in self.parts.tokenize(part)]
+        return array("I", ids).tobytes()
 
     def of(self, text: str) -> bytes:
         if any(c in text for c in _NOT_SPACE_TO_ALL):
