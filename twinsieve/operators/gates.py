@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from twinsieve.operators.profile import metric
 
@@ -53,6 +56,63 @@ def schema_gate(before: DataFrame, after: DataFrame) -> DataFrame:
     return types.withColumn("change", change).withColumn("passed", F.col("change") == "same")
 
 
+def schema_fields(schema: StructType) -> dict[str, tuple[str, bool]]:
+    """The type and nullability of each column, field, element, key and value, by its path."""
+    found: dict[str, tuple[str, bool]] = {}
+
+    def walk(path: str, kind: DataType, nullable: bool) -> None:
+        inner: list[tuple[str, DataType, bool]] = []
+        name = kind.simpleString()
+        if isinstance(kind, StructType):
+            name = "struct"
+            inner = [(f"{path}.{f.name}", f.dataType, f.nullable) for f in kind.fields]
+        elif isinstance(kind, ArrayType):
+            name = "array"
+            inner = [(f"{path}[]", kind.elementType, kind.containsNull)]
+        elif isinstance(kind, MapType):
+            name = "map"
+            inner = [
+                (f"{path}.key", kind.keyType, False),
+                (f"{path}.value", kind.valueType, kind.valueContainsNull),
+            ]
+        found[path] = name, nullable
+        for part in inner:
+            walk(*part)
+
+    for field in schema.fields:
+        walk(field.name, field.dataType, field.nullable)
+    return found
+
+
+def structural_schema_gate(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row for each path of either table's schema, at any depth, that says what has changed.
+
+    ``change`` is same, added, dropped, retyped or nullability. What is below a path that was
+    added, dropped or retyped has rows of its own. Reads the schema rows of two profiles, one
+    value each.
+    """
+    sides = []
+    for metrics in (before, after):
+        found = metric(metrics, "schema").first()
+        schema = StructType.fromJson(json.loads(found["value"])) if found else StructType([])
+        sides.append(schema_fields(schema))
+    rows = []
+    for path in sorted(sides[0].keys() | sides[1].keys()):
+        old, new = (side.get(path, (None, None)) for side in sides)
+        if old[0] is None or new[0] is None:
+            change = "added" if old[0] is None else "dropped"
+        elif old[0] != new[0]:
+            change = "retyped"
+        else:
+            change = "same" if old == new else "nullability"
+        rows.append((path, *old, *new, change, change == "same"))
+    return before.sparkSession.createDataFrame(
+        rows,
+        "path string, type_before string, nullable_before boolean, type_after string, "
+        "nullable_after boolean, change string, passed boolean",
+    )
+
+
 def enforce(gate: DataFrame, name: str) -> None:
     """Raise unless the gate has rows and all of them pass."""
     total, passed, sample = gate.agg(

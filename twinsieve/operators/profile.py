@@ -104,6 +104,19 @@ def profile_rows(
     return result.where("value IS NOT NULL")
 
 
+def numbered_rows(
+    df: DataFrame, aggregates: list[tuple[str, str, str, Column]], schema: Column
+) -> DataFrame:
+    """Metrics in long form, from aggregates over ``df`` and one that is the schema's JSON."""
+    totals = df.agg(*[a[3].alias(f"p{i}") for i, a in enumerate(aggregates)], schema.alias("s"))
+    rows = [
+        _row(entity, instance, name, F.col(f"p{i}").cast("string"))
+        for i, (entity, instance, name, _) in enumerate(aggregates)
+    ]
+    rows.append(_row("Dataset", "*", "schema", F.col("s")))
+    return totals.select(F.inline(F.array(*rows))).where("value IS NOT NULL")
+
+
 def metric(metrics: DataFrame, name: str, entity: str = "Dataset") -> DataFrame:
     """The values of one metric."""
     return metrics.filter((F.col("entity") == entity) & (F.col("name") == name)).select("value")

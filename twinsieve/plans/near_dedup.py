@@ -114,7 +114,7 @@ def find_duplicates(
     list of files, or by its values if it is not made of files (``source_stamp``).
     """
     if not proven_unique:
-        require_key(df, [key])
+        require_key(df, [key], workspace)
     banding = params.banding()
     source = source_stamp(df, key, text) if workspace.run else None
     signed = stage_signatures(df, key, text, params, workspace, source)
@@ -185,7 +185,7 @@ def run_job(
         key = _ROW_ID
         df = attach_row_id(df, workspace, key)
     elif not proven_unique:
-        require_key(df, [key])
+        require_key(df, [key], workspace)
     source = df.select(*columns)
     # The signatures read the whole table anyway, unless a named run has them already.
     watched = Watched(df, profile_spec, rules, source) if workspace.run is None else None
@@ -193,7 +193,7 @@ def run_job(
     found = find_duplicates(searched, key, text, workspace, params, proven_unique=True)
     report = _Reports(workspace, reports or workspace.path("reports"))
     totals = watched.totals() if watched else None
-    before = assess(source, profile_spec, rules, check, workspace.stage, "before", totals=totals)
+    before = assess(source, profile_spec, rules, check, workspace, "before", totals=totals)
     profile_before = report.write(before.profile, "profile_before")
     checks_before = report.write(before.checks, "checks_before")
     components = report.write(found.components, "components")
@@ -211,7 +211,7 @@ def run_job(
 
     # A table with other columns than were meant to be written is read for its own totals.
     totals = written.totals() if kept.columns == columns else None
-    after = assess(kept, profile_spec, rules, check, workspace.stage, "after", totals=totals)
+    after = assess(kept, profile_spec, rules, check, workspace, "after", totals=totals)
     profile_after = report.write(after.profile, "profile_after")
     checks_after = report.write(after.checks, "checks_after")
     row_count = report.write(row_count_gate(profile_before, profile_after), "row_count_gate")
