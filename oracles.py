@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from twinsieve.functions.minhash import permutations
+import numpy as np
 
+# Fixed values of the signatures: permutations, bands and rows, and the seed of the draws.
 NUM_PERM, BANDS, ROWS = 256, 25, 10
+SEED = 42
 LOW32 = (1 << 32) - 1
 PRIME = (1 << 61) - 1
 
@@ -36,7 +38,11 @@ def _minimum(a: int, b: int) -> str:
 
 
 def _signatures() -> str:
-    pairs = permutations(NUM_PERM).tolist()[: BANDS * ROWS]
+    draws = np.random.RandomState(SEED)
+    pairs = [
+        [int(draws.randint(low, PRIME, dtype=np.uint64)) for low in (1, 0)]
+        for _ in range(BANDS * ROWS)
+    ]
     columns = ", ".join(f"{_minimum(a, b)} AS v{k}" for k, (a, b) in enumerate(pairs))
     return f"{TOKENS},\nsig AS MATERIALIZED (SELECT doc_id, {columns} FROM hashed GROUP BY doc_id)"
 

@@ -194,3 +194,36 @@ def test_missing_distribution_and_positions(spark, workspace):
     dimension = repository_dimension(frame, "pos", languages, columns=["pos"])
     found = {(r.repo_id, r.pos, names[r.language_id]) for r in dimension.collect()}
     assert found == {(1, 7, "b"), (2, None, "c"), (None, 3, "d")}
+
+
+def test_repositories_without_positions_are_repeatable(spark, workspace):
+    rows = [("r", None, "L", f"o{i}") for i in (3, 1, 2)] + [("s", 4, "L", "x"), ("s", 2, "L", "y")]
+    flat = spark.createDataFrame(rows, "repo_id string, at int, main_language string, owner string")
+    languages = spark.createDataFrame([(1, "L")], "language_id long, language_name string")
+    for parts in (1, 4):
+        found = repository_dimension(flat.repartition(parts), "at", languages, columns=["owner"])
+        assert sorted((r.repo_id, r.owner) for r in found.collect()) == [("r", "o1"), ("s", "y")]
+
+
+def test_the_snowflake_job_copies_no_text(spark, workspace, tmp_path):
+    """Ids of a whole scan are 1..n, and no staged table holds the contents."""
+    path = str(tmp_path / "flat")
+    names = "path owner commit_sha name license main_language".split()
+    text = [f"concat('{n}', id % 5) AS {n}" for n in names]
+    numbers = [f"id % 7 AS {n}" for n in ("repo_id", "forks", "stars")]
+    flat = spark.range(50).selectExpr(
+        *text,
+        *numbers,
+        "id AS position",
+        "id % 2 = 0 AS is_fork",
+        "1.0D AS issues",
+        "id * 9000 AS size",
+        "concat('content', id) AS content",
+        "map('a', 1L) AS languages_distribution",
+    )
+    flat.repartition(3).write.parquet(path)
+    *_, files, _ = load_snowflake(
+        spark.read.parquet(path), str(tmp_path / "out"), workspace, "position"
+    )
+    assert sorted(r.file_id for r in files.select("file_id").collect()) == list(range(1, 51))
+    assert all("content" not in t.columns for t in workspace._staged)

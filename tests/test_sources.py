@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import plain
 from twinsieve import Workspace, read_table, write_table
-from twinsieve.operators.keys import dense_key
+from twinsieve.operators.keys import dense_key, dense_scan_key
 from twinsieve.sources import workspace as workspace_module
 from twinsieve.sources.layout import clustered, range_bucket, write_layout
 from twinsieve.sources import tables
@@ -167,3 +167,27 @@ def test_dense_keys_in_scan_order_take_no_shuffle(spark, workspace):
     assert empty.count() == 0
     with pytest.raises(ValueError):
         dense_key(keyed, [], "k", workspace, "again")
+
+
+def test_scan_keys_take_neither_a_copy_nor_a_shuffle(spark, workspace, tmp_path):
+    path = str(tmp_path / "files")
+    for i, count in enumerate((5, 1, 30)):
+        rows = spark.range(count).selectExpr(f"id + {100 * i} AS n", "repeat('x', 50) AS text")
+        rows.coalesce(1).write.mode("append").parquet(path)
+    scan = spark.read.parquet(path).withColumn("twice", F.col("n") * 2)
+    keyed = dense_scan_key(scan, "key", workspace, "counts")
+    rows = keyed.collect()
+    assert keyed.columns == ["key", "n", "text", "twice"]
+    assert sorted(r.key for r in rows) == list(range(1, 37))
+    # In a file the keys follow the rows.
+    for i in range(3):
+        own = sorted((r.key, r.n) for r in rows if r.n // 100 == i)
+        assert [n for _, n in own] == sorted(n for _, n in own)
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("text#") and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    staged = [t.columns for t in workspace._staged]
+    assert all("text" not in columns for columns in staged)
+    assert dense_scan_key(scan.where("n > 3"), "key", workspace, "counts") is None
+    assert dense_scan_key(spark.range(3), "key", workspace, "counts") is None
+    with pytest.raises(ValueError):
+        dense_scan_key(scan, "n", workspace, "counts")

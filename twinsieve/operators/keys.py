@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 
 from twinsieve.sources.workspace import Workspace
@@ -42,3 +43,43 @@ def dense_key(
         .withColumn(column, F.col("__offset") + local + 1)
         .select(column, *df.columns)
     )
+
+
+def dense_scan_key(
+    df: DataFrame, column: str, workspace: Workspace, name: str
+) -> DataFrame | None:
+    """Number the rows of a scan of Parquet files 1..n, by path and place, without a copy.
+
+    One count for each file is staged, added up in the order of the paths, and reaches the rows
+    by the hash of the path; the place in the file does the rest. No other column is read for it
+    and nothing is shuffled. None if ``df`` is no such scan, or does not have all rows of its
+    files, which would leave gaps.
+    """
+    if column in df.columns:
+        raise ValueError(f"column {column} exists already")
+    try:
+        places = df.select(
+            F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__at")
+        )
+    except AnalysisException:
+        return None
+    counted = places.groupBy("__path").agg(
+        F.count(F.lit(1)).alias("__n"), (F.max("__at") + 1).alias("__rows")
+    )
+    counted = workspace.stage(counted.withColumn("__hash", F.xxhash64("__path")), name)
+    files, different, gaps = counted.agg(
+        F.count(F.lit(1)), F.count_distinct("__hash"), F.count_if(F.col("__n") != F.col("__rows"))
+    ).first()
+    if gaps or files != different:
+        return None
+    before = Window.orderBy("__path").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(
+        "__hash", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
+    )
+    located = df.select(
+        "*",
+        F.xxhash64(F.col("_metadata.file_path")).alias("__hash"),
+        F.col("_metadata.row_index").alias("__at"),
+    )
+    number = (F.col("__offset") + F.col("__at") + 1).alias(column)
+    return located.join(F.broadcast(offsets), "__hash").select(number, *df.columns)

@@ -29,4 +29,4 @@ def removed(df: DataFrame, components: DataFrame, key: str) -> DataFrame:
 
 def _marked(df: DataFrame, components: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     keys = components.select(F.col("id").alias(key))
-    return with_maybe(df, key, keys, keys.count()), keys.hint("shuffle_hash")
+    return with_maybe(df, key, keys, keys.count()), keys

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from twinsieve.operators.keys import dense_key
+from twinsieve.operators.keys import dense_key, dense_scan_key
 from twinsieve.sources.layout import range_bucket, write_layout
 from twinsieve.sources.tables import write_table
 from twinsieve.sources.workspace import Workspace
@@ -57,7 +57,8 @@ def repository_dimension(
     """The first row of each repository by ``position``, with its language id.
 
     Positions are unique; rows without one come last. The first positions come from a hash
-    aggregate, which is combined before the shuffle, and pick their rows in a join.
+    aggregate, which is combined before the shuffle, and pick their rows in a join. Where a
+    repository has no position at all, the row with the least values is the first.
     """
     place = F.coalesce(F.col(position).cast("bigint"), F.lit((1 << 63) - 1))
     names = [f"__c{i}" for i in range(len(columns))]
@@ -70,8 +71,10 @@ def repository_dimension(
     first = rows.groupBy(F.col("__repo").alias("__key")).agg(F.min("__place").alias("__first"))
     picked = rows.join(
         first, F.col("__repo").eqNullSafe(F.col("__key")) & (F.col("__place") == F.col("__first"))
-    ).dropDuplicates(["__repo"])
-    return picked.join(languages, "language_name", "left").select(
+    )
+    # One row for each repository, but for those without any position.
+    least = picked.groupBy("__repo").agg(F.min(F.struct("language_name", *names)).alias("__row"))
+    return least.select("__repo", "__row.*").join(languages, "language_name", "left").select(
         F.col("__repo").alias(repo_id),
         "language_id",
         *[F.col(n).alias(c) for c, n in zip(columns, names, strict=True)],
@@ -88,8 +91,9 @@ def file_facts(
 ) -> DataFrame:
     """(file_id, repo_id, columns, languages_distribution as JSON) with file_id 1..n.
 
-    The ids follow the order of the scan, which takes no shuffle, or that of ``position``, which
-    takes one of all facts by range. A missing distribution is the JSON text ``null``.
+    The ids follow the order of the scan, which takes no shuffle, and for a whole scan of files no
+    copy either, or that of ``position``, which takes a shuffle of all facts by range. A missing
+    distribution is the JSON text ``null``.
     """
     value = F.col("languages_distribution") if distribution is None else distribution
     order = [F.col(position).alias("__position")] if position else []
@@ -99,7 +103,10 @@ def file_facts(
         F.coalesce(F.to_json(value), F.lit("null")).alias("languages_distribution"),
         *order,
     )
-    numbered = dense_key(rows, ["__position"] if position else [], "file_id", workspace, "files")
+    numbered = None if position else dense_scan_key(rows, "file_id", workspace, "file-counts")
+    if numbered is None:
+        order = ["__position"] if position else []
+        numbered = dense_key(rows, order, "file_id", workspace, "files")
     return numbered.drop("__position")
 
 
