@@ -57,6 +57,7 @@ from twinsieve.operators.profile_state import (  # noqa: E402
 from twinsieve.operators.removal import keep_one, removed  # noqa: E402
 from twinsieve.operators.skew import with_group_min  # noqa: E402
 from twinsieve.operators.uniqueness import uniqueness_row  # noqa: E402
+from twinsieve.plans.bucketed import BucketedTables, bucketed_view, write_bucketed  # noqa: E402
 from twinsieve.plans.incremental import incremental_duplicates  # noqa: E402
 from twinsieve.plans.near_dedup import (  # noqa: E402
     DedupParams,
@@ -626,10 +627,10 @@ def snowflake_view(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def snowflake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as a flat table of files, written as three tables and read through the view."""
+def _flat_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a flat table of files with the columns of the wide view."""
     repo = F.regexp_extract("source", "[0-9]+", 0).cast("bigint")
-    flat = _documents(spark, sf).select(
+    return _documents(spark, sf).select(
         F.concat("source", F.lit("/"), "doc_id").alias("path"),
         F.concat(F.lit("owner"), repo % 7).alias("owner"),
         repo.alias("repo_id"),
@@ -648,11 +649,28 @@ def snowflake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.nullif(F.col("source"), F.lit("src1")).alias("license"),
         "doc_id",
     )
+
+
+def snowflake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A flat table of files, written as three tables and read through the view."""
     workspace = Workspace(spark)
+    flat = _flat_files(spark, sf)
     *_, wide = load_snowflake(flat, workspace.path("snowflake"), workspace, "doc_id")
     return wide.withColumn("is_fork", F.col("is_fork").cast("string"))
 
 
+def bucketed_snowflake(spark: SparkSession, sf: str) -> DataFrame:
+    """The same view over tables that are bucketed alike and joined without an exchange."""
+    flat, workspace = _flat_files(spark, sf), Workspace(spark)
+    languages = workspace.stage(language_dimension(flat, "doc_id", workspace), "languages")
+    repositories = repository_dimension(flat, "doc_id", languages)
+    files = workspace.stage(file_facts(flat, workspace), "facts")
+    tag = workspace.root.rsplit("-", 1)[-1]
+    names = BucketedTables(*[f"{n}_{tag}" for n in ("files", "repositories", "languages")])
+    write_bucketed(files, repositories, languages, names, workspace, 16, workspace.path("bucketed"))
+    return bucketed_view(spark, names).withColumn("is_fork", F.col("is_fork").cast("string"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Documents without near-duplicates."""
     rows = _documents(spark, "/root/testdata/sf0.001")
@@ -727,6 +745,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_files": fact_files,
         "snowflake_view": snowflake_view,
         "snowflake_roundtrip": snowflake_roundtrip,
+        "bucketed_view": bucketed_snowflake,
     }
 
 

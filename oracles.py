@@ -348,4 +348,8 @@ def statements() -> dict[str, str]:
             FROM (SELECT *, CAST(substr(source, 4) AS BIGINT) AS repo FROM documents)""",
     }
     # A profile from kept states is the profile of the table.
-    return found | {"profile_merge": found["dq_metrics"]}
+    # Bucketed tables give the same view.
+    return found | {
+        "profile_merge": found["dq_metrics"],
+        "bucketed_view": found["snowflake_roundtrip"],
+    }

@@ -111,19 +111,27 @@ def file_facts(
 
 
 def wide_view(
-    files: DataFrame, repositories: DataFrame, languages: DataFrame, name: str | None = None
+    files: DataFrame,
+    repositories: DataFrame,
+    languages: DataFrame,
+    name: str | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Files with their repository and its language; optionally registered as a view.
 
     The two dimensions are joined to each other first, so the wide fact rows take part in one
-    join only.
+    join only. ``also`` names further columns of files and repositories that have to be equal.
     """
     dimension = repositories.join(languages, "language_id", "left").withColumnRenamed(
         "language_name", "main_language"
     )
+    same = F.col("__file_repo") == F.col("repo_id")
+    for column in also:
+        files = files.withColumnRenamed(column, f"__file_{column}")
+        same &= F.col(f"__file_{column}") == F.col(column)
     wide = (
         files.withColumnRenamed("repo_id", "__file_repo")
-        .join(dimension, F.col("__file_repo") == F.col("repo_id"), "left")
+        .join(dimension, same, "left")
         .select(*WIDE_COLUMNS)
     )
     if name:
