@@ -99,5 +99,5 @@ def test_more_columns_are_passed_on(spark, folder):
 
 def test_every_operator_is_registered():
     numbers = {n.split("_")[0] for n in registered.queries() if n.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in registered.queries()

@@ -1,5 +1,6 @@
-"""Toxicity by held-out accuracy, and the model's chances by its formulas."""
+"""Toxicity by held-out accuracy, and counts, chances and scores against a plain version."""
 
+import math
 import random
 import zlib
 
@@ -10,7 +11,7 @@ import pytest
 from twinsieve.llm import toxicity
 from twinsieve.llm.text import column_bytes
 
-PARAMS = toxicity.ToxicityParams(least_test=8)
+PARAMS = toxicity.ToxicityParams()
 
 
 def corpus(spark, seed, size=600):
@@ -79,33 +80,106 @@ def test_without_both_classes_all_scores_are_zero(spark, workspace, labels):
     assert toxicity.keep_ordinary(frame, model).count() == len(edge.ROWS)
 
 
-def test_counts_and_ratios_follow_the_formulas(spark, workspace):
-    ordinary = ["a b c d", "a b c e", "a b d", "b c a", "a c b", "c b a d"] * 3
-    toxic = ["a bad b", "bad b c", "a bad c", "bad a", "b bad", "c bad a"] * 3
-    texts = [(i, f"{t} n{i}") for i, t in enumerate(ordinary + toxic)]
-    labels = [(i, int(i >= len(ordinary))) for i, _ in texts]
-    params = toxicity.ToxicityParams(least_test=3, least_ratio=0.5)
-    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
-    model = toxicity.fit(
-        docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), workspace, params=params
-    )
-    used = [i for i, _ in texts if zlib.crc32(str(i).encode()) % 3 != 1]
-    by_class = [[dict(texts)[i].split() for i in used if dict(labels)[i] == c] for c in (0, 1)]
-    count = [{w: sum(w in t for t in ts) for t in ts for w in t} for ts in by_class]
-    pairs = [[set(zip(["^", *t], t)) for t in ts] for ts in by_class]
-    every = set().union(*pairs[0], *pairs[1])
-    kinds = {w for _, w in every}
-    whole = [sum(c.values()) for c in count]
-    share = min(1, params.discount * len(kinds) / sum(whole))
-
-    def chance(c, w):
-        own = max(count[c].get(w, 0) - params.discount, 0) / whole[c]
-        return own + share * sum(x == w for _, x in every) / len(every)
-
-    expected = np.log(chance(1, "bad") / chance(0, "bad"))
-    ratios = model.ratios
-    now, _ = toxicity.word_hashes(*column_bytes(pa.array(["bad"])))
-    assert ratios.word_ratio[np.searchsorted(ratios.words, now[0])] == pytest.approx(expected)
+class Plain:
+    """The model of some training texts (words, class), by the formulas and without arrays."""
+
+    def __init__(self, texts, params, part=1.0):
+        self.params, self.part = params, part
+        self.sizes = [sum(c == k for _, c in texts) for k in (0, 1)]
+        self.words, self.pairs = [{}, {}], [{}, {}]
+        for words, c in texts:
+            for w in set(words):
+                self.words[c][w] = self.words[c].get(w, 0) + 1
+            for p in set(zip(["^", *words], words)):
+                self.pairs[c][p] = self.pairs[c].get(p, 0) + 1
+        self.every = set(self.pairs[0]) | set(self.pairs[1])
+
+    def test(self, counts):
+        both, total = sum(counts), sum(self.sizes)
+        parts = zip(counts, self.sizes)
+        return 2 * sum(n * math.log(n * total / (both * size)) for n, size in parts if n)
+
+    def weight(self, counts):
+        test = self.test(counts)
+        return (test / (test + self.params.evidence)) ** 2
+
+    def word_chance(self, c, w):
+        whole = [sum(counts.values()) for counts in self.words]
+        kinds = len(set(self.words[0]) | set(self.words[1]))
+        share = min(1, self.params.discount * kinds / sum(whole))
+        lefts = sum(x == w for _, x in self.every) / len(self.every)
+        own = max(self.words[c].get(w, 0) - self.params.discount, 0) / whole[c]
+        return own + share * lefts
+
+    def pair_chance(self, c, v, w):
+        before = [sum(n for (x, _), n in p.items() if x == v) for p in self.pairs]
+        rights = sum(x == v for x, _ in self.every)
+        fall = min(1, self.params.discount * rights / sum(before))
+        own = max(self.pairs[c].get((v, w), 0) - self.params.discount, 0) / max(before[c], 1)
+        return own + fall * self.word_chance(c, w)
+
+    def word(self, w):
+        counts = [k.get(w, 0) for k in self.words]
+        return self.weight(counts) * math.log(self.word_chance(1, w) / self.word_chance(0, w))
+
+    def pair(self, v, w):
+        own = self.weight([k.get((v, w), 0) for k in self.pairs])
+        ratio = math.log(self.pair_chance(1, v, w) / self.pair_chance(0, v, w))
+        return own * ratio + (1 - own) * self.word(w)
+
+    def known(self, counts):
+        return sum(counts) and self.test(counts) >= self.params.least_test
+
+    def features(self, words):
+        total = 0.0
+        for v, w in set(zip(["^", *words], words)):
+            if self.known([k.get((v, w), 0) for k in self.pairs]):
+                total += self.pair(v, w)
+            elif self.known([k.get(w, 0) for k in self.words]):
+                total += self.word(w)
+        size = max(len(words), 1)
+        return math.atan(total / size / 0.2), math.atan(total / math.sqrt(size))
+
+
+def test_counts_chances_and_scores_follow_the_formulas(spark, workspace):
+    docs, labels, truth = corpus(spark, 5, 150)
+    model = toxicity.fit(docs, labels, workspace, params=PARAMS)
+    texts = {r["doc_id"]: r["text"].lower().replace(",", "").replace("!", "").split()
+             for r in docs.collect()}
+    used = [i for i in texts if zlib.crc32(str(i).encode()) % 3 != 1]
+    plain = Plain([(texts[i], truth[i]) for i in used], PARAMS)
+    words = {w for i in used for w in texts[i]}
+    known = {w for w in words if plain.known([k.get(w, 0) for k in plain.words])}
+    assert len(model.ratios.words) == len(known) < len(words)
+    for w in sorted(known):
+        now, _ = toxicity.word_hashes(*column_bytes(pa.array([w])))
+        at = np.searchsorted(model.ratios.words, now[0])
+        assert model.ratios.word_ratio[at] == pytest.approx(plain.word(w), abs=1e-9)
+    frame = [" ".join(texts[i]) for i in texts] + ["", "unseen words", "vile unseen dreck"]
+    got = model.ratios.features(*column_bytes(pa.array(frame)))
+    expected = [plain.features(t.split()) for t in frame]
+    assert got == pytest.approx(np.array(expected), abs=1e-9)
+    scores = model.score(*column_bytes(pa.array(frame)))
+    slope = np.array(expected) @ model.weights[:2] + model.weights[2]
+    assert scores == pytest.approx(1 / (1 + np.exp(-slope)))
+
+
+def test_few_labels_tell_texts_apart(spark, workspace):
+    """Two dozen toxic training texts, production parameters: ordinary texts differ in score."""
+    docs, labels, truth = corpus(spark, 6, 180)
+    got = toxicity.scored(docs, toxicity.fit(docs, labels, workspace)).collect()
+    test = [r for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    toxic = [r for r in test if truth[r["doc_id"]]]
+    ordinary = [r for r in test if not truth[r["doc_id"]]]
+    assert np.mean([r["predicted"] for r in toxic]) > 0.5
+    assert np.mean([r["predicted"] for r in ordinary]) < 0.1
+    assert len({r["score"] for r in ordinary}) > 0.9 * len(ordinary)
+
+
+def test_more_evidence_never_lowers_a_score(spark, workspace):
+    docs, labels, _ = corpus(spark, 8, 90)
+    model = toxicity.fit(docs, labels, workspace)
+    assert (model.weights[:2] >= 0).all()
 
 
 def test_blocks_do_not_change_features(monkeypatch):

@@ -9,18 +9,24 @@ equal count once. For class c, word w after v, and discount D,
     p(w)       = different words before w / different pairs
 
 where p, g(v) = D * different words after v / n(v) and g are counted over both classes. What a class
-has hardly seen thus falls back on counts that both classes share, with the same weight. The models
-are pruned: a word or pair keeps counts of its own only if those of the classes differ by a
-log-likelihood ratio test (``least_test``) and by ``least_ratio``; all others are as likely in
-either class. Else the chance differences of many rare words would outweigh a few telling ones.
+has hardly seen thus falls back on counts that both classes share, with the same weight. The log
+ratios of the two chances are then shrunk by their evidence, e = (t / (t + ``evidence``))^2 for the
+log-likelihood ratio test t of the class counts:
 
-A text's score comes from the difference of its two log-likelihoods, with each different pair taken
-once, divided by its length and by the root of its length, through a logistic curve. The curve is
-fitted on the training rows, each half scored by a model of the other half.
+    r(w)    = e(w) * log(p_1(w) / p_0(w))
+    r(v, w) = e(v, w) * log(p_1(w | v) / p_0(w | v)) + (1 - e(v, w)) * r(w)
+
+so that a rare word or pair says little and not nothing, and a pair without evidence says what its
+word says. Unshrunk, the chance differences of hundreds of rare words outweigh a few telling ones.
+
+A text's score comes from the sum of its r, with each different pair taken once, divided by its
+length and by the root of its length, through a logistic curve. The curve is fitted on the training
+rows, each half scored by a model of the other half.
 
 The models are fitted on at most ``rows`` labelled rows per class (those with the smallest hash of
-the id) and keep at most ``entries`` words and pairs, so that what is broadcast is bounded. All
-texts are scored, and whole.
+the id), so what they count is bounded. Words and pairs below ``least_test`` weigh less than
+(least_test / evidence)^2 of their ratio and are left out; of more than ``entries`` words or pairs,
+those with the most evidence are broadcast. All texts are scored, and whole.
 
 Defined results: null and empty texts are scored as texts without words. A label that is null or
 belongs to no document takes no part; a document with several labels counts once for each. Rows are
@@ -46,15 +52,15 @@ START = np.uint64(1)
 class ToxicityParams:
     rows: int = 10_000
     entries: int = 1 << 18
-    least_test: float = 25.0
-    least_ratio: float = 1.0
+    least_test: float = 1.0
+    evidence: float = 25.0
     discount: float = 0.75
     threshold: float = 0.7
 
 
 @dataclass(frozen=True)
 class Ratios:
-    """Log-likelihood ratios of the kept words and pairs, by ascending hash."""
+    """Shrunk log ratios of words and pairs, by ascending hash."""
 
     words: np.ndarray
     word_ratio: np.ndarray
@@ -79,10 +85,8 @@ class Ratios:
         once = _first_of_each(text, pair[telling])
         sums = np.bincount(text[once], ratio[telling[once]], minlength=len(ends) - 1)
         sizes = np.maximum(np.diff(ends), 1)
-        # Beyond these bounds the class is plain; a few such texts shall not set the scale.
-        return np.stack(
-            [np.clip(sums / sizes, -0.2, 0.2), np.clip(sums / np.sqrt(sizes), -3, 3)], axis=1
-        )
+        # The curve flattens where the class is plain: a few such texts shall not set the scale.
+        return np.stack([np.arctan(sums / sizes / 0.2), np.arctan(sums / np.sqrt(sizes))], axis=1)
 
 
 @dataclass(frozen=True)
@@ -209,9 +213,9 @@ def _test(texts: list[int]) -> Column:
 
 
 def _telling(table: DataFrame, texts: list[int], params: ToxicityParams) -> dict:
-    """The rows that may be kept by the whole model or by one of its halves, as arrays."""
+    """The rows with evidence, those with the most first, as arrays."""
     test = _test(texts)
-    kept = table.where(test >= params.least_test / 2).orderBy(test.desc(), "v", "w")
+    kept = table.where(test >= params.least_test).orderBy(test.desc(), "v", "w")
     found = kept.limit(params.entries).toArrow()
     return {n: c.to_numpy() for n, c in zip(found.column_names, found.columns, strict=True)}
 
@@ -240,7 +244,7 @@ def fit(
     rights = F.count(F.lit(1)).alias("rights")
     befores = pairs.groupBy("v").agg(*[F.sum(g).alias(f"v{g}") for g in _GROUPS], rights)
     afters = words.select("w", "lefts", *[F.col(g).alias(f"w{g}") for g in _GROUPS])
-    telling_pairs = pairs.where(_test(sizes) >= params.least_test / 2)
+    telling_pairs = pairs.where(_test(sizes) >= params.least_test)
     total = words.agg(
         *[F.sum(g).alias(g) for g in _GROUPS],
         F.sum("lefts").alias("lefts"),
@@ -263,7 +267,7 @@ def _of(table: dict, name: str, c: int, halves: list[int]) -> np.ndarray:
 def _ratios(
     words: dict, pairs: dict, totals: dict, texts: dict, params: ToxicityParams, halves: list[int]
 ) -> Ratios:
-    """Log-likelihood ratios of the words and pairs that a model of the given halves keeps."""
+    """The shrunk log ratios of a model of the given halves."""
     sizes = [sum(texts.get((c, h), 0) for h in halves) for c in (0, 1)]
     discount = params.discount
     whole = [_of(totals, "n", c, halves) for c in (0, 1)]
@@ -280,32 +284,31 @@ def _ratios(
         own = np.maximum(_of(pairs, "n", c, halves) - discount, 0) / np.maximum(before, 1)
         return own + fall * word_chance(pairs, "wn", c)
 
-    kept_words = _kept(words, sizes, params, halves, [word_chance(words, "n", c) for c in (0, 1)])
-    kept_pairs = _kept(pairs, sizes, params, halves, [pair_chance(c) for c in (0, 1)])
-    word_keys = words["w"].view(np.uint64)
+    def evidence(table: dict, name: str) -> np.ndarray:
+        counts = [_of(table, name, c, halves) for c in (0, 1)]
+        test = np.zeros(len(counts[0]))
+        for count, size in zip(counts, sizes, strict=True):
+            expected = np.maximum(sum(counts) * size / max(sum(sizes), 1), 1e-12)
+            test += 2 * count * np.log(np.maximum(count, 1e-12) / expected)
+        test = np.maximum(test, 0)
+        # A half has half the evidence for the same difference.
+        return (test / (test + params.evidence * len(halves) / 2)) ** 2
+
+    def word_ratio(table: dict, name: str) -> np.ndarray:
+        chance = [word_chance(table, name, c) for c in (0, 1)]
+        return evidence(table, name) * np.log(chance[1] / chance[0])
+
+    own = evidence(pairs, "n")
+    pair_ratio = own * np.log(pair_chance(1) / pair_chance(0))
+    pair_ratio += (1 - own) * word_ratio(pairs, "wn")
     pair_keys = _pair(pairs["v"].view(np.uint64), pairs["w"].view(np.uint64))
-    return Ratios(*_ordered(word_keys, *kept_words), *_ordered(pair_keys, *kept_pairs))
-
-
-def _kept(
-    table: dict, sizes: list[int], params: ToxicityParams, halves: list[int], chance: list
-) -> tuple[np.ndarray, np.ndarray]:
-    counts = [_of(table, "n", c, halves) for c in (0, 1)]
-    both = counts[0] + counts[1]
-    test = np.zeros(len(both))
-    for count, size in zip(counts, sizes, strict=True):
-        expected = np.maximum(both * size / max(sum(sizes), 1), 1e-12)
-        test += 2 * count * np.log(np.maximum(count, 1e-12) / expected)
-    ratio = np.log(chance[1] / chance[0])
-    # A half has half the evidence for the same difference.
-    least = params.least_test * len(halves) / 2
-    return (test >= least) & (np.abs(ratio) >= params.least_ratio), ratio
-
-
-def _ordered(
-    keys: np.ndarray, kept: np.ndarray, ratio: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    keys, ratio = keys[kept], ratio[kept]
+    return Ratios(
+        *_ordered(words["w"].view(np.uint64), word_ratio(words, "n")),
+        *_ordered(pair_keys, pair_ratio),
+    )
+
+
+def _ordered(keys: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     return keys[order], ratio[order]
 
@@ -329,7 +332,14 @@ def _curve(rows: DataFrame, halves: list[Ratios]) -> np.ndarray:
     table = scored.toArrow()
     target = table["toxic"].to_numpy().astype(float)
     features = np.stack([table["a"].to_numpy(), table["b"].to_numpy()], axis=1)
-    return _logistic(features, target)
+    # More evidence must not lower a score: a feature with a negative weight is left out.
+    for used in ([0, 1], [1], [0], []):
+        found = _logistic(features[:, used], target)
+        if (found[:-1] >= 0).all():
+            break
+    weights = np.zeros(3)
+    weights[[*used, 2]] = found
+    return weights
 
 
 def _logistic(features: np.ndarray, target: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
@@ -339,7 +349,7 @@ def _logistic(features: np.ndarray, target: np.ndarray, ridge: float = 1e-4) ->
     share = target.mean()
     weight = np.where(target == 1, 0.5 / share, 0.5 / (1 - share)) / len(target)
     w = np.zeros(x.shape[1])
-    penalty = np.diag([ridge, ridge, 0.0])
+    penalty = np.diag([ridge] * (len(w) - 1) + [0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (weight * (p - target)) + penalty @ w
