@@ -77,6 +77,31 @@ def test_held_out_names_are_told_apart(spark):
     assert np.mean(right) > 0.75
 
 
+def plain_features(host, path, params):
+    """(bucket, count) of the n-grams of one URL, byte by byte."""
+    found = {}
+    for salt, text in ((1, host.encode()), (2, path.encode())):
+        for size in params.sizes:
+            for at in range(len(text) - size + 1):
+                key = np.array([salt * 16 + size], np.uint64)
+                for byte in text[at : at + size]:
+                    key = urls.mixed(key * np.uint64(257) + np.uint64(byte))
+                bucket = int(key[0] % np.uint64(params.buckets))
+                found[bucket] = found.get(bucket, 0) + 1
+    return found
+
+
+def test_scores_follow_the_formula(spark, model):
+    rows = [(i, u) for i, u in enumerate(URLS) if not u or len(u) < 1000]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r["page_id"]: r["score"] for r in urls.judged(frame, model).collect()}
+    for i, url in rows:
+        found = plain_features(*parts(url), model.params)
+        size = max(sum(found.values()), 1)
+        slope = sum(n * model.weights[b] for b, n in found.items()) / np.sqrt(size)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-slope - model.intercept)))
+
+
 def test_known_names_are_learnt(spark, model):
     rows = [(i, f"http://shop.{n}.example.net/new/{i}", y) for y in (0, 1)
             for i, n in enumerate(urls._NAMES[y].split(), 100 * y)]
