@@ -104,3 +104,25 @@ def test_bytes_that_are_no_text(spark):
     machine = pieces.encoder(PATH).transducer
     byte = machine.byte_ids[0xE6]
     assert machine.decoded([byte]) == "�" and machine.decoded([]) == ""
+
+
+def test_memories_are_bounded_in_bytes(monkeypatch):
+    """Long runs without spaces are not remembered, and a full memory starts anew, in the middle of a
+    text too."""
+    encoder = pieces.Encoder(PATH)
+    for i in range(20):
+        encoder.ids("日本語" * 1000 + str(i))
+    assert len(encoder.marked) == len(encoder.bare) == 0
+    encoder = pieces.Encoder(PATH)
+    machine = encoder.transducer
+    memories = (encoder.marked, encoder.bare, encoder.marked.parts, machine)
+    monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 20_000)
+    fullest = 0
+    for i in range(400):
+        text = f"wordé{i} unknowable{i * 7919}ness.\nline{i}  of 日本{chr(0x4E00 + i)}"
+        data = encoder.ids(text)
+        assert list(struct.unpack(f"<{len(data) // 4}I", data)) == LIBRARY.encode(text)
+        assert all(m.held <= 20_000 for m in memories)
+        fullest = max(fullest, len(encoder.marked), len(machine.allowed))
+        assert sum(map(len, machine.allowed.values())) * pieces._FOLLOWER <= 20_000
+    assert 0 < fullest < 100

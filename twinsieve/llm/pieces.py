@@ -10,11 +10,12 @@ In a model of merges a plain least path would not be the encoding: merges happen
 their scores. There the lattice is also composed with an acceptor of neighbouring pieces. Two pieces
 may stand next to each other only if merging their joined characters gives these two pieces again;
 merging a text gives just the one segmentation whose neighbours all may. The acceptor's arcs are
-made when a pair is first met, and kept.
+made when a pair is first met, and kept up to a bound in bytes.
 
 Between two characters that no piece holds next to each other, a text falls into runs and parts of
 runs that are encoded by themselves. Such places are before a space mark, around a line end, and
-mostly between letters and punctuation. A worker remembers the ids of a bounded number of them.
+mostly between letters and punctuation. A worker remembers the ids of some of them, up to
+a bound in bytes.
 
 Defined results: null gives null. An empty text has no ids, and no ids give an empty text. Decoding
 takes bytes that are no UTF-8 as U+FFFD. A text that holds U+2581 itself comes back with a
@@ -36,8 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
-# Runs that a worker remembers, and rows that it encodes at a time.
-REMEMBERED = 1 << 19
+# Bytes that a Python worker spends on each of its memories: ids of parts, of runs after a space mark and
+# of other runs, and which pieces follow each other. A memory is emptied when full. Runs of more
+# characters are not remembered.
+REMEMBERED_BYTES = 96 << 20
+LONGEST_RUN = 128
+# About what an entry takes besides its characters and ids, and what a table of followers takes.
+_ENTRY, _FOLLOWER, _FOLLOWERS = 220, 160, 400
+# Rows that a worker encodes at a time.
 ROWS = 512
 # Kinds of piece in a model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -130,7 +137,9 @@ class Transducer:
         self.lexicon |= {t: -model.pieces[i].score for t, i in self.ids.items()}
         ranks = {w: i for i, w in enumerate(sorted({self.lexicon[t] for t in self.ids}))}
         self.ranks = {t: ranks[self.lexicon[t]] for t in self.ids}
+        # Pieces that were met next to each other; the table is emptied when its bytes are spent.
         self.allowed: dict[str, dict[str, bool]] = {}
+        self.held = 0
         joined = [t for t in self.ids if len(t) > 1]
         self.inside = {t[i : i + 2] for t in joined for i in range(len(t) - 1)}
         self.spaces_lead = not any(SPACE in t.lstrip(SPACE) for t in joined)
@@ -148,10 +157,26 @@ class Transducer:
 
     def may_follow(self, left: str, right: str) -> bool:
         """Whether merging the joined characters gives these two pieces."""
-        known = self.allowed.setdefault(left, {})
-        if right not in known:
-            known[right] = self._merge_apart(left, right)
-        return known[right]
+        fits = self.followers(left).get(right)
+        if fits is None:
+            fits = self._merge_apart(left, right)
+            self._spend(_FOLLOWER + 2 * len(right))
+            self.followers(left)[right] = fits
+        return fits
+
+    def followers(self, left: str) -> dict[str, bool]:
+        """What is known of the pieces after one."""
+        known = self.allowed.get(left)
+        if known is None:
+            self._spend(_FOLLOWERS + 2 * len(left))
+            known = self.allowed[left] = {}
+        return known
+
+    def _spend(self, size: int) -> None:
+        if self.held + size > REMEMBERED_BYTES:
+            self.allowed.clear()
+            self.held = 0
+        self.held += size
 
     def _merge_apart(self, left: str, right: str) -> bool:
         """Merge the best neighbours again and again, the first ones of equals; false as soon as
@@ -221,7 +246,9 @@ class Transducer:
                     continue
                 known = None
             else:
-                known = allowed.setdefault(before, {})
+                known = allowed.get(before)
+                if known is None:
+                    known = self.followers(before)
             end = start
             while end < size:
                 end += 1
@@ -284,21 +311,36 @@ class Transducer:
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
-class _PartIds(dict):
-    """Ids of parts of runs met before, as bytes of little-endian 32-bit numbers."""
+class _Memory(dict):
+    """Ids by run, as bytes of little-endian 32-bit numbers, of bounded size in bytes."""
+
+    held = 0
+
+    def remember(self, run: str, ids: bytes) -> None:
+        if len(run) > LONGEST_RUN:
+            return
+        size = _ENTRY + 2 * len(run) + len(ids)
+        if self.held + size > REMEMBERED_BYTES:
+            self.clear()
+            self.held = 0
+        self.held += size
+        self[run] = ids
+
+
+class _PartIds(_Memory):
+    """Ids of parts of runs met before."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer = transducer
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[part] = array("I", self.transducer.run_ids(part)).tobytes()
+        found = array("I", self.transducer.run_ids(part)).tobytes()
+        self.remember(part, found)
         return found
 
 
-class RunIds(dict):
+class RunIds(_Memory):
     """Ids of runs met before. The key is what follows a space mark, or with an empty ``mark`` the
     run itself."""
 
@@ -307,10 +349,9 @@ class RunIds(dict):
         self.parts, self.mark = parts, mark
 
     def __missing__(self, run: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         parts = self.parts.transducer.apart(self.mark + run)
-        found = self[run] = b"".join(map(self.parts.__getitem__, parts))
+        found = b"".join(map(self.parts.__getitem__, parts))
+        self.remember(run, found)
         return found
 
 
