@@ -40,7 +40,7 @@ SPACE = "▁"
 # Bytes that a Python worker spends on each of its memories: ids of parts, of runs after a space mark and
 # of other runs, and which pieces follow each other. A memory is emptied when full. Runs of more
 # characters are not remembered.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 160 << 20
 LONGEST_RUN = 128
 # About what an entry takes besides its characters and ids, and what a table of followers takes.
 _ENTRY, _FOLLOWER, _FOLLOWERS = 220, 160, 400
