@@ -65,6 +65,18 @@ def test_metrics_without_a_value_are_left_out(rows):
     assert got[("Dataset", "*", "Size")] == "0.0"
 
 
+def test_large_whole_numbers_keep_their_digits(spark):
+    numbers = spark.createDataFrame([(9999999.0,), (36e6,), (2.0**62,)], "d double")
+    got = values(profile(numbers, ProfileSpec((), ("d",))))
+    assert got[("Column", "d", "Minimum")] == "9999999.0"
+    assert got[("Column", "d", "Maximum")] == f"{2**62}.0"
+    many = profile(spark.range(10_000_000), ProfileSpec())
+    assert [r.value for r in metric(many, "Size").collect()] == ["10000000.0"]
+    odd = spark.createDataFrame([(float("inf"),)], "d double")
+    got = values(profile(odd, ProfileSpec((), ("d",))))
+    assert got[("Column", "d", "Maximum")] == "Infinity"
+
+
 def test_uniqueness_of_an_absent_key_is_left_out(rows):
     got = values(profile(rows, REPOSITORY_PROFILE))
     assert ("Multicolumn", "repo_id,path,commit_sha", "Uniqueness") not in got

@@ -89,7 +89,7 @@ def profile_rows(
 ) -> DataFrame:
     """The profile in long form, from totals named p0, p1, ... in the order of ``aggregates``."""
     rows = [
-        _row(entity, instance, name, F.col(f"p{i}").cast("string"))
+        _row(entity, instance, name, _number_text(F.col(f"p{i}")))
         for i, (entity, instance, name, _) in enumerate(aggregates)
     ]
     rows.append(_row("Dataset", "*", "schema", F.lit(df.schema.json())))
@@ -110,7 +110,7 @@ def numbered_rows(
     """Metrics in long form, from aggregates over ``df`` and one that is the schema's JSON."""
     totals = df.agg(*[a[3].alias(f"p{i}") for i, a in enumerate(aggregates)], schema.alias("s"))
     rows = [
-        _row(entity, instance, name, F.col(f"p{i}").cast("string"))
+        _row(entity, instance, name, _number_text(F.col(f"p{i}")))
         for i, (entity, instance, name, _) in enumerate(aggregates)
     ]
     rows.append(_row("Dataset", "*", "schema", F.col("s")))
@@ -122,6 +122,14 @@ def metric(metrics: DataFrame, name: str, entity: str = "Dataset") -> DataFrame:
     return metrics.filter((F.col("entity") == entity) & (F.col("name") == name)).select("value")
 
 
+def _number_text(value: Column) -> Column:
+    """A DOUBLE as text. Whole numbers from 10^7 on keep their digits; a cast gives an exponent."""
+    size = F.abs(value)
+    whole = (size >= 1e7) & (size < 2.0**63) & (F.rint(value) == value)
+    digits = F.concat(value.cast("bigint").cast("string"), F.lit(".0"))
+    return F.when(whole, digits).otherwise(value.cast("string"))
+
+
 def _row(entity: str, instance: str, name: str, value: Column) -> Column:
     return F.struct(
         F.lit(entity).alias("entity"),
