@@ -129,8 +129,9 @@ def row_id_attach(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def row_id_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{sf}/documents.parquet"
-    return read_with_row_id(spark, path, Workspace(spark), columns=["doc_id", "n_chars"])
+    """Ids in the order of the key, whether the table is one file in that order or not."""
+    path, columns = f"{sf}/documents.parquet", ["doc_id", "n_chars"]
+    return read_with_row_id(spark, path, Workspace(spark), columns=columns, order_by=["doc_id"])
 
 
 def staged_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

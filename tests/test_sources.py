@@ -109,6 +109,21 @@ def test_file_row_ids_do_not_depend_on_the_scan(spark, workspace):
         read_with_row_id(spark, path, workspace, column="id")
 
 
+def test_row_ids_by_key_are_those_of_one_sorted_file(spark, workspace):
+    """However many files hold the rows, and in whatever order."""
+    one, many = workspace.path("one"), workspace.path("many")
+    rows = spark.range(3000).selectExpr("id * 3 AS id", "id % 7 AS n")
+    rows.coalesce(1).write.parquet(one)
+    rows.repartition(5, "id").write.parquet(many)
+    expected = plain.pairs(read_with_row_id(spark, one, workspace), "id", "row_id")
+    got = read_with_row_id(spark, many, workspace, columns=["n", "id"], order_by=["id"])
+    assert got.columns == ["n", "id", "row_id"]
+    assert plain.pairs(got, "id", "row_id") == expected
+    got = read_with_row_id(spark, many, workspace, columns=["n"], order_by=["id"])
+    assert got.columns == ["n", "row_id"]
+    assert {r for _, r in plain.pairs(got, "n", "row_id")} == {r for _, r in expected}
+
+
 def test_small_scans_fill_the_cluster_and_large_ones_stay(spark, workspace):
     small = workspace.stage(spark.range(100).coalesce(1), "small")
     assert "Exchange" in plan(fill_cluster(small, "id"))
