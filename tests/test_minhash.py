@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -90,6 +91,41 @@ def test_many_hashes_are_done_in_parts():
     assert minhash._minima(hashes, a, b)[:5].tolist() == expected
 
 
+def test_minima_of_any_hashes():
+    """Sets of one to many hashes, repeated and near ones, against the plain remainder."""
+    rng = np.random.default_rng(8)
+    a, b = minhash.permutations(64).T.copy()
+    for size in (*range(1, 40), 1000, 5000):
+        hashes = rng.integers(0, 2**32, size, dtype=np.uint64)
+        hashes[: size // 2] = hashes[size - size // 2 :] ^ np.uint64(size % 3)
+        expected = minhash._exact_minima(hashes, a, b)
+        assert minhash._minima(hashes, a, b).tolist() == expected.tolist()
+
+
+def test_values_that_differ_only_above_the_low_bits():
+    """The smallest low bits are not those of the smallest value."""
+    a, b = np.array([1 + (3 << 61)], np.uint64), np.zeros(1, np.uint64)
+    for low in range(100, 140):
+        hashes = np.arange(low, low + 9, dtype=np.uint64)
+        expected = min((int(h) * int(a[0])) % 2**64 % PRIME % 2**32 for h in hashes)
+        assert minhash._minima(hashes, a, b).tolist() == [expected]
+
+
+def test_batches_leave_in_parts():
+    """What a task holds beside the batch it was given does not grow with the batch."""
+    function = minhash.signature_rows(2, 2, 16)
+    texts = [None if i % 5 == 0 else f"a b c {i % 700}" for i in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array(texts)], ["id", "text"])
+    parts = list(function(iter([batch])))
+    assert max(p.num_rows for p in parts) <= 512
+    got = {i: s for p in parts for i, s in zip(*(c.to_pylist() for c in p.columns))}
+    pairs = minhash.permutations(16).tolist()
+    assert list(got) == [i for i in range(5000) if i % 5]
+    for i in (1, 2, 699, 701, 4999):
+        assert unpack(got[i]) == plain.signature(texts[i], pairs, 2, 2)
+    assert got[1] == got[701]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=80), st.integers(1, 6), st.integers(0, 8))
 def test_hashes_of_any_text(text, n, least):

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import hashlib
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+from twinsieve.functions.digests import sha1_heads
+
 # The helpers below travel with the tasks, so the executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -24,11 +26,14 @@ SEED = 42
 
 _WORD_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_0123456789"
 _SPACE = 32
-# Cells of the (shingles x permutations) work array; two of these stay inside a core's cache.
-_CELLS = 1 << 15
+# Cells of the (shingles x permutations) work array, which stays inside a core's cache, and the
+# shingles in a run, of which the first step finds the smallest value alone.
+_CELLS, _RUN = 1 << 15, 16
 # N-grams of one text that are hashed at a time.
 _PART = 1 << 16
-# Signatures a task remembers, by a digest of the text, so copies of a text cost one hash.
+# N-grams of several texts that are digested together, and rows of a batch that leave together.
+_GROUP, _ROWS = 1 << 16, 512
+# Signatures a task remembers (and those of one part more), by a digest of the text, so copies of a text cost one hash.
 _KNOWN = 4096
 
 
@@ -55,57 +60,93 @@ def text_hashes(
 ) -> Iterator[np.ndarray]:
     """32-bit hashes of all word n-grams of a UTF-8 text; repeated n-grams are not removed.
 
-    They come in parts, so a very long text needs little more memory than itself. Once each
-    separator character is one space, an n-gram joined by spaces is a plain slice of the text,
-    so no token list is built. UTF-8 continuation bytes are dropped first to leave one byte for
-    a character.
+    They come in parts, so a very long text needs little more memory than itself.
+    """
+    flat, starts, ends = _ngrams(text, n, min_tokens, classes)
+    for at in range(0, len(starts), _PART):
+        some = slice(at, at + _PART)
+        yield sha1_heads(flat, starts[some], ends[some]).astype(np.uint64)
+
+
+def _ngrams(
+    text: bytes, n: int, min_tokens: int, classes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(flat, starts, ends): the n-grams of a text are the slices of ``flat``.
+
+    Once each separator character is one space, an n-gram joined by spaces is a plain slice of
+    the text, so no token list is built. UTF-8 continuation bytes are dropped first to leave one
+    byte for a character.
     """
     raw = np.frombuffer(text, dtype=np.uint8)
     flat = classes[raw[(raw & 0xC0) != 0x80]]
     gaps = np.flatnonzero(flat == _SPACE)
     n_tokens = len(gaps) + 1
     if n_tokens < max(n, min_tokens):
-        return
-    data = flat.tobytes()
+        return flat, gaps[:0], gaps[:0]
     starts = np.concatenate(([0], gaps + 1))[: n_tokens - n + 1]
-    ends = np.concatenate((gaps, [len(data)]))[n - 1 :]
-    sha1 = hashlib.sha1
-    for at in range(0, len(starts), _PART):
-        slices = zip(starts[at : at + _PART].tolist(), ends[at : at + _PART].tolist())
-        digests = b"".join([sha1(data[s:e]).digest() for s, e in slices])
-        yield np.frombuffer(digests, dtype="<u4")[::5].astype(np.uint64)
+    ends = np.concatenate((gaps, [len(flat)]))[n - 1 :]
+    return flat, starts, ends
+
+
+def _group_hashes(grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The hashes of each of several texts, from their n-grams, all digested at once."""
+    shifts = np.cumsum([0] + [len(flat) for flat, _, _ in grams])
+    counts = np.cumsum([0] + [len(starts) for _, starts, _ in grams])
+    starts = np.concatenate([g[1] + shift for g, shift in zip(grams, shifts)])
+    ends = np.concatenate([g[2] + shift for g, shift in zip(grams, shifts)])
+    hashes = sha1_heads(np.concatenate([g[0] for g in grams]), starts, ends).astype(np.uint64)
+    return [hashes[i:j] for i, j in zip(counts, counts[1:])]
 
 
 def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest permuted value of each permutation, ((h*a + b) mod 2^64) mod p, low 32 bits.
 
     With x = h*a + b wrapped at 2^64 and p = 2^61 - 1, x mod p is (x mod 2^61) + (x >> 61),
-    less p where that sum reaches p. The low 32 bits of the sum need no mask, so with y = x + 1
-    the quick form is w = low32(y + (y >> 61)), one more than the wanted value. Where the sum
-    reaches p, which is rare, w lies in 0..7. A minimum of w above 7 proves that no such value
-    took part; any other set of hashes is done again with the plain remainder.
+    less p where that sum reaches p. So the wanted value is low32(x) and 0 to 7 more, unless
+    low32(x) is one of the eight largest numbers, from where it may reach p or pass 2^32.
+
+    With z = low32(x) + 8, which takes 32-bit arithmetic alone, a smallest z of 8 or more
+    proves that no such number took part, and that the smallest value belongs to a z at most 7
+    above the smallest. Few runs of hashes hold such a z, and only those are done in 64 bits.
+    Any other set of hashes is done with the plain remainder.
     """
-    best = _least(hashes, a, b + np.uint64(1), exact=False)
-    return _least(hashes, a, b, exact=True) if (best <= 7).any() else best - np.uint32(1)
+    spare = -len(hashes) % _RUN
+    runs = np.concatenate([hashes, np.repeat(hashes[-1:], spare)]).reshape(-1, _RUN)
+    lows = _least_of_runs(runs.astype(np.uint32), a, b)
+    least = lows.min(axis=0)
+    if (least < 8).any():
+        return _exact_minima(hashes, a, b)
+    near = lows <= np.minimum(least, np.uint32(0xFFFFFFF8)) + np.uint32(7)
+    row, k = np.divmod(np.flatnonzero(near), len(a))
+    x = runs[row] * a[k, None] + b[k, None]
+    x += x >> np.uint64(61)
+    best = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
+    np.minimum.at(best, k, x.astype(np.uint32).min(axis=1))
+    return best
 
 
-def _least(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, exact: bool) -> np.ndarray:
-    prime, top = np.uint64(MERSENNE_PRIME), np.uint64(61)
-    rows = max(1, _CELLS // len(a))
+def _least_of_runs(runs: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(runs, permutations): the smallest low32(h*a + b + 8) of each run of hashes."""
+    a, b = a.astype(np.uint32), (b + np.uint64(8)).astype(np.uint32)
+    rows = max(1, _CELLS // len(a) // _RUN)
+    lows = np.empty((len(runs), len(a)), dtype=np.uint32)
+    z = np.empty((min(rows, len(runs)), _RUN, len(a)), dtype=np.uint32)
+    for start in range(0, len(runs), rows):
+        part = runs[start : start + rows]
+        zs = z[: len(part)]
+        np.multiply(part[:, :, None], a, out=zs)
+        zs += b
+        np.minimum.reduce(zs, axis=1, out=lows[start : start + rows])
+    return lows
+
+
+def _exact_minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     best = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
-    x = np.empty((min(rows, len(hashes)), len(a)), dtype=np.uint64)
-    carry = np.empty_like(x)
+    rows = max(1, _CELLS // len(a))
     for start in range(0, len(hashes), rows):
-        part = hashes[start : start + rows]
-        xs, cs = x[: len(part)], carry[: len(part)]
-        np.multiply(part[:, None], a, out=xs)
-        xs += b
-        if exact:
-            xs %= prime
-        else:
-            np.right_shift(xs, top, out=cs)
-            xs += cs
-        np.minimum(best, xs.astype(np.uint32).min(axis=0), out=best)
+        x = hashes[start : start + rows, None] * a + b
+        x %= np.uint64(MERSENNE_PRIME)
+        np.minimum(best, x.astype(np.uint32).min(axis=0), out=best)
     return best
 
 
@@ -115,7 +156,8 @@ def signature_rows(
     """A function for ``mapInArrow`` that turns (id, text) batches into (id, signature) ones.
 
     A null text, or one without n-grams, gives no row. ``used`` limits the work to the first
-    permutations, those that some band reads.
+    permutations, those that some band reads. Batches leave in parts, so that beside the batch
+    Spark hands over a task holds one part of it and what it remembers.
     """
     if n < 1 or min_tokens < 0 or num_perm < 1:
         raise ValueError(f"bad sizes: n={n}, min_tokens={min_tokens}, num_perm={num_perm}")
@@ -124,23 +166,47 @@ def signature_rows(
     classes = _byte_classes()
     known: dict[bytes, bytes | None] = {}
 
-    def pack(text: pa.StringScalar) -> bytes | None:
-        if not text.is_valid:
-            return None
-        data = text.as_buffer()
-        digest = hashlib.sha256(data).digest()
-        if digest not in known:
-            if len(known) == _KNOWN:
-                known.clear()
-            minima = [_minima(part, a, b) for part in text_hashes(data, n, min_tokens, classes)]
-            known[digest] = np.minimum.reduce(minima).astype(">u4").tobytes() if minima else None
-        return known[digest]
+    def packed(parts: Iterable[np.ndarray]) -> bytes | None:
+        minima = [_minima(part, a, b) for part in parts]
+        return np.minimum.reduce(minima).astype(">u4").tobytes() if minima else None
+
+    def learn(texts: dict[bytes, pa.Buffer]) -> None:
+        """Signatures of new texts, whose n-grams are digested a good many at a time."""
+        waiting: dict[bytes, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        held = 0
+
+        def finish() -> None:
+            for digest, hashes in zip(waiting, _group_hashes(list(waiting.values()))):
+                known[digest] = packed([hashes])
+            waiting.clear()
+
+        for digest, data in texts.items():
+            grams = _ngrams(data, n, min_tokens, classes)
+            if not len(grams[1]):
+                known[digest] = None
+            elif len(grams[1]) > _PART:
+                known[digest] = packed(text_hashes(data, n, min_tokens, classes))
+            else:
+                waiting[digest] = grams
+                held += len(grams[1])
+                if held >= _GROUP:
+                    finish()
+                    held = 0
+        if waiting:
+            finish()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = pa.array([pack(text) for text in batch.column("text")], pa.binary())
-            rows = pa.RecordBatch.from_arrays([batch.column("id"), packed], ["id", "signature"])
-            yield rows.filter(packed.is_valid())
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                buffers = [t.as_buffer() if t.is_valid else None for t in part.column("text")]
+                digests = [None if t is None else hashlib.sha256(t).digest() for t in buffers]
+                if len(known) > _KNOWN:
+                    known.clear()
+                learn({d: t for d, t in zip(digests, buffers) if d and d not in known})
+                found = pa.array([known[d] if d else None for d in digests], pa.binary())
+                rows = pa.RecordBatch.from_arrays([part.column("id"), found], ["id", "signature"])
+                yield rows.filter(found.is_valid())
 
     return signed
 
