@@ -111,6 +111,20 @@ def test_values_that_differ_only_above_the_low_bits():
         assert minhash._minima(hashes, a, b).tolist() == [expected]
 
 
+def test_minima_of_many_texts_at_once():
+    rng = np.random.default_rng(9)
+    a, b = minhash.permutations(20).T.copy()
+    texts = [rng.integers(0, 2**32, n, dtype=np.uint64) for n in (1, 15, 16, 17, 300, 2, 64)]
+    # The inverse of a puts one hash of a text where only the plain remainder is right.
+    odd = int(np.flatnonzero(a & np.uint64(1))[0])
+    inverse = pow(int(a[odd]), -1, 2**32)
+    texts[4][7] = (2**32 - 3 - int(b[odd])) * inverse % 2**32
+    got = minhash._group_minima(texts, a, b)
+    assert got.shape == (len(texts), 20)
+    for hashes, found in zip(texts, got):
+        assert found.tolist() == minhash._exact_minima(hashes, a, b).tolist()
+
+
 def test_batches_leave_in_parts():
     """What a task holds beside the batch it was given does not grow with the batch."""
     function = minhash.signature_rows(2, 2, 16)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,8 @@ SEED = 42
 
 _WORD_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_0123456789"
 _SPACE = 32
-# Cells of the (shingles x permutations) work array, which stays inside a core's cache, and the
-# shingles in a run, of which the first step finds the smallest value alone.
+# Cells of the exact (shingles x permutations) work array, which stays inside a core's cache, and
+# the shingles in a run, of which the first step finds the smallest value alone.
 _CELLS, _RUN = 1 << 15, 16
 # N-grams of one text that are hashed at a time.
 _PART = 1 << 16
@@ -99,7 +99,13 @@ def _group_hashes(grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> lis
 
 
 def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest permuted value of each permutation, ((h*a + b) mod 2^64) mod p, low 32 bits.
+    """The minima of one text, see ``_group_minima``."""
+    return _group_minima([hashes], a, b)[0]
+
+
+def _group_minima(texts: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest permuted value, ((h*a + b) mod 2^64) mod p, low 32 bits, of each text (rows) and
+    permutation, from the hashes of the texts.
 
     With x = h*a + b wrapped at 2^64 and p = 2^61 - 1, x mod p is (x mod 2^61) + (x >> 61),
     less p where that sum reaches p. So the wanted value is low32(x) and 0 to 7 more, unless
@@ -108,36 +114,33 @@ def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     With z = low32(x) + 8, which takes 32-bit arithmetic alone, a smallest z of 8 or more
     proves that no such number took part, and that the smallest value belongs to a z at most 7
     above the smallest. Few runs of hashes hold such a z, and only those are done in 64 bits.
-    Any other set of hashes is done with the plain remainder.
+    Texts with any other set of hashes are done with the plain remainder.
     """
-    spare = -len(hashes) % _RUN
-    runs = np.concatenate([hashes, np.repeat(hashes[-1:], spare)]).reshape(-1, _RUN)
-    lows = _least_of_runs(runs.astype(np.uint32), a, b)
-    least = lows.min(axis=0)
-    if (least < 8).any():
-        return _exact_minima(hashes, a, b)
-    near = lows <= np.minimum(least, np.uint32(0xFFFFFFF8)) + np.uint32(7)
-    row, k = np.divmod(np.flatnonzero(near), len(a))
-    x = runs[row] * a[k, None] + b[k, None]
-    x += x >> np.uint64(61)
-    best = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
-    np.minimum.at(best, k, x.astype(np.uint32).min(axis=1))
-    return best
-
-
-def _least_of_runs(runs: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """(runs, permutations): the smallest low32(h*a + b + 8) of each run of hashes."""
-    a, b = a.astype(np.uint32), (b + np.uint64(8)).astype(np.uint32)
-    rows = max(1, _CELLS // len(a) // _RUN)
-    lows = np.empty((len(runs), len(a)), dtype=np.uint32)
-    z = np.empty((min(rows, len(runs)), _RUN, len(a)), dtype=np.uint32)
-    for start in range(0, len(runs), rows):
-        part = runs[start : start + rows]
-        zs = z[: len(part)]
-        np.multiply(part[:, :, None], a, out=zs)
-        zs += b
-        np.minimum.reduce(zs, axis=1, out=lows[start : start + rows])
-    return lows
+    counts = np.array([-(-len(h) // _RUN) for h in texts])
+    firsts = np.cumsum(counts) - counts
+    text_of = np.repeat(np.arange(len(texts)), counts)
+    filled = [part for h in texts for part in (h, np.repeat(h[-1:], -len(h) % _RUN))]
+    runs = np.concatenate(filled).reshape(-1, _RUN)
+    # Hashes of a run lie below each other, so that all steps go along whole rows.
+    columns = np.ascontiguousarray(runs.T, dtype=np.uint32)
+    z, low = np.empty_like(columns), np.empty(len(runs), dtype=np.uint32)
+    low_a, low_b = a.astype(np.uint32), (b + np.uint64(8)).astype(np.uint32)
+    best = np.full((len(a), len(texts)), 0xFFFFFFFF, dtype=np.uint32)
+    unsure = np.zeros(len(texts), dtype=bool)
+    for k in range(len(a)):
+        np.multiply(columns, low_a[k], out=z)
+        z += low_b[k]
+        np.minimum.reduce(z, axis=0, out=low)
+        least = np.minimum.reduceat(low, firsts)
+        unsure |= least < 8
+        limit = np.minimum(least, np.uint32(0xFFFFFFF8)) + np.uint32(7)
+        near = np.flatnonzero(low <= limit[text_of])
+        x = runs[near] * a[k] + b[k]
+        x += x >> np.uint64(61)
+        np.minimum.at(best[k], text_of[near], x.astype(np.uint32).min(axis=1))
+    for text in np.flatnonzero(unsure):
+        best[:, text] = _exact_minima(texts[text], a, b)
+    return best.T
 
 
 def _exact_minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -166,9 +169,8 @@ def signature_rows(
     classes = _byte_classes()
     known: dict[bytes, bytes | None] = {}
 
-    def packed(parts: Iterable[np.ndarray]) -> bytes | None:
-        minima = [_minima(part, a, b) for part in parts]
-        return np.minimum.reduce(minima).astype(">u4").tobytes() if minima else None
+    def packed(minima: np.ndarray) -> bytes:
+        return minima.astype(">u4").tobytes()
 
     def learn(texts: dict[bytes, pa.Buffer]) -> None:
         """Signatures of new texts, whose n-grams are digested a good many at a time."""
@@ -176,8 +178,8 @@ def signature_rows(
         held = 0
 
         def finish() -> None:
-            for digest, hashes in zip(waiting, _group_hashes(list(waiting.values()))):
-                known[digest] = packed([hashes])
+            hashes = _group_hashes(list(waiting.values()))
+            known.update(zip(waiting, map(packed, _group_minima(hashes, a, b))))
             waiting.clear()
 
         for digest, data in texts.items():
@@ -185,7 +187,8 @@ def signature_rows(
             if not len(grams[1]):
                 known[digest] = None
             elif len(grams[1]) > _PART:
-                known[digest] = packed(text_hashes(data, n, min_tokens, classes))
+                parts = text_hashes(data, n, min_tokens, classes)
+                known[digest] = packed(np.minimum.reduce([_minima(h, a, b) for h in parts]))
             else:
                 waiting[digest] = grams
                 held += len(grams[1])
