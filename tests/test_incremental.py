@@ -56,6 +56,13 @@ def make_unreadable(file):
     os.utime(file, ns=(about.st_atime_ns, about.st_mtime_ns))
 
 
+def test_the_file_list_takes_no_python_worker(spark, folder, texts):
+    add(spark, folder, texts, range(5), "a")
+    listed = source_files(scan(spark, folder))
+    assert listed.count() == 1
+    assert "ExistingRDD" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_only_new_and_changed_files_are_read(spark, folder, texts, workspace, tmp_path):
     root = str(tmp_path / "state")
 

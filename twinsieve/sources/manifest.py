@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,10 +25,11 @@ def source_files(scan: DataFrame) -> DataFrame:
     """(path, size, time_ms, stamp) of the files of a scan, which are listed and not opened.
 
     The driver holds the names of a scan's files anyway; sizes and times are looked up by tasks.
+    The names go there as Arrow, as a list of rows would start a Python worker on each core.
     """
     spark = scan.sparkSession
     names = sorted({_plain(name) for name in scan.inputFiles()})
-    wanted = spark.createDataFrame([(name,) for name in names], "path string")
+    wanted = spark.createDataFrame(pa.table({"path": pa.array(names, pa.string())}))
     folders = {name.rpartition("/")[0] for name in names}
     if not folders:
         return wanted.selectExpr("path", "0L AS size", "0L AS time_ms", "0L AS stamp")
