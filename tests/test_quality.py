@@ -24,6 +24,7 @@ from twinsieve.operators.profile import (
     metric,
     profile,
 )
+from twinsieve.operators.uniqueness import uniqueness_row
 
 ROWS = [(1, "a", 10, 1.5), (2, None, -5, 2.5), (2, "b", None, None), (3, "c", 1, 0.5)]
 
@@ -65,6 +66,20 @@ def test_metrics_without_a_value_are_left_out(rows):
     assert got[("Dataset", "*", "Size")] == "0.0"
 
 
+def test_totals_of_a_pass_take_no_python_worker(rows, workspace):
+    spec = ProfileSpec(("k", "s"), ("n", "d"), ("k",))
+    watched = Watched(rows, spec, [is_complete("s"), is_unique("k")])
+    workspace.stage(watched.frame, "watched")
+    totals = watched.totals()
+    assert totals.dtypes == [
+        (f.name, f.dataType.simpleString()) for f in watched._schema
+    ]
+    single = uniqueness_row(rows, ["k"], workspace)
+    assert single.first()["value"] == 0.5
+    for frame in (totals, single):
+        assert "ExistingRDD" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_whole_numbers_keep_their_digits(spark):
     numbers = spark.createDataFrame([(9999999.0,), (36e6,), (2.0**62,)], "d double")
     got = values(profile(numbers, ProfileSpec((), ("d",))))

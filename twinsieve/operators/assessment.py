@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from twinsieve.operators.checks import Constraint, applicable, check_rows, rule_aggregates
 from twinsieve.operators.profile import ProfileSpec, profile_aggregates, profile_rows
@@ -42,10 +42,13 @@ class Watched:
         self.frame = df.observe(self._seen, *columns)
 
     def totals(self) -> DataFrame:
-        """One row; waits for the first action on ``frame``."""
+        """One row; waits for the first action on ``frame``.
+
+        It is made of literals, as rows from a list would start a Python worker on each core.
+        """
         values = self._seen.get
-        row = tuple(values[name] for name in self._schema.names)
-        return self._spark.createDataFrame([row], self._schema)
+        row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in self._schema]
+        return self._spark.range(1, numPartitions=1).select(*row)
 
 
 def _totals(df: DataFrame, spec: ProfileSpec, rules: Sequence[Constraint]) -> list[Column]:

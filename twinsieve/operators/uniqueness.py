@@ -73,7 +73,8 @@ def uniqueness_row(
 ) -> DataFrame:
     """One row, ``value``: what ``key_uniqueness`` gives, by ``key_counts``."""
     value = key_counts(df, key, workspace, small).uniqueness()
-    return workspace.spark.createDataFrame([(value,)], "value double")
+    one = workspace.spark.range(1, numPartitions=1)
+    return one.select(F.lit(value).cast("double").alias("value"))
 
 
 def _suspect_rows(
