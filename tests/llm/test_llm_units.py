@@ -1,10 +1,13 @@
 """Substring dedup against a search in plain Python."""
 
 import re
+from pathlib import Path
 
 import edge
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from twinsieve.llm import units
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -217,3 +220,37 @@ def test_a_passage_without_spaces_is_found(spark, workspace):
     assert [data[a:b].decode() for a, b in zip(parts[1], parts[2])] == [
         "a", "\u3002", "\u65e5", "\U00020000", "b", "\U0001f600x"
     ]
+
+
+def test_units_are_not_written_and_untouched_texts_not_shuffled(spark, workspace):
+    rows = [(i, f"{own(i, 0)}\n{own(i, 1)}") for i in range(400)] + [(400, own(0, 0))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = units.deduplicated(frame, workspace, params=units.WINDOWS)
+    written = sum(p.stat().st_size for p in Path(workspace.root).rglob("*.parquet"))
+    assert written < sum(len(text) for _, text in rows) / 10
+    expected = {key: (text, []) for key, text in rows[:-1]}
+    assert result(got) == expected | {400: ("", [[0, len(own(0, 0))]])}
+    found = spark.createDataFrame([(400,)], "rank bigint").withColumn("copy", F.lit(0).cast("bigint"))
+    keyed = frame.select(F.col("doc_id").alias("rank"), F.lit(0).cast("bigint").alias("copy"), "text")
+    others, touched = units._parted(keyed, found)
+    assert others.count() >= 395 and others.count() + touched.count() == 401
+    assert others.where("rank = 400").isEmpty()
+    assert "hashpartitioning(rank" not in others._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_list_of_places_that_equals_a_digest_changes_nothing(spark, workspace, monkeypatch):
+    """A unit whose digest is the rank and copy of a text with a list is still the earliest one."""
+    batch = units._unit_batch
+    low, high = np.array([1]), np.array([2])
+    rows = [
+        batch(low, high, low, high, places=pa.array([[4, 5]], pa.list_(pa.int32()))),
+        batch(np.array([7]), np.array([8]), low, high, place=np.array([3], np.int32)),
+        batch(np.array([9]), np.array([8]), low, high, place=np.array([0], np.int32)),
+    ]
+    frame = spark.createDataFrame(pa.Table.from_batches(rows))
+    schema = frame.selectExpr(
+        "rank", "copy", "place", "transform(places, p -> int(p)) AS places", "low", "high"
+    )
+    monkeypatch.setattr(units, "_units", lambda rows, params: schema)
+    got = {(r["rank"], r["copy"]): sorted(r["places"]) for r in units.repeats(None, None).collect()}
+    assert got == {(1, 2): [4, 5], (9, 8): [0]}

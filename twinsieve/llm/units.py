@@ -24,10 +24,12 @@ every other one is removed, also in the same text. A removed unit takes the whit
 along; what is left keeps its bytes. Each removed span is reported in characters of the original.
 
 1. One scan gives (rank, place, digest) for each unit. Of a digest that a block of rows has several
-   times, only the earliest goes on; the others are known to be later. So a line that a third of all
-   rows share is one row per block.
-2. Of the occurrences with equal digests all but the earliest are to be removed: one shuffle.
-3. The places to remove are gathered per row, and the row's text is cut.
+   times, only the earliest goes on; the others are known to be later and leave as one list of places
+   per text. So a line that a third of all rows share is one row per block.
+2. Of the occurrences with equal digests all but the earliest are to be removed: one shuffle, right
+   from the scan, as a written copy of all units is larger than the texts.
+3. The places to remove are gathered per row, and the row's text is cut. A bit array tells the rows that
+   surely lose nothing, and their texts are not shuffled.
 
 Defined results: null texts stay null, with nothing removed. Empty texts and texts of white space
 have no units. Rows with the same id are told apart by a hash of the text; if the text is the same
@@ -45,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from twinsieve.llm.text import blocks, column_bytes, mixed, word_spans
+from twinsieve.operators.key_filter import with_maybe
 from twinsieve.sources.workspace import Workspace
 
 _NEWLINE = 10
@@ -269,11 +272,12 @@ def _contexts(
     return low, high, high - low >= min(params.least_line, params.least_words)
 
 
-_UNITS = "rank bigint, copy bigint, place int, low bigint, high bigint, later boolean"
+_UNITS = "rank bigint, copy bigint, place int, places array<int>, low bigint, high bigint"
 
 
 def _units(rows: DataFrame, params: UnitParams) -> DataFrame:
-    """A row per unit; ``later`` if the same block of rows has an earlier occurrence of it."""
+    """A row per unit with its ``place``, if it is the earliest in its block of rows, and a row per text
+    with the ``places`` of its other units. The latter has the text's rank and copy for a digest."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,42 +286,63 @@ def _units(rows: DataFrame, params: UnitParams) -> DataFrame:
             for begin, end in blocks(bounds):
                 part = data[bounds[begin] : bounds[end]]
                 found = find_units(part, bounds[begin : end + 1] - bounds[begin], params)
-                place = found.places()
+                place = found.places().astype(np.int32)
                 rank, copy = ranks[found.text + begin], copies[found.text + begin]
                 order = np.lexsort((place, copy, rank, found.high, found.low))
                 rank, copy, place = rank[order], copy[order], place[order]
-                low, high = found.low[order], found.high[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+                low, high = found.low[order].view(np.int64), found.high[order].view(np.int64)
+                new = _changes(low, high)
                 first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
                 later = (rank != rank[first]) | (copy != copy[first]) | (place != place[first])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rank),
-                        pa.array(copy),
-                        pa.array(place.astype(np.int32)),
-                        pa.array(low.view(np.int64)),
-                        pa.array(high.view(np.int64)),
-                        pa.array(later),
-                    ],
-                    names=["rank", "copy", "place", "low", "high", "later"],
-                )
+                yield _unit_batch(rank[new], copy[new], low[new], high[new], place=place[new])
+                at = np.flatnonzero(later)
+                at = at[np.lexsort((place[at], copy[at], rank[at]))]
+                rank, copy, place = rank[at], copy[at], place[at]
+                heads = np.flatnonzero(_changes(rank, copy))
+                lists = pa.ListArray.from_arrays(np.append(heads, len(at)).astype(np.int32), place)
+                yield _unit_batch(rank[heads], copy[heads], rank[heads], copy[heads], places=lists)
 
     return rows.where("text IS NOT NULL").select("rank", "copy", "text").mapInArrow(scan, _UNITS)
 
 
-def repeats(rows: DataFrame, workspace: Workspace, params: UnitParams) -> DataFrame:
+def _changes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether each pair is the first or differs from the one before."""
+    new = np.ones(len(left), bool)
+    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+    return new
+
+
+def _unit_batch(
+    rank: np.ndarray,
+    copy: np.ndarray,
+    low: np.ndarray,
+    high: np.ndarray,
+    place: np.ndarray | None = None,
+    places: pa.Array | None = None,
+) -> pa.RecordBatch:
+    columns = {
+        "rank": pa.array(rank),
+        "copy": pa.array(copy),
+        "place": pa.nulls(len(rank), pa.int32()) if place is None else pa.array(place),
+        "places": pa.nulls(len(rank), pa.list_(pa.int32())) if places is None else places,
+        "low": pa.array(low),
+        "high": pa.array(high),
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def repeats(rows: DataFrame, params: UnitParams) -> DataFrame:
     """(rank, copy, places) of the units to remove, for rows (rank, copy, text)."""
-    units = workspace.stage(_units(rows, params), "units")
-    order = Window.partitionBy("low", "high").orderBy("rank", "copy", "place")
-    repeated = (
-        units.where("NOT later")
-        .withColumn("turn", F.rank().over(order))
-        .where("turn > 1")
-        .select("rank", "copy", "place")
-        .unionByName(units.where("later").select("rank", "copy", "place"))
+    # Lists come last in a group, so that one whose rank and copy equal a digest changes nothing.
+    order = [F.col("places").asc_nulls_first(), "rank", "copy", "place"]
+    turn = F.rank().over(Window.partitionBy("low", "high").orderBy(*order))
+    repeated = _units(rows, params).withColumn("turn", turn).where("turn > 1 OR places IS NOT NULL")
+    place = F.explode(F.coalesce("places", F.array("place"))).alias("place")
+    return (
+        repeated.select("rank", "copy", place)
+        .groupBy("rank", "copy")
+        .agg(F.collect_set("place").alias("places"))
     )
-    return repeated.groupBy("rank", "copy").agg(F.collect_set("place").alias("places"))
 
 
 def cut(
@@ -382,7 +407,8 @@ def deduplicated(
 ) -> DataFrame:
     """The rows of ``df`` with repeated units cut out of ``text``, and ``removed``, the spans.
 
-    Rows without repeats go around the cutting as they are.
+    Rows without repeats go around the cutting as they are, and all but few of them around the shuffle.
+    ``df`` is read three times, which takes less than to write its units or to shuffle all of its text.
     """
     names = [f"__in{i}" for i in range(len(df.columns))]
     inner = df.toDF(*names)
@@ -390,10 +416,11 @@ def deduplicated(
     content = names[df.columns.index(text)]
     rows = inner.withColumns({"rank": rank, "copy": F.xxhash64(content)})
     found = workspace.stage(
-        repeats(rows.select("rank", "copy", F.col(content).alias("text")), workspace, params),
-        "repeats",
+        repeats(rows.select("rank", "copy", F.col(content).alias("text")), params), "repeats"
     )
-    joined = rows.join(found, ["rank", "copy"], "left")
+    others, touched = _parted(rows, found)
+    joined = touched.join(found, ["rank", "copy"], "left")
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = batch.column(content).to_pylist(), []
@@ -411,7 +438,16 @@ def deduplicated(
     out = joined.select(*names, "places").mapInArrow(
         scan, f"{schema}, removed array<struct<start: int, stop: int>>"
     )
-    return out.toDF(*df.columns, "removed")
+    nothing = F.array().cast(out.schema["removed"].dataType).alias("removed")
+    return others.select(*names, nothing).unionByName(out).toDF(*df.columns, "removed")
+
+
+def _parted(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that surely are not among the ``found`` ones, and the others."""
+    both = F.xxhash64("rank", "copy").alias("__row_of")
+    marked = with_maybe(rows.select("*", both), "__row_of", found.select(both), found.count())
+    parts = (marked.where(side).drop("__row_of", "__maybe") for side in ("NOT __maybe", "__maybe"))
+    return tuple(parts)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
