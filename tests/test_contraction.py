@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -109,3 +113,36 @@ def test_no_edges(spark, workspace):
     none = spark.createDataFrame([], "src long, dst long")
     assert contracted(none).collect() == []
     assert connected_components(none, workspace, contract=True).collect() == []
+
+
+_MANY = """
+import resource
+import numpy as np, pyarrow as pa
+from twinsieve.functions import forest
+
+draw = np.random.default_rng(1).integers
+
+def batches(count):
+    for _ in range(count):
+        sides = [pa.array(draw(0, 1 << 24, 10_000) << 33) for _ in range(2)]
+        yield pa.RecordBatch.from_arrays(sides, names=["src", "dst"])
+
+def peak():
+    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+
+for _ in forest.contracting(forest.MOST_EDGES)(batches(1)):
+    pass
+before = peak()
+for _ in forest.contracting(forest.MOST_EDGES)(batches(400)):
+    pass
+print(peak() - before)
+"""
+
+
+def test_memory_of_a_task_with_many_links():
+    """Four million links that share few nodes: most of them are passed on, not held."""
+    root = Path(__file__).resolve().parents[1]
+    run = subprocess.run(
+        [sys.executable, "-c", _MANY], cwd=root, capture_output=True, text=True, check=True
+    )
+    assert int(run.stdout) < 250

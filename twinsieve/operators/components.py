@@ -60,7 +60,8 @@ def contracted(edges: DataFrame, most_edges: int = forest.MOST_EDGES) -> DataFra
     """Edges with the same components: each task links the nodes it has seen to the smallest one
     they are connected with there, so it has fewer edges than nodes. Takes no shuffle.
 
-    A task holds ``most_edges`` links at most, and passes on what it has when there are more.
+    A task holds twice ``most_edges`` links at most, and passes on what it has when contracting leaves
+    ``most_edges`` or more.
     """
     kind = edges.schema["src"].dataType.simpleString()
     function = forest.contracting(most_edges)
